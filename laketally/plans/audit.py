@@ -125,7 +125,7 @@ def run_audit(
             F.lit(summary["failed"]),
             F.lit(summary["partial"]),
             F.lit(fetched),
-            advance_on_failure=F.lit(settings.advance_on_failure),
+            advance_on_failure=settings.advance_on_failure,
         ).alias("advance"),
         stalls(F.lit(summary["total"]), F.lit(fetched), F.lit(capped)).alias("stalled"),
     ).first()

@@ -68,9 +68,9 @@ def advances(
     partial,
     fetched,
     *,
-    dry_run=F.lit(False),
-    explicit=F.lit(False),
-    advance_on_failure=F.lit(False),
+    dry_run=False,
+    explicit=False,
+    advance_on_failure=False,
 ) -> Column:
     """Whether a run may move the mark to the end of its window.
 
@@ -78,10 +78,14 @@ def advances(
     A run without jobs moves it only when the log had no task at all. Dry runs
     and explicitly named tasks never move it.
     """
+    dry_run, explicit, allowed = (
+        c if isinstance(c, Column) else F.lit(bool(c))
+        for c in (dry_run, explicit, advance_on_failure)
+    )
     clean = (col(failed) == 0) & (col(partial) == 0)
-    ran = (col(total) > 0) & (col(advance_on_failure) | clean)
+    ran = (col(total) > 0) & (allowed | clean)
     idle = (col(total) == 0) & (col(fetched) == 0)
-    return (ran | idle) & ~col(dry_run) & ~col(explicit)
+    return (ran | idle) & ~dry_run & ~explicit
 
 
 def stalls(total, fetched, capped) -> Column:
