@@ -119,11 +119,12 @@ def list_data_files(spark, sf_dir):
     roots = spark.range(1).select(F.lit(lake).alias("hdfs_path"))
     found = visible_files(sources.list_files(roots))
     rows = sources.scan_row_counts(spark, [lake], "parquet")
-    inside = F.replace("file", F.lit(lake), F.lit(""))
+    # Below the lake, so that it does not matter how its own path is written.
+    below = F.substring_index("file", lake.rsplit("/", 1)[1], -1)
     return (
-        found.select("file")
-        .join(rows, "file")
-        .groupBy(F.regexp_extract(inside, "^/(.*)/[^/]+$", 1).alias("folder"))
+        found.select(below.alias("file"))
+        .join(rows.select(below.alias("file"), "row_count"), "file")
+        .groupBy(F.regexp_extract("file", "^/(.*)/[^/]+$", 1).alias("folder"))
         .agg(F.sum("row_count").alias("row_count"))
     )
 
@@ -202,9 +203,8 @@ def fetch_stats(spark, sf_dir):
 
 @query
 def parse_batch_no(spark, sf_dir):
-    log = inputs.task_log(spark, sf_dir)
-    parts = lf.parse_batch_no("batch_no", "period_type").alias("p")
-    return log.select("event_id", parts).select("event_id", "p.*")
+    log = inputs.task_log(spark, sf_dir).select("event_id", "period_type", "batch_no")
+    return lf.parse_batch_no(log).drop("period_type", "batch_no")
 
 
 @query

@@ -1,4 +1,4 @@
-"""Column functions: no function here triggers a job or uses a UDF."""
+"""Functions on columns: none of them triggers a job or uses a UDF."""
 
 from laketally.functions.batches import parse_batch_no
 from laketally.functions.dates import (

@@ -37,12 +37,12 @@ def period_default_date(period_type, run_date) -> Column:
     before; daily and anything else: the day before.
     """
     period, today = col(period_type), as_date(run_date)
-    day = (
-        F.when(period.isin("hourly", "minutely"), today)
-        .when(period == "monthly", F.last_day(F.add_months(today, -1)))
-        .otherwise(F.date_sub(today, 1))
+    # Formatted one by one, so that a literal run date folds to constants.
+    return (
+        F.when(period.isin("hourly", "minutely"), F.date_format(today, DAY_FORMAT))
+        .when(period == "monthly", F.date_format(F.last_day(F.add_months(today, -1)), DAY_FORMAT))
+        .otherwise(F.date_format(F.date_sub(today, 1), DAY_FORMAT))
     )
-    return F.date_format(day, DAY_FORMAT)
 
 
 def resolve_named_date(name, run_date) -> Column:

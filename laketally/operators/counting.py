@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from laketally.functions.text import normalise_delimiter, overlaps_itself
-from laketally.sources.filesystems import default_parallelism, in_batches, open_path
+from laketally.sources.filesystems import default_parallelism, in_batches, session_opener
 from laketally.sources.listing import list_files
 
 PATH_KEYS = ["hdfs_path", "format", "delimiter"]
@@ -83,7 +83,7 @@ FOOTER_READERS = {"parquet": parquet_rows, "orc": orc_rows}
 
 
 def count_files(
-    roots: DataFrame, *, tasks=None, split_bytes=SPLIT_BYTES, opener=open_path
+    roots: DataFrame, *, tasks=None, split_bytes=SPLIT_BYTES, opener=None
 ) -> DataFrame:
     """Row count, size and error of every visible file under the roots.
 
@@ -98,6 +98,7 @@ def count_files(
     """
     spark = roots.sparkSession
     n = tasks or default_parallelism(spark)
+    opener = opener or session_opener(spark)
     keys = roots.select(
         "hdfs_path",
         F.lower("format").alias("format"),

@@ -31,10 +31,7 @@ def completed_tasks(log: DataFrame, *, order_by=("complete_dt",)) -> DataFrame:
 
 
 def with_date_parts(tasks: DataFrame) -> DataFrame:
-    parts = parse_batch_no("batch_no", "period_type")
-    return tasks.select("task_name", "period_type", "batch_no", parts.alias("p")).select(
-        "task_name", "period_type", "batch_no", "p.*"
-    )
+    return parse_batch_no(tasks.select("task_name", "period_type", "batch_no"))
 
 
 def fetch_stats(log: DataFrame) -> DataFrame:

@@ -1,18 +1,17 @@
 """Opening paths of any scheme inside a task, and what such tasks share."""
 
+from functools import partial
 from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
-from laketally.functions._cols import col
 
-
-def open_path(uri: str):
+def open_path(uri: str, default_fs: str = ""):
     """(file system, its own path, prefix that turns that path back into a URI).
 
-    The path is taken raw, not percent-decoded, as Hadoop paths are.
+    The path is taken raw, not percent-decoded, as Hadoop paths are. A path
+    without a scheme lies in `default_fs`; its files are named with the scheme.
     """
     from pyarrow.fs import FileSystem, LocalFileSystem
 
@@ -20,16 +19,16 @@ def open_path(uri: str):
     if not found:
         if uri.startswith("file:"):
             return LocalFileSystem(), uri[len("file:") :], "file:"
-        return LocalFileSystem(), uri, ""
+        if not default_fs or default_fs.startswith("file:"):
+            return LocalFileSystem(), uri, ""
+        return open_path(default_fs.rstrip("/") + uri)
     if scheme == "file":
         return LocalFileSystem(), rest, "file://"
     authority, _, path = rest.partition("/")
-    if scheme in ("s3", "s3a", "s3n"):
-        fs, _ = FileSystem.from_uri(f"s3://{authority}")
+    if scheme in ("s3", "s3a", "s3n", "gs"):
+        store = "gs" if scheme == "gs" else "s3"
+        fs, _ = FileSystem.from_uri(f"{store}://{authority}")
         return fs, f"{authority}/{path}", f"{scheme}://"
-    if scheme == "gs":
-        fs, _ = FileSystem.from_uri(f"gs://{authority}/")
-        return fs, f"{authority}/{path}", "gs://"
     fs, _ = FileSystem.from_uri(f"{scheme}://{authority}/")
     return fs, "/" + path, f"{scheme}://{authority}"
 
@@ -37,15 +36,13 @@ def open_path(uri: str):
 def default_parallelism(spark: SparkSession) -> int:
     """Tasks for jobs whose cost is file opens, which Spark cannot estimate."""
     shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(shuffle, 4 * spark.sparkContext.defaultParallelism)
+    return max(shuffle, spark.sparkContext.defaultParallelism)
 
 
-def qualify(path, default_fs: str):
-    """Put the cluster's default file system before a path without a scheme."""
-    c = col(path)
-    if not default_fs or default_fs.startswith("file:"):
-        return c
-    return F.when(c.startswith("/"), F.concat(F.lit(default_fs.rstrip("/")), c)).otherwise(c)
+def session_opener(spark: SparkSession):
+    """`open_path` for a session, whose default file system takes bare paths."""
+    default_fs = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS")
+    return partial(open_path, default_fs=default_fs or "")
 
 
 def in_batches(rows, schema: pa.Schema, size: int = 10_000):

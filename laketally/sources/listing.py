@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from laketally.sources.filesystems import default_parallelism, in_batches, open_path
+from laketally.sources.filesystems import default_parallelism, in_batches, session_opener
 
 # Texts a failed path is reported with.
 ACCESS_ERROR = "Failed to access path: "
@@ -22,7 +22,7 @@ LISTED = T.StructType(
 )
 
 
-def list_files(roots: DataFrame, *, path_col="hdfs_path", tasks=None, opener=open_path):
+def list_files(roots: DataFrame, *, path_col="hdfs_path", tasks=None, opener=None):
     """All visible files under every root, with the roots' other columns kept.
 
     Adds `kind, file, size, error`. Each readable root gives one `root` row, so
@@ -36,6 +36,7 @@ def list_files(roots: DataFrame, *, path_col="hdfs_path", tasks=None, opener=ope
     the lake is listed by as many tasks as it has partitions.
     """
     n = tasks or default_parallelism(roots.sparkSession)
+    opener = opener or session_opener(roots.sparkSession)
     schema = T.StructType(roots.schema.fields + LISTED.fields)
     arrow_schema = to_arrow_schema(schema)
     children = roots.repartition(n).mapInArrow(
