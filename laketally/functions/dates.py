@@ -19,6 +19,20 @@ def as_date(run_date) -> Column:
     return F.lit(str(run_date)).cast("date")
 
 
+def as_timestamp(value) -> Column:
+    """A timestamp column, whole seconds, from a datetime or a column.
+
+    A datetime with a zone is an instant (TIMESTAMP). One without is wall-clock
+    time of the session's zone (TIMESTAMP_NTZ), never of the machine's.
+    """
+    if isinstance(value, Column):
+        return value
+    if value is None:
+        return F.lit(None).cast("timestamp_ntz")
+    type = "timestamp_ntz" if value.tzinfo is None else "timestamp"
+    return F.lit(value.replace(microsecond=0).isoformat(sep=" ")).cast(type)
+
+
 def storage_date(day) -> Column:
     """DATE of a yyyyMMdd string; NULL unless it is eight digits and a date."""
     c = col(day)

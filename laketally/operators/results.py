@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from laketally.functions._cols import col
-from laketally.functions.dates import storage_date
+from laketally.functions.dates import as_timestamp, storage_date
 from laketally.functions.text import normalise_delimiter
 from laketally.operators.counting import PATH_KEYS
 from laketally.schemas import AUDIT_RESULT, COUNT_RESULT
@@ -55,11 +55,10 @@ def path_error_result(path, error) -> Column:
 def result_rows(jobs: DataFrame, results: DataFrame, created_at) -> DataFrame:
     """One audit_result row per job: the job's columns and its path's counts.
 
-    `created_at` is a timestamp column or literal of the run. The id is a hash
-    of the run time and the job, so a retried task writes the same id.
+    `created_at` is the time of the run, a datetime or a column. The id is a
+    hash of that time and the job, so a retried task writes the same id.
     """
-    created = created_at if hasattr(created_at, "cast") else F.lit(created_at)
-    created = F.date_trunc("second", created.cast("timestamp"))
+    created = F.date_trunc("second", as_timestamp(created_at).cast("timestamp"))
     keyed = jobs.withColumns(
         {"format": F.lower("format"), "delimiter": normalise_delimiter("delimiter")}
     )

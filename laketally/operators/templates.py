@@ -174,20 +174,26 @@ def expansion_groups(templates: DataFrame, variables: DataFrame, *, block=10_000
     block, so no task sees all of them. `ord` is the template's position.
     """
     sizes = variable_values(variables).select("var", F.size("values").cast("bigint").alias("n"))
-    factors = (
-        templates.select("ord", F.explode(loop_vars("loop_var")).alias("var"))
-        .join(sizes, "var", "left")
-        .groupBy("ord")
-        .agg(F.collect_list(F.coalesce("n", F.lit(0))).alias("ns"))
-    )
-    counts = templates.join(factors, "ord", "left").select(
-        "ord",
-        "task_name",
-        "loop_var",
-        F.when(F.col("ns").isNull(), F.lit(1).cast("bigint"))
-        .otherwise(F.aggregate("ns", F.lit(1).cast("bigint"), lambda a, n: a * n))
-        .alias("count"),
-        F.floor(F.col("ord") / block).alias("block"),
+    # A template without a loop keeps one row without a variable; a variable
+    # that is not defined has no values.
+    factors = templates.select(
+        "ord", "task_name", "loop_var", F.explode_outer(loop_vars("loop_var")).alias("var")
+    ).join(sizes, "var", "left")
+    factor = F.when(F.col("var").isNotNull(), F.coalesce("n", F.lit(0)))
+    counts = (
+        factors.groupBy("ord")
+        .agg(
+            F.first("task_name").alias("task_name"),
+            F.first("loop_var").alias("loop_var"),
+            F.collect_list(factor).alias("ns"),
+        )
+        .select(
+            "ord",
+            "task_name",
+            "loop_var",
+            F.aggregate("ns", F.lit(1).cast("bigint"), lambda a, n: a * n).alias("count"),
+            F.floor(F.col("ord") / block).alias("block"),
+        )
     )
     before = (
         counts.groupBy("block")

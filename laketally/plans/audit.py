@@ -6,6 +6,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from laketally.functions.dates import as_timestamp, resolve_named_date
 from laketally.operators.counting import count_files, path_errors, path_results
 from laketally.operators.jobs import audit_jobs, preview
 from laketally.operators.results import append_results, result_rows, run_summary
@@ -20,6 +21,7 @@ from laketally.plans.incremental import (
     window_bounds,
 )
 from laketally.plans.scratch import stored
+from laketally.sources.schedules import validate
 from laketally.sources.task_log import task_log_window
 
 
@@ -83,6 +85,8 @@ def run_audit(
     """One audit run at the time `now`. A dry run counts and writes nothing."""
     if not dry_run and results_path is None:
         raise ValueError("results_path is needed unless dry_run is set")
+    validate(schedules)
+    data_date = explicit_date(spark, data_date, now)
     explicit = names is not None
     from_log = log is not None and not explicit and not all_configured
     bounds, capped = None, False
@@ -116,7 +120,7 @@ def run_audit(
     rows = stored(rows, "results")
     append_results(rows, results_path)
     if errors_path:
-        errors.withColumn("created_at", F.lit(now)).write.mode("append").parquet(errors_path)
+        errors.withColumn("created_at", as_timestamp(now).cast("timestamp")).write.mode("append").parquet(errors_path)
     summary = run_summary(rows).first().asDict()
 
     flags = spark.range(1).select(
@@ -139,10 +143,18 @@ def run_audit(
 
 def next_window(spark: SparkSession, mark, now, settings: WindowSettings):
     """((start, end), is it capped) of the window after a mark."""
-    times = spark.createDataFrame([(mark, now)], "mark timestamp, now timestamp")
-    w = times.select(
-        window_bounds("mark", "now", settings).alias("w"),
-        is_capped("mark", "now", settings).alias("capped"),
+    mark, now = (as_timestamp(t).cast("timestamp_ntz") for t in (mark, now))
+    w = spark.range(1).select(
+        window_bounds(mark, now, settings).alias("w"), is_capped(mark, now, settings).alias("capped")
     ).first()
     return (w["w"]["start_time"], w["w"]["end_time"]), w["capped"]
 
+
+def explicit_date(spark: SparkSession, data_date: str | None, now) -> str | None:
+    """A given date as yyyyMMdd, `${yesterday}` and `${today}` filled in."""
+    if data_date is None:
+        return None
+    d = spark.range(1).select(resolve_named_date(F.lit(data_date), now).alias("d")).first()["d"]
+    if d["error"]:
+        raise ValueError(d["error"])
+    return d["data_date"]

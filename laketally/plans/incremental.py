@@ -3,10 +3,12 @@
 import datetime as dt
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from laketally.functions._cols import col
+from laketally.functions.dates import as_timestamp
 from laketally.schemas import STATE
 
 
@@ -105,17 +107,23 @@ def read_state(spark: SparkSession, path: str) -> DataFrame:
 
 
 def load_mark(spark: SparkSession, path: str) -> dt.datetime | None:
-    """The mark to start from, or None when there is none or it is unreadable."""
-    from pyspark.errors import AnalysisException
+    """The mark to start from, as wall-clock time of the session's zone.
 
+    None when there is none, it was reset or cannot be read.
+    """
     try:
-        return latest_state(read_state(spark, path)).first()["last_end_time"]
+        mark = latest_state(read_state(spark, path))
+        return mark.select(F.col("last_end_time").cast("timestamp_ntz")).first()[0]
     except AnalysisException as e:
-        if "PATH_NOT_FOUND" in str(e):
+        if e.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
 
 
 def save_mark(spark: SparkSession, path: str, last_end, updated_at) -> None:
     """Append a mark. A reset appends one with a NULL `last_end`."""
-    spark.createDataFrame([(last_end, updated_at)], STATE).write.mode("append").json(path)
+    times = {"last_end_time": last_end, "updated_at": updated_at}
+    row = spark.range(1).select(
+        *[as_timestamp(t).cast("timestamp").alias(c) for c, t in times.items()]
+    )
+    row.write.mode("append").json(path)

@@ -88,6 +88,14 @@ def config_violations(schedules: DataFrame) -> DataFrame:
     )
 
 
+def validate(schedules: DataFrame) -> None:
+    """Raise ValueError when a required field is missing."""
+    found = config_violations(schedules).limit(5).collect()
+    if found:
+        texts = [f"schedule {r['ord']} ({r['task_name']}): {r['field']}" for r in found]
+        raise ValueError("Configuration misses required fields: " + "; ".join(texts))
+
+
 def all_task_names(schedules: DataFrame) -> DataFrame:
     """Configured task names in configuration order, duplicates kept."""
     return schedules.select("ord", "task_name").orderBy("ord")

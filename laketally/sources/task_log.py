@@ -1,11 +1,10 @@
 """The log of finished scheduler tasks."""
 
-import datetime as dt
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from laketally.functions._cols import col
+from laketally.functions.dates import as_timestamp
 
 
 def read_task_log(spark: SparkSession, path=None, *, format="parquet", columns=None, **options):
@@ -21,18 +20,6 @@ def read_task_log(spark: SparkSession, path=None, *, format="parquet", columns=N
     return log.select([F.col(c).alias(names.get(c, c)) for c in log.columns])
 
 
-def as_bound(value) -> Column:
-    """A window bound as a column, whole seconds, from a datetime or column."""
-    if isinstance(value, Column):
-        return value
-    if isinstance(value, dt.datetime):
-        value = value.replace(microsecond=0)
-        if value.tzinfo is None:
-            return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
-        return F.lit(value.isoformat(sep=" ")).cast("timestamp")
-    return F.lit(value).cast("timestamp_ntz")
-
-
 def task_log_window(
     log: DataFrame,
     start,
@@ -52,8 +39,8 @@ def task_log_window(
     """
     kept = log.filter(
         (col(state_col) == F.lit(done))
-        & (col(time_col) >= as_bound(start))
-        & (col(time_col) < as_bound(end))
+        & (col(time_col) >= as_timestamp(start))
+        & (col(time_col) < as_timestamp(end))
     )
     if date_filter is not None:
         kept = kept.filter(date_filter(data_date or ""))

@@ -5,18 +5,18 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from laketally.functions.dates import as_timestamp
 from laketally.operators.jobs import audit_jobs
 from laketally.operators.results import append_results, run_summary
 from laketally.operators.tasks import completed_tasks, log_rows, with_date_parts
 from laketally.plans.audit import audit_results
 from laketally.plans.scratch import stored
-from laketally.sources.task_log import as_bound
 
 
 def _finished(log: DataFrame, done, init_time) -> DataFrame:
     """Finished tasks; `init_time` leaves out the history before a cold start."""
     kept = log.filter(F.col("state") == F.lit(done))
-    return kept if init_time is None else kept.filter(F.col("complete_dt") >= as_bound(init_time))
+    return kept if init_time is None else kept.filter(F.col("complete_dt") >= as_timestamp(init_time))
 
 
 def completed_task_stream(log: DataFrame, *, delay="10 minutes", done=1, init_time=None):

@@ -127,3 +127,46 @@ def test_cold_start_and_reset(spark, run, tmp_path):
     r = run(log(spark, "20260309"), reset=True, now=NOW + dt.timedelta(seconds=30))
     assert r.window[0] == NOW + dt.timedelta(seconds=30) - dt.timedelta(hours=24)
     assert r.summary["success"] == 1
+
+
+def test_bad_arguments(spark, run, tmp_path):
+    with pytest.raises(ValueError, match="Expected YYYYMMDD"):
+        run(log(spark, "20260309"), data_date="2026-03-09")
+    bad = sources.schedules_from_dicts(spark, [{"task_name": "t", "tables": [{"name": "x"}]}])
+    with pytest.raises(ValueError, match="required fields"):
+        run_audit(spark, bad, now=NOW, results_path=f"{tmp_path}/r")
+    with pytest.raises(ValueError, match="results_path"):
+        run_audit(spark, bad, now=NOW)
+
+
+def test_named_date(spark, run, tmp_path):
+    write(tmp_path / "lake" / "ymd=20260310", 4)
+    r = run(None, data_date="${today}")
+    assert [(x["data_month"], x["row_count"]) for x in r.details.collect()] == [("202603", 4)]
+
+
+@pytest.fixture
+def shanghai(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Shanghai")
+    yield
+    spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_times_are_of_the_session_zone(spark, run, tmp_path, shanghai):
+    """Mark, window, log and result times agree whatever the machine's zone."""
+    (tmp_path / "state").mkdir()
+    (tmp_path / "state" / "s.json").write_text(
+        '{"last_end_time": "2026-03-10T09:00:00+08:00", "updated_at": "2026-03-10T09:00:01+08:00"}'
+    )
+    write(tmp_path / "lake" / "ymd=20260309", 4)
+    instants = log(spark, "20260309").selectExpr(
+        "task_name", "period_type", "batch_no", "state", "CAST(complete_dt AS TIMESTAMP) AS complete_dt"
+    )
+    r = run(instants)
+    assert r.window == (dt.datetime(2026, 3, 10, 8, 50), NOW)
+    assert r.summary["success"] == 1 and mark(spark, tmp_path) == NOW
+    saved = "".join(p.read_text() for p in (tmp_path / "state").glob("part-*"))
+    assert '"last_end_time":"2026-03-10T12:00:00.000+08:00"' in saved
+    created = r.details.selectExpr("date_format(created_at, 'HH:mm') AS t").first()["t"]
+    assert created == "12:00"
