@@ -83,7 +83,7 @@ FOOTER_READERS = {"parquet": parquet_rows, "orc": orc_rows}
 
 
 def count_files(
-    roots: DataFrame, *, tasks=None, split_bytes=SPLIT_BYTES, opener=None
+    roots: DataFrame, *, levels=1, tasks=None, split_bytes=SPLIT_BYTES, opener=None
 ) -> DataFrame:
     """Row count, size and error of every visible file under the roots.
 
@@ -106,7 +106,7 @@ def count_files(
     ).distinct()
     known = F.coalesce(F.col("format").isin(*FORMATS), F.lit(False))
 
-    listed = list_files(keys.filter(known), tasks=n, opener=opener)
+    listed = list_files(keys.filter(known), levels=levels, tasks=n, opener=opener)
     ranged = (F.col("kind") == "file") & (F.col("format") == "textfile") & (F.col("size") > 0)
     starts = F.when(ranged, F.sequence(F.lit(0).cast("bigint"), F.col("size") - 1, F.lit(split_bytes).cast("bigint")))
     pieces = listed.withColumn("start", F.explode(F.coalesce(starts, F.array(F.lit(0).cast("bigint"))))).drop("kind")

@@ -6,9 +6,11 @@ from laketally.sources.schedules import (
     all_task_names,
     config_violations,
     read_schedules,
+    read_templates,
     schedule_by_task,
     schedule_tables,
     schedules_from_dicts,
+    variables_from_dicts,
 )
 from laketally.sources.task_log import read_task_log, task_log_distinct, task_log_window
 
@@ -18,10 +20,12 @@ __all__ = [
     "list_files",
     "read_schedules",
     "read_task_log",
+    "read_templates",
     "scan_row_counts",
     "schedule_by_task",
     "schedule_tables",
     "schedules_from_dicts",
     "task_log_distinct",
     "task_log_window",
+    "variables_from_dicts",
 ]

@@ -22,7 +22,9 @@ LISTED = T.StructType(
 )
 
 
-def list_files(roots: DataFrame, *, path_col="hdfs_path", tasks=None, opener=None):
+def list_files(
+    roots: DataFrame, *, path_col="hdfs_path", levels=1, tasks=None, opener=None
+) -> DataFrame:
     """All visible files under every root, with the roots' other columns kept.
 
     Adds `kind, file, size, error`. Each readable root gives one `root` row, so
@@ -31,35 +33,25 @@ def list_files(roots: DataFrame, *, path_col="hdfs_path", tasks=None, opener=Non
     with `_` or `.` are skipped, files and directories alike; the name of a
     root directory is not looked at, the name of a root file is.
 
-    Two steps: the children of the roots first, then, spread again over the
-    cluster, everything below the child directories. So one root with most of
-    the lake is listed by as many tasks as it has partitions.
+    The first `levels` levels are listed one by one and spread over the cluster
+    after each; what lies deeper is walked by the task that has its directory.
+    So one root with most of the lake is listed by as many tasks as it has
+    directories at that level.
     """
     n = tasks or default_parallelism(roots.sparkSession)
     opener = opener or session_opener(roots.sparkSession)
     schema = T.StructType(roots.schema.fields + LISTED.fields)
-    arrow_schema = to_arrow_schema(schema)
-    children = roots.repartition(n).mapInArrow(
-        _lister(arrow_schema, path_col, opener, deep=False), schema
-    )
-    return children.repartition(n).mapInArrow(
-        _lister(arrow_schema, path_col, opener, deep=True), schema
-    )
+    found = roots
+    for step in [_children, *[_entries] * (levels - 1), _below]:
+        lister = _lister(to_arrow_schema(schema), path_col, step, opener)
+        found = found.repartition(n).mapInArrow(lister, schema)
+    return found
 
 
 def _hidden(name: str) -> bool:
     return name.startswith(("_", "."))
 
 
-def _entries(fs, folder):
-    """(entry, is it a directory) of the visible children of a directory."""
-    from pyarrow.fs import FileSelector, FileType
-
-    for info in fs.get_file_info(FileSelector(folder)):
-        if not _hidden(info.base_name):
-            yield info, info.type == FileType.Directory
-
-
 def _children(uri, opener):
     """(kind, file, size) of a root and of what lies directly in it."""
     from pyarrow.fs import FileType
@@ -69,39 +61,50 @@ def _children(uri, opener):
     if info.type == FileType.NotFound:
         raise FileNotFoundError(MISSING_ERROR + uri)
     yield "root", None, None
-    if info.type == FileType.File:
+    if info.type != FileType.File:
+        yield from _entries(uri, opener)
+    elif not _hidden(info.base_name):
+        yield "file", prefix + info.path, info.size
+
+
+def _entries(uri, opener):
+    """(kind, file, size) of the visible entries of a directory."""
+    from pyarrow.fs import FileSelector, FileType
+
+    fs, path, prefix = opener(uri)
+    for info in fs.get_file_info(FileSelector(path)):
         if not _hidden(info.base_name):
-            yield "file", prefix + info.path, info.size
-        return
-    for child, is_dir in _entries(fs, path):
-        yield "dir" if is_dir else "file", prefix + child.path, child.size
+            kind = "dir" if info.type == FileType.Directory else "file"
+            yield kind, prefix + info.path, info.size
 
 
 def _below(uri, opener):
     """(kind, file, size) of every file at any depth under a directory."""
-    fs, path, prefix = opener(uri)
-    folders = [path]
+    folders = [uri]
     while folders:
-        for child, is_dir in _entries(fs, folders.pop()):
-            if is_dir:
-                folders.append(child.path)
+        for kind, file, size in _entries(folders.pop(), opener):
+            if kind == "dir":
+                folders.append(file)
             else:
-                yield "file", prefix + child.path, child.size
+                yield kind, file, size
 
 
-def _lister(schema: pa.Schema, path_col: str, opener, deep: bool):
-    """The task side of one listing step."""
+def _lister(schema: pa.Schema, path_col: str, step, opener):
+    """The task side of one step: roots or directories in, their content out.
+    Rows that are neither pass through."""
 
     def expand(source):
-        if deep and source["kind"] != "dir":
+        kind = source.get("kind")
+        if kind not in (None, "dir"):
             yield source
             return
         try:
-            found = _below(source["file"], opener) if deep else _children(source[path_col], opener)
-            for kind, file, size in found:
+            uri = source[path_col] if kind is None else source["file"]
+            for kind, file, size in step(uri, opener):
                 yield {**source, "kind": kind, "file": file, "size": size}
         except Exception as e:
-            yield {**source, "kind": "error", "file": None, "size": None, "error": ACCESS_ERROR + str(e)}
+            error = ACCESS_ERROR + str(e)
+            yield {**source, "kind": "error", "file": None, "size": None, "error": error}
 
     def run(batches):
         sources = (source for batch in batches for source in batch.to_pylist())

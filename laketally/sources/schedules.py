@@ -5,7 +5,7 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from laketally.schemas import SCHEDULE
+from laketally.schemas import SCHEDULE, TEMPLATE_VAR
 
 
 def schedules_from_dicts(spark: SparkSession, schedules) -> DataFrame:
@@ -17,19 +17,45 @@ def schedules_from_dicts(spark: SparkSession, schedules) -> DataFrame:
     return parsed.select("ord", *[f"s.{f.name}" for f in SCHEDULE.fields[1:]])
 
 
-def read_schedules(spark: SparkSession, path: str) -> DataFrame:
-    """Schedules from JSON lines (with an `ord` field) or one YAML file."""
-    if not path.endswith((".yml", ".yaml")):
-        return spark.read.schema(SCHEDULE).json(path)
-    try:
-        import yaml
-    except ImportError as e:
-        raise ImportError("reading YAML schedules needs PyYAML; use JSON lines") from e
+def variables_from_dicts(spark: SparkSession, variables) -> DataFrame:
+    """Template variables given as the {name: definition} of a configuration."""
+    rows = [(name, json.dumps(v, ensure_ascii=False)) for name, v in variables.items()]
+    raw = spark.createDataFrame(rows, "var string, body string")
+    parsed = raw.select("var", F.from_json("body", TEMPLATE_VAR).alias("v"))
+    return parsed.select("var", *[f"v.{f.name}" for f in TEMPLATE_VAR.fields[1:]])
+
+
+def _configuration(spark: SparkSession, path: str) -> dict:
+    """One YAML or JSON configuration file, which is read whole."""
     text = spark.read.text(path, wholetext=True).first()[0]
-    config = yaml.safe_load(text) or {}
+    if path.endswith((".yml", ".yaml")):
+        try:
+            import yaml
+        except ImportError as e:
+            raise ImportError("reading YAML needs PyYAML; use JSON") from e
+        config = yaml.safe_load(text) or {}
+    else:
+        config = json.loads(text)
     if "schedules" not in config:
         raise ValueError("Configuration must contain 'schedules' section")
-    return schedules_from_dicts(spark, config["schedules"])
+    return config
+
+
+def read_schedules(spark: SparkSession, path: str) -> DataFrame:
+    """Schedules from one YAML file or from any number of JSON lines, which
+    carry an `ord` field."""
+    if path.endswith((".yml", ".yaml")):
+        return schedules_from_dicts(spark, _configuration(spark, path)["schedules"])
+    return spark.read.schema(SCHEDULE).json(path)
+
+
+def read_templates(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(templates, variables) of one YAML or JSON template file."""
+    config = _configuration(spark, path)
+    return (
+        schedules_from_dicts(spark, config["schedules"]),
+        variables_from_dicts(spark, config.get("template_vars") or {}),
+    )
 
 
 def schedule_tables(schedules: DataFrame) -> DataFrame:

@@ -14,7 +14,6 @@ def spark(tmp_path_factory):
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.default.parallelism", "2")
         .config("spark.ui.enabled", "false")
-        .config("spark.sql.maxMetadataValueLength", "10000")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("scratch")))

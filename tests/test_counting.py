@@ -48,9 +48,10 @@ def lake(tmp_path):
     return t
 
 
-def test_listing(spark, lake):
+@pytest.mark.parametrize("levels", [1, 2, 4])
+def test_listing(spark, lake, levels):
     roots = spark.createDataFrame([(str(lake), 7), (str(lake / "dt=1"), 8)], "hdfs_path string, tag int")
-    found = visible_files(list_files(roots, tasks=3)).collect()
+    found = visible_files(list_files(roots, levels=levels, tasks=3)).collect()
     assert sorted((r["tag"], r["file"][len(str(lake)) :]) for r in found) == [
         (7, "/a.parquet"), (7, "/dt=1/b b.parquet"), (7, "/dt=1/deep/er/c"),
         (8, "/dt=1/b b.parquet"), (8, "/dt=1/deep/er/c"),

@@ -16,10 +16,11 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_window_reaches_the_scan(spark):
+def test_window_reaches_the_scan(spark, capsys):
     log = inputs.table(spark, SF, "events").selectExpr("event_id AS state", "ts AS complete_dt")
     kept = sources.task_log_window(log, dt.datetime(2024, 1, 2), dt.datetime(2024, 1, 3))
-    pushed = plan(kept).split("PushedFilters:")[1]
+    kept.explain("formatted")
+    pushed = capsys.readouterr().out.split("PushedFilters:")[1]
     for part in ("GreaterThanOrEqual(ts", "LessThan(ts", "EqualTo(event_id,1)"):
         assert part in pushed
 

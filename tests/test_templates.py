@@ -2,6 +2,7 @@ import itertools
 
 import pytest
 
+from laketally import sources
 from laketally.operators import templates
 from laketally.schemas import TEMPLATE_VAR
 from laketally.sources import schedules_from_dicts
@@ -56,6 +57,31 @@ def test_807(spark):
     assert rows[31]["tables"][0]["partition_template"] is None
 
 
+@pytest.mark.parametrize("suffix", ["yml", "json"])
+def test_template_file(spark, tmp_path, suffix):
+    if suffix == "yml":
+        pytest.importorskip("yaml")
+    f = tmp_path / f"template.{suffix}"
+    # JSON is YAML as well.
+    f.write_text(
+        """{"template_vars": {
+              "prov": {"type": "range", "start": 10100, "end": 13100, "step": 100, "description": "x"},
+              "hour": {"type": "range", "start": "0", "end": "23", "step": 1, "pad": 2},
+              "name": {"type": "enum", "values": ["a", 7]},
+              "month": {"type": "computed", "rule": "month"}},
+            "schedules": [
+              {"task_name": "${prov}_${hour}_${name}", "loop_var": "prov&hour&name", "tables": []},
+              {"task_name": "m", "loop_var": "month", "tables": []}]}"""
+    )
+    t, v = sources.read_templates(spark, str(f))
+    rows = templates.expand_templates(t, v).orderBy("combo").collect()
+    assert len(rows) == 31 * 24 * 2
+    assert [rows[i]["task_name"] for i in (0, 1, 2, -1)] == [
+        "10100_00_a", "10100_00_7", "10100_01_a", "13100_23_7",
+    ]
+    assert [r["rule"] for r in templates.template_violations(t, v).collect()] == ["computed"]
+
+
 def test_last_variable_varies_fastest(spark):
     v = variables(
         spark,
