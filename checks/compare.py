@@ -24,7 +24,8 @@ def rows_of(columns, rows):
 def connect(sf_dir: str):
     con = duckdb.connect()
     for path in sorted(Path(sf_dir).glob("*.parquet")):
-        con.execute(f"CREATE VIEW {path.stem} AS SELECT * FROM read_parquet('{path}')")
+        files = path / "*.parquet" if path.is_dir() else path
+        con.execute(f"CREATE VIEW {path.stem} AS SELECT * FROM read_parquet('{files}')")
     return con
 
 

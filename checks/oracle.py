@@ -312,7 +312,7 @@ ORACLE = {
         """SELECT o_orderkey, CASE WHEN name IS NULL OR name = '${yesterday}' THEN '20240130'
             WHEN name = '${today}' THEN '20240131' WHEN day IS NOT NULL THEN name END AS data_date,
             CASE WHEN name IS NOT NULL AND name NOT IN ('${yesterday}', '${today}') AND day IS NULL
-                THEN 'Invalid date format: ' || name || '. Expected YYYYMMDD' END AS error FROM named_days""",
+                THEN 'not a yyyyMMdd date: ' || name END AS error FROM named_days""",
     ),
     "audit_date_parse": with_(
         "named named_days", "SELECT o_orderkey, CAST(day AS VARCHAR) AS data_date FROM named_days"

@@ -73,7 +73,7 @@ def resolve_named_date(name, run_date) -> Column:
     )
     error = F.when(
         day.isNull(),
-        F.concat(F.lit("Invalid date format: "), c, F.lit(". Expected YYYYMMDD")),
+        F.concat(F.lit("not a yyyyMMdd date: "), c),
     )
     return F.struct(day.alias("data_date"), error.alias("error"))
 

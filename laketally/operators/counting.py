@@ -57,10 +57,10 @@ def text_range_rows(fs, path: str, size: int, start: int, length: int, delimiter
     The range that holds the end of the file adds the last row when that row
     has no delimiter after it, so the ranges of a file add up to its rows.
     """
-    if not delimiter:
-        raise ValueError("the delimiter must not be empty")
     if size == 0:
         return 0
+    if not delimiter:
+        raise ValueError("the delimiter must not be empty")
     extra = len(delimiter) - 1
     end = min(start + length, size)
     found, carry = 0, b""
@@ -108,8 +108,9 @@ def count_files(
 
     listed = list_files(keys.filter(known), levels=levels, tasks=n, opener=opener)
     ranged = (F.col("kind") == "file") & (F.col("format") == "textfile") & (F.col("size") > 0)
-    starts = F.when(ranged, F.sequence(F.lit(0).cast("bigint"), F.col("size") - 1, F.lit(split_bytes).cast("bigint")))
-    pieces = listed.withColumn("start", F.explode(F.coalesce(starts, F.array(F.lit(0).cast("bigint"))))).drop("kind")
+    zero, split = (F.lit(i).cast("bigint") for i in (0, split_bytes))
+    starts = F.when(ranged, F.sequence(zero, F.col("size") - 1, split)).otherwise(F.array(zero))
+    pieces = listed.withColumn("start", F.explode(starts)).drop("kind")
     counted_schema = T.StructType(
         [f for f in pieces.schema.fields if f.name != "start"]
         + [T.StructField("rows", T.LongType()), T.StructField("ms", T.LongType())]
@@ -253,4 +254,7 @@ def path_results(file_counts: DataFrame, *, inline_limit=1000) -> DataFrame:
     """
     results = path_status(path_totals(file_counts))
     errors = inline_errors(file_counts, limit=inline_limit)
-    return results.join(errors, PATH_KEYS, "left")
+    # A path that cannot be listed is reported by that error alone, which
+    # comes first.
+    own = F.when(F.col("row_count") < 0, F.slice("errors", 1, 1)).otherwise(F.col("errors"))
+    return results.join(errors, PATH_KEYS, "left").withColumn("errors", own)

@@ -21,7 +21,7 @@ def _same(column: str, value: str, ci: bool):
 
 def _on_day(day: str):
     if len(day) != 8 or not day.isdigit():
-        raise ValueError(f"Invalid date format: {day}. Expected YYYYMMDD")
+        raise ValueError(f"not a yyyyMMdd date: {day}")
     return F.col("data_date") == F.lit(dt.datetime.strptime(day, "%Y%m%d").date())
 
 
@@ -30,7 +30,7 @@ def _on_day_or_month(data_date, data_month):
         return _on_day(data_date)
     if data_month:
         return F.col("data_month") == data_month
-    raise ValueError("Either data_date or data_month must be provided")
+    raise ValueError("give a data_date or a data_month")
 
 
 def latest_rows(rows: DataFrame, keys) -> DataFrame:
@@ -82,7 +82,7 @@ def results_by_period(rows, period_type, *, data_date=None, data_month=None, ci=
     elif data_date:
         when = _on_day(data_date)
     else:
-        raise ValueError("data_date required for hourly/daily, data_month required for monthly")
+        raise ValueError("monthly results need a data_month, others a data_date")
     return rows.filter(_same("period_type", period_type, ci) & when).orderBy(
         "task_name", *_newest_first()
     )

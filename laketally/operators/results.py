@@ -104,14 +104,24 @@ def append_results(rows: DataFrame, path: str) -> None:
     )
 
 
-def read_results(spark: SparkSession, path: str, *, since=None) -> DataFrame:
-    """The history. `since` (a date) prunes whole months before it as well."""
+def read_results(
+    spark: SparkSession, path: str, *, since=None, data_date=None, data_month=None
+) -> DataFrame:
+    """The history, or what it has since a date, on a day or in a month.
+
+    `since` is an ISO date, `data_date` yyyyMMdd and `data_month` yyyyMM. Each
+    also selects months, so the files of others are never opened.
+    """
     rows = spark.read.schema(AUDIT_RESULT).parquet(path)
+    month = F.col("data_month")
     if since is not None:
-        day = F.lit(str(since)).cast("date")
-        rows = rows.filter(
-            (F.col("data_date") >= day) & (F.col("data_month") >= str(since).replace("-", "")[:6])
-        )
+        rows = rows.filter(month >= str(since).replace("-", "")[:6])
+        rows = rows.filter(F.col("data_date") >= F.lit(str(since)).cast("date"))
+    if data_date is not None:
+        rows = rows.filter(month == data_date[:6])
+        rows = rows.filter(F.col("data_date") == storage_date(F.lit(data_date)))
+    if data_month is not None:
+        rows = rows.filter(month == data_month)
     return rows
 
 

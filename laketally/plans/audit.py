@@ -27,9 +27,10 @@ from laketally.sources.task_log import task_log_window
 
 @dataclass(frozen=True)
 class Run:
-    """What a run did. `details` is lazy: the preview of a dry run, else the
-    result rows."""
+    """What a run did. `tasks` are the completed tasks it started from and
+    `details` its result rows, or the preview of a dry run."""
 
+    tasks: DataFrame | None
     jobs: DataFrame | None
     details: DataFrame | None
     errors: DataFrame | None
@@ -82,7 +83,8 @@ def run_audit(
     tasks: int | None = None,
     **window,
 ) -> Run:
-    """One audit run at the time `now`. A dry run counts and writes nothing."""
+    """One audit run at the time `now`. A dry run counts nothing and changes
+    neither the history nor the mark."""
     if not dry_run and results_path is None:
         raise ValueError("results_path is needed unless dry_run is set")
     validate(schedules)
@@ -97,7 +99,7 @@ def run_audit(
         if state_path and mark is None and init_now:
             if not dry_run:
                 save_mark(spark, state_path, now, now)
-            return Run(None, None, None, EMPTY, advanced=not dry_run)
+            return Run(None, None, None, None, EMPTY, advanced=not dry_run)
         bounds, capped = next_window(spark, mark, now, settings)
 
     done = choose_tasks(
@@ -113,22 +115,24 @@ def run_audit(
     fetched = done.count()
     jobs = audit_jobs(schedules, done, now.date(), explicit_date=data_date)
     if dry_run:
-        return Run(jobs, preview(jobs), None, {**EMPTY, "total": jobs.count()}, bounds, fetched)
+        summary = {**EMPTY, "total": jobs.count()}
+        return Run(done, jobs, preview(jobs), None, summary, bounds, fetched)
 
     jobs = stored(jobs, "jobs")
-    rows, errors = audit_results(jobs, now, tasks=tasks)
-    rows = stored(rows, "results")
-    append_results(rows, results_path)
-    if errors_path:
-        errors.withColumn("created_at", as_timestamp(now).cast("timestamp")).write.mode("append").parquet(errors_path)
-    summary = run_summary(rows).first().asDict()
+    rows = errors = None
+    summary = dict(EMPTY)
+    if not jobs.isEmpty():
+        rows, errors = audit_results(jobs, now, tasks=tasks)
+        rows = stored(rows, "results")
+        append_results(rows, results_path)
+        if errors_path:
+            created = as_timestamp(now).cast("timestamp")
+            errors.withColumn("created_at", created).write.mode("append").parquet(errors_path)
+        summary = run_summary(rows).first().asDict()
 
     flags = spark.range(1).select(
         advances(
-            F.lit(summary["total"]),
-            F.lit(summary["failed"]),
-            F.lit(summary["partial"]),
-            F.lit(fetched),
+            *[F.lit(n) for n in (summary["total"], summary["failed"], summary["partial"], fetched)],
             advance_on_failure=settings.advance_on_failure,
         ).alias("advance"),
         stalls(F.lit(summary["total"]), F.lit(fetched), F.lit(capped)).alias("stalled"),
@@ -136,9 +140,8 @@ def run_audit(
     advanced = bool(from_log and state_path and flags["advance"])
     if advanced:
         save_mark(spark, state_path, bounds[1], now)
-    return Run(
-        jobs, rows, errors, summary, bounds, fetched, advanced, from_log and flags["stalled"]
-    )
+    stalled = from_log and flags["stalled"]
+    return Run(done, jobs, rows, errors, summary, bounds, fetched, advanced, stalled)
 
 
 def next_window(spark: SparkSession, mark, now, settings: WindowSettings):

@@ -1,36 +1,51 @@
 """Opening paths of any scheme inside a task, and what such tasks share."""
 
-from functools import partial
 from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import SparkSession
 
 
-def open_path(uri: str, default_fs: str = ""):
-    """(file system, its own path, prefix that turns that path back into a URI).
+class Opener:
+    """Finds the file system of a URI; one of these serves one task.
 
-    The path is taken raw, not percent-decoded, as Hadoop paths are. A path
-    without a scheme lies in `default_fs`; its files are named with the scheme.
+    Calling it gives (file system, its own path, prefix that turns that path
+    back into a URI). The path is taken raw, not percent-decoded, as Hadoop
+    paths are. A path without a scheme lies in `default_fs`; its files are
+    named with the scheme unless that is the local file system.
     """
-    from pyarrow.fs import FileSystem, LocalFileSystem
-
-    scheme, found, rest = uri.partition("://")
-    if not found:
-        if uri.startswith("file:"):
-            return LocalFileSystem(), uri[len("file:") :], "file:"
-        if not default_fs or default_fs.startswith("file:"):
-            return LocalFileSystem(), uri, ""
-        return open_path(default_fs.rstrip("/") + uri)
-    if scheme == "file":
-        return LocalFileSystem(), rest, "file://"
-    authority, _, path = rest.partition("/")
-    if scheme in ("s3", "s3a", "s3n", "gs"):
-        store = "gs" if scheme == "gs" else "s3"
-        fs, _ = FileSystem.from_uri(f"{store}://{authority}")
-        return fs, f"{authority}/{path}", f"{scheme}://"
-    fs, _ = FileSystem.from_uri(f"{scheme}://{authority}/")
-    return fs, "/" + path, f"{scheme}://{authority}"
+
+    def __init__(self, default_fs: str = ""):
+        self.default_fs = "" if default_fs.startswith("file:") else default_fs.rstrip("/")
+        self.systems = {}
+
+    def system(self, uri: str):
+        from pyarrow.fs import FileSystem, LocalFileSystem
+
+        if uri not in self.systems:
+            self.systems[uri] = FileSystem.from_uri(uri)[0] if uri else LocalFileSystem()
+        return self.systems[uri]
+
+    def __call__(self, uri: str):
+        if uri.startswith("/"):
+            if not self.default_fs:
+                return self.system(""), uri, ""
+            uri = self.default_fs + uri
+        scheme, found, rest = uri.partition("://")
+        if not found and uri.startswith("file:"):
+            return self.system(""), uri[len("file:") :], "file:"
+        if scheme == "file":
+            return self.system(""), rest, "file://"
+        authority, _, path = rest.partition("/")
+        if scheme in ("s3", "s3a", "s3n", "gs"):
+            store = "gs" if scheme == "gs" else "s3"
+            return self.system(f"{store}://{authority}"), f"{authority}/{path}", f"{scheme}://"
+        return self.system(f"{scheme}://{authority}/"), "/" + path, f"{scheme}://{authority}"
+
+
+def session_opener(spark: SparkSession) -> Opener:
+    default_fs = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS")
+    return Opener(default_fs or "")
 
 
 def default_parallelism(spark: SparkSession) -> int:
@@ -39,12 +54,6 @@ def default_parallelism(spark: SparkSession) -> int:
     return max(shuffle, spark.sparkContext.defaultParallelism)
 
 
-def session_opener(spark: SparkSession):
-    """`open_path` for a session, whose default file system takes bare paths."""
-    default_fs = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS")
-    return partial(open_path, default_fs=default_fs or "")
-
-
 def in_batches(rows, schema: pa.Schema, size: int = 10_000):
     """Arrow batches of a bounded size from any number of dict rows."""
     rows = iter(rows)

@@ -18,7 +18,7 @@ def scan_row_counts(
     """
     name = format.lower()
     if name not in ("orc", "parquet", "textfile"):
-        raise ValueError(f"Unsupported format: {format}")
+        raise ValueError(f"cannot count format {format!r}")
     reader = spark.read.option("recursiveFileLookup", "true")
     if name == "textfile":
         rows = reader.option("lineSep", delimiter).text(list(roots))

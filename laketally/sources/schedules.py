@@ -37,7 +37,7 @@ def _configuration(spark: SparkSession, path: str) -> dict:
     else:
         config = json.loads(text)
     if "schedules" not in config:
-        raise ValueError("Configuration must contain 'schedules' section")
+        raise ValueError(f"{path} has no schedules")
     return config
 
 
@@ -119,7 +119,7 @@ def validate(schedules: DataFrame) -> None:
     found = config_violations(schedules).limit(5).collect()
     if found:
         texts = [f"schedule {r['ord']} ({r['task_name']}): {r['field']}" for r in found]
-        raise ValueError("Configuration misses required fields: " + "; ".join(texts))
+        raise ValueError("required fields are missing: " + "; ".join(texts))
 
 
 def all_task_names(schedules: DataFrame) -> DataFrame:

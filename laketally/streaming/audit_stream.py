@@ -80,6 +80,8 @@ def audit_stream(
         now = clock()
         done_tasks = stored(completed_tasks(batch, order_by=order_by), "tasks")
         jobs = stored(audit_jobs(schedules, done_tasks, now.date()), "jobs")
+        if jobs.isEmpty():
+            return
         rows, _ = audit_results(jobs, now, tasks=tasks)
         rows = stored(rows, "results")
         append_results(rows, results_path)

@@ -113,6 +113,8 @@ def test_counts_and_status(spark, lake, tmp_path):
 
 
 def test_unreadable_child_fails_the_path(spark, lake):
+    put(lake / "bad.parquet", b"x")
+
     def opener(uri):
         from pyarrow.fs import LocalFileSystem
 
@@ -122,7 +124,7 @@ def test_unreadable_child_fails_the_path(spark, lake):
 
     r = results(spark, (lake, "parquet", None), opener=opener)[str(lake)]
     assert (r["row_count"], r["file_count"], r["status"]) == (-1, 0, "failed")
-    assert r["errors"][0]["error"] == "Failed to access path: denied"
+    assert [tuple(e) for e in r["errors"]] == [("", "Failed to access path: denied")]
 
 
 GOLDEN = [
@@ -186,8 +188,9 @@ def test_blocks_within_a_range(tmp_path, monkeypatch, block):
 
 def test_empty_delimiter_is_a_file_error(spark, tmp_path):
     put(tmp_path / "t" / "f", b"abc")
+    put(tmp_path / "t" / "none", b"")
     r = results(spark, (tmp_path / "t", "textfile", ""))[str(tmp_path / "t")]
-    assert (r["status"], r["row_count"]) == ("failed", 0)
+    assert (r["status"], r["row_count"], r["success_file_count"]) == ("partial", 0, 1)
 
 
 def test_compressed_text_counts_raw_bytes(spark, tmp_path):

@@ -86,7 +86,7 @@ def test_named_dates(spark):
     days = ["20240229", "20240301", "20240229", "20240229", None, None, None]
     assert [r["data_date"] for r in out] == days
     assert [r["error"] is None for r in out] == [d is not None for d in days]
-    assert out[5]["error"] == "Invalid date format: 2024-01-01. Expected YYYYMMDD"
+    assert out[5]["error"] == "not a yyyyMMdd date: 2024-01-01"
 
 
 @pytest.mark.parametrize(

@@ -94,7 +94,13 @@ def test_append_and_read(spark, tmp_path):
     assert [r["data_month"] for r in rows.filter("id = 2").collect()] == [None]
     since = results.read_results(spark, path, since="2026-01-01")
     assert [r["id"] for r in since.collect()] == [1]
-    assert "PartitionFilters" in since._jdf.queryExecution().toString()
+    for pruned, ids in (
+        (since, [1]),
+        (results.read_results(spark, path, data_date="20251201"), [3]),
+        (results.read_results(spark, path, data_month="202603"), [1]),
+    ):
+        assert [r["id"] for r in pruned.collect()] == ids
+        assert "PartitionFilters: [isnotnull(data_month" in str(pruned._jdf.queryExecution())
 
 
 def test_json_defaults(spark):
