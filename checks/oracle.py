@@ -468,19 +468,19 @@ ORACLE = {
     "latest_per_table_day": latest("table_name, data_date", "data_date = '1998-04-15'"),
     "latest_per_table_platform": latest("table_name, platform_id, data_date"),
     "latest_result_date": lookup(
-        "table_name = 't7' AND data_date = '1998-04-15' AND platform_id = '2'", NEWEST
+        "table_name = 't1' AND data_date = '1998-07-09' AND platform_id = '2'", NEWEST
     ),
     "latest_result_month": lookup(
-        "table_name = 't7' AND data_month = '199804' AND platform_id = '3'", NEWEST
+        "table_name = 't0' AND data_month = '199506' AND platform_id = '3'", NEWEST
     ),
     "latest_result_any": lookup("table_name = 't7' AND platform_id = '1'", NEWEST),
     "latest_result_ci": lookup("table_name = 't7' AND platform_id = '1'", NEWEST),
-    "results_by_partner": lookup("partner_id = '1' AND data_date = '1998-04-15'"),
+    "results_by_partner": lookup("partner_id = '0' AND data_date = '1995-01-14'"),
     "results_by_partner_month": lookup("partner_id = '1' AND data_month = '199804'"),
     "results_by_interface": lookup("interface_id = '3' AND data_month = '199804'"),
-    "results_by_interface_date": lookup("interface_id = '3' AND data_date = '1998-04-15'"),
+    "results_by_interface_date": lookup("interface_id = '0' AND data_date = '1995-02-04'"),
     "results_by_batch": lookup("batch_no = '19980415'"),
-    "results_by_period": lookup("period_type = 'monthly' AND data_month = '199804'"),
+    "results_by_period": lookup("period_type = 'monthly' AND data_month = '199504'"),
     "results_by_period_date": lookup("period_type = 'daily' AND data_date = '1998-04-15'"),
     "table_last_7_days": lookup("table_name = 't7' AND data_date >= '2001-07-13'"),
     "failed_results": lookup("status = 'failed'"),

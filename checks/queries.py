@@ -589,14 +589,14 @@ def latest_per_table_platform(spark, sf_dir):
 def latest_result_date(spark, sf_dir):
     rows = inputs.history(spark, sf_dir)
     return _lookup(
-        history.latest_result(rows, "t7", data_date="19980415", data_month="199901", platform_id="2")
+        history.latest_result(rows, "t1", data_date="19980709", data_month="199901", platform_id="2")
     )
 
 
 @query
 def latest_result_month(spark, sf_dir):
     rows = inputs.history(spark, sf_dir)
-    return _lookup(history.latest_result(rows, "t7", data_month="199804", platform_id="3"))
+    return _lookup(history.latest_result(rows, "t0", data_month="199506", platform_id="3"))
 
 
 @query
@@ -615,7 +615,7 @@ def latest_result_ci(spark, sf_dir):
 @query
 def results_by_partner(spark, sf_dir):
     rows = inputs.history(spark, sf_dir)
-    return _lookup(history.results_by_partner(rows, "1", data_date="19980415"))
+    return _lookup(history.results_by_partner(rows, "0", data_date="19950114"))
 
 
 @query
@@ -633,7 +633,7 @@ def results_by_interface(spark, sf_dir):
 @query
 def results_by_interface_date(spark, sf_dir):
     rows = inputs.history(spark, sf_dir)
-    return _lookup(history.results_by_interface(rows, "3", data_date="19980415"))
+    return _lookup(history.results_by_interface(rows, "0", data_date="19950204"))
 
 
 @query
@@ -644,7 +644,7 @@ def results_by_batch(spark, sf_dir):
 @query
 def results_by_period(spark, sf_dir):
     rows = inputs.history(spark, sf_dir)
-    return _lookup(history.results_by_period(rows, "monthly", data_month="199804"))
+    return _lookup(history.results_by_period(rows, "monthly", data_month="199504"))
 
 
 @query
