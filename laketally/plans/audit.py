@@ -44,13 +44,13 @@ class Run:
 EMPTY = {"total": 0, "success": 0, "partial": 0, "failed": 0}
 
 
-def audit_results(jobs: DataFrame, created_at, *, tasks=None, store=stored):
+def audit_results(jobs: DataFrame, created_at, **count_options):
     """(result rows, error rows) of the jobs; every distinct path counts once.
 
     The per-file counts are stored first: totals and errors both read them, and
     the files should be opened once.
     """
-    counts = store(count_files(jobs, tasks=tasks), "file-counts")
+    counts = stored(count_files(jobs, **count_options), "file-counts")
     return result_rows(jobs, path_results(counts), created_at), path_errors(counts)
 
 
@@ -80,11 +80,14 @@ def run_audit(
     dry_run=False,
     init_now=False,
     reset=False,
-    tasks: int | None = None,
+    count_options: dict | None = None,
     **window,
 ) -> Run:
     """One audit run at the time `now`. A dry run counts nothing and changes
-    neither the history nor the mark."""
+    neither the history nor the mark.
+
+    `count_options` go to `count_files`, anything else to `task_log_window`.
+    """
     if not dry_run and results_path is None:
         raise ValueError("results_path is needed unless dry_run is set")
     validate(schedules)
@@ -122,7 +125,7 @@ def run_audit(
     rows = errors = None
     summary = dict(EMPTY)
     if not jobs.isEmpty():
-        rows, errors = audit_results(jobs, now, tasks=tasks)
+        rows, errors = audit_results(jobs, now, **(count_options or {}))
         rows = stored(rows, "results")
         append_results(rows, results_path)
         if errors_path:

@@ -121,7 +121,8 @@ def load_mark(spark: SparkSession, path: str) -> dt.datetime | None:
 
 
 def save_mark(spark: SparkSession, path: str, last_end, updated_at) -> None:
-    """Append a mark. A reset appends one with a NULL `last_end`."""
+    """Append a mark. A reset appends one with a NULL `last_end`. Files of
+    older marks may be deleted at any time."""
     times = {"last_end_time": last_end, "updated_at": updated_at}
     row = spark.range(1).select(
         *[as_timestamp(t).cast("timestamp").alias(c) for c, t in times.items()]

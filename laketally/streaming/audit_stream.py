@@ -66,7 +66,7 @@ def audit_stream(
     init_time=None,
     advance_on_failure=False,
     order_by=("complete_dt",),
-    tasks=None,
+    **count_options,
 ):
     """Audit each micro-batch of the log and append its result rows.
 
@@ -82,7 +82,7 @@ def audit_stream(
         jobs = stored(audit_jobs(schedules, done_tasks, now.date()), "jobs")
         if jobs.isEmpty():
             return
-        rows, _ = audit_results(jobs, now, tasks=tasks)
+        rows, _ = audit_results(jobs, now, **count_options)
         rows = stored(rows, "results")
         append_results(rows, results_path)
         s = run_summary(rows).first()

@@ -7,6 +7,8 @@ from pyspark.errors import StreamingQueryException
 
 from laketally import sources
 from laketally.operators import history, results
+from laketally.operators.tasks import completed_tasks
+from laketally.sources import task_log_window
 from laketally.streaming import (
     audit_stream,
     completed_task_stream,
@@ -70,6 +72,31 @@ def test_dedup_within_the_delay(spark, source, tmp_path):
     assert tasks_of(spark.read.parquet(path)) == sorted((f"t{i}", "20260309") for i in range(50))
 
 
+def test_where_batch_and_stream_differ(spark, source, tmp_path):
+    """On one log the history stream equals the batch; the deduplicating
+    stream lacks what came later than its delay."""
+    add, stream = source
+    add(("a", "20260309", 0), ("b", "20260309", 3))
+    add(("a", "20260309", 5), ("c", "20260309", 60))
+    add(("d", "20260309", 61))  # a batch on, as Spark drops late rows by the mark before
+    add(("b", "20260309", 62), ("late", "20260308", 1), ("d", "20260309", 63))
+    history_path, dedup_path = str(tmp_path / "h"), str(tmp_path / "d")
+    drain(task_history_stream(stream, history_path, str(tmp_path / "hc")))
+    once = completed_task_stream(stream, delay="10 minutes").writeStream.format("parquet")
+    drain(once.option("path", dedup_path).option("checkpointLocation", str(tmp_path / "dc")))
+
+    log = spark.read.schema(LOG).parquet(str(tmp_path / "log"))
+    batch = completed_tasks(task_log_window(log, T0, T0 + dt.timedelta(hours=2)))
+    everything = tasks_of(batch)
+    assert [t for t, _ in everything] == ["a", "b", "c", "d", "late"]
+    assert tasks_of(first_completions(spark.read.parquet(history_path))) == everything
+    streamed = tasks_of(spark.read.parquet(dedup_path))
+    assert ("late", "20260308") not in streamed
+    # The state of `b` had expired by its repeat an hour later.
+    assert streamed.count(("b", "20260309")) == 2
+    assert set(streamed) == set(everything) - {("late", "20260308")}
+
+
 def test_cold_start_skips_history(spark, source, tmp_path):
     add, stream = source
     path = str(tmp_path / "h")
