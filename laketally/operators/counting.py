@@ -19,7 +19,6 @@ from laketally.sources.filesystems import default_parallelism, in_batches, sessi
 from laketally.sources.listing import list_files
 
 PATH_KEYS = ["hdfs_path", "format", "delimiter"]
-FORMATS = ("orc", "parquet", "textfile")
 
 SPLIT_BYTES = 256 * 1024 * 1024
 BLOCK_BYTES = 8 * 1024 * 1024
@@ -78,8 +77,9 @@ def text_range_rows(fs, path: str, size: int, start: int, length: int, delimiter
     return found
 
 
-# The extension point for a further format: file system, path -> rows.
-FOOTER_READERS = {"parquet": parquet_rows, "orc": orc_rows}
+# Format -> (file system, path -> rows), for files whose rows are counted as a
+# whole. The extension point for further formats.
+FILE_READERS = {"parquet": parquet_rows, "orc": orc_rows}
 
 
 def count_files(
@@ -104,7 +104,7 @@ def count_files(
         F.lower("format").alias("format"),
         normalise_delimiter("delimiter").alias("delimiter"),
     ).distinct()
-    known = F.coalesce(F.col("format").isin(*FORMATS), F.lit(False))
+    known = F.coalesce(F.col("format").isin("textfile", *FILE_READERS), F.lit(False))
 
     listed = list_files(keys.filter(known), levels=levels, tasks=n, opener=opener)
     ranged = (F.col("kind") == "file") & (F.col("format") == "textfile") & (F.col("size") > 0)
@@ -140,8 +140,8 @@ def _counter(schema, split_bytes: int, opener):
 
     def rows_of(piece):
         fs, path, _ = opener(piece["file"])
-        if piece["format"] in FOOTER_READERS:
-            return FOOTER_READERS[piece["format"]](fs, path)
+        if piece["format"] in FILE_READERS:
+            return FILE_READERS[piece["format"]](fs, path)
         delimiter = piece["delimiter"].encode()
         return text_range_rows(fs, path, piece["size"], piece["start"], split_bytes, delimiter)
 

@@ -97,13 +97,15 @@ def stalls(total, fetched, capped) -> Column:
 
 
 def latest_state(states: DataFrame, by=()) -> DataFrame:
-    """The mark saved last; NULL after a reset or when nothing is readable."""
-    return states.groupBy(*by).agg(F.max_by("last_end_time", "updated_at").alias("last_end_time"))
+    """The mark saved last; NULL after a reset or when nothing is readable.
+    A mark that does not say when it was saved counts from its own time."""
+    saved = F.coalesce("updated_at", "last_end_time")
+    return states.groupBy(*by).agg(F.max_by("last_end_time", saved).alias("last_end_time"))
 
 
 def read_state(spark: SparkSession, path: str) -> DataFrame:
-    """The saved marks, JSON lines. Lines that cannot be read become NULLs."""
-    return spark.read.schema(STATE).json(path)
+    """The saved marks, one JSON object per file. Unreadable ones become NULLs."""
+    return spark.read.schema(STATE).option("multiLine", "true").json(path)
 
 
 def load_mark(spark: SparkSession, path: str) -> dt.datetime | None:

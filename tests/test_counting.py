@@ -238,3 +238,13 @@ def test_many_errors_stay_whole(spark):
     assert r["errors"][999]["file"] == "f00999"
     assert r["errors"][1000]["error"] == "1500 more errors in the error table"
     assert counting.path_errors(files).count() == 2500
+
+
+def test_further_format(spark, tmp_path, monkeypatch):
+    def fixed_width(fs, path):
+        return fs.get_file_info(path).size // 4
+
+    monkeypatch.setitem(counting.FILE_READERS, "fixed4", fixed_width)
+    put(tmp_path / "t" / "f", b"aaaabbbbcccc")
+    r = results(spark, (tmp_path / "t", "Fixed4", None))[str(tmp_path / "t")]
+    assert (r["row_count"], r["status"]) == (3, "success")
