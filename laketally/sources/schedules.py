@@ -4,57 +4,86 @@ import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from laketally.schemas import SCHEDULE, TEMPLATE_VAR
+from laketally.sources.filesystems import in_batches
+
+
+def _typed(rows: DataFrame, schema: T.StructType, key: str) -> DataFrame:
+    """Typed columns of JSON bodies; absent fields are NULL, numbers strings."""
+    parsed = rows.select(key, F.from_json("body", schema).alias("s"))
+    return parsed.select(key, *[f"s.{f.name}" for f in schema.fields if f.name != key])
 
 
 def schedules_from_dicts(spark: SparkSession, schedules) -> DataFrame:
-    """Schedules given as the nested dicts of a configuration file."""
-    # Through JSON, so that absent keys are NULL and numbers become strings.
+    """Schedules given as the nested dicts of a configuration."""
     rows = [(i, json.dumps(s, ensure_ascii=False)) for i, s in enumerate(schedules)]
-    raw = spark.createDataFrame(rows, "ord bigint, body string")
-    parsed = raw.select("ord", F.from_json("body", SCHEDULE).alias("s"))
-    return parsed.select("ord", *[f"s.{f.name}" for f in SCHEDULE.fields[1:]])
+    return _typed(spark.createDataFrame(rows, "ord bigint, body string"), SCHEDULE, "ord")
 
 
 def variables_from_dicts(spark: SparkSession, variables) -> DataFrame:
     """Template variables given as the {name: definition} of a configuration."""
     rows = [(name, json.dumps(v, ensure_ascii=False)) for name, v in variables.items()]
-    raw = spark.createDataFrame(rows, "var string, body string")
-    parsed = raw.select("var", F.from_json("body", TEMPLATE_VAR).alias("v"))
-    return parsed.select("var", *[f"v.{f.name}" for f in TEMPLATE_VAR.fields[1:]])
+    return _typed(spark.createDataFrame(rows, "var string, body string"), TEMPLATE_VAR, "var")
 
 
-def _configuration(spark: SparkSession, path: str) -> dict:
-    """One YAML or JSON configuration file, which is read whole."""
-    text = spark.read.text(path, wholetext=True).first()[0]
-    if path.endswith((".yml", ".yaml")):
-        try:
-            import yaml
-        except ImportError as e:
-            raise ImportError("reading YAML needs PyYAML; use JSON") from e
-        config = yaml.safe_load(text) or {}
-    else:
-        config = json.loads(text)
-    if "schedules" not in config:
-        raise ValueError(f"{path} has no schedules")
-    return config
+CONFIG_ROW = T.StructType(
+    [
+        T.StructField("section", T.StringType()),
+        T.StructField("ord", T.LongType()),
+        T.StructField("var", T.StringType()),
+        T.StructField("body", T.StringType()),
+    ]
+)
+
+
+def _config_rows(spark: SparkSession, path: str) -> DataFrame:
+    """The schedules and variables of a YAML or JSON file, a row each.
+
+    The file is parsed in the task that reads it; YAML needs PyYAML there.
+    """
+    is_yaml, schema = path.endswith((".yml", ".yaml")), to_arrow_schema(CONFIG_ROW)
+
+    def parse(text):
+        if not is_yaml:
+            return json.loads(text)
+        import yaml
+
+        return yaml.safe_load(text) or {}
+
+    def rows(text):
+        config = parse(text)
+        if "schedules" not in config:
+            raise ValueError(f"{path} has no schedules")
+        for i, schedule in enumerate(config["schedules"]):
+            yield {"section": "schedule", "ord": i, "body": json.dumps(schedule, ensure_ascii=False)}
+        for var, definition in (config.get("template_vars") or {}).items():
+            body = json.dumps(definition, ensure_ascii=False)
+            yield {"section": "variable", "var": var, "body": body}
+
+    def run(batches):
+        texts = (text for batch in batches for text in batch.column(0).to_pylist())
+        yield from in_batches((row for text in texts for row in rows(text)), schema)
+
+    return spark.read.text(path, wholetext=True).mapInArrow(run, CONFIG_ROW)
 
 
 def read_schedules(spark: SparkSession, path: str) -> DataFrame:
     """Schedules from one YAML file or from any number of JSON lines, which
     carry an `ord` field."""
     if path.endswith((".yml", ".yaml")):
-        return schedules_from_dicts(spark, _configuration(spark, path)["schedules"])
+        return read_templates(spark, path)[0]
     return spark.read.schema(SCHEDULE).json(path)
 
 
 def read_templates(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """(templates, variables) of one YAML or JSON template file."""
-    config = _configuration(spark, path)
+    rows = _config_rows(spark, path)
     return (
-        schedules_from_dicts(spark, config["schedules"]),
-        variables_from_dicts(spark, config.get("template_vars") or {}),
+        _typed(rows.filter("section = 'schedule'"), SCHEDULE, "ord"),
+        _typed(rows.filter("section = 'variable'"), TEMPLATE_VAR, "var"),
     )
 
 

@@ -1,6 +1,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.errors import PythonException
 from pyspark.sql import functions as F
 
 from laketally import sources
@@ -168,8 +169,8 @@ def test_yaml_schedules(spark, tmp_path):
     row = sources.schedule_tables(sources.read_schedules(spark, str(f))).first()
     assert (row["interface_id"], row["partner_id"], row["period_type"]) == ("03041", "2", "daily")
     f.write_text("defaults: {}\n")
-    with pytest.raises(ValueError, match="schedules"):
-        sources.read_schedules(spark, str(f))
+    with pytest.raises(PythonException, match="has no schedules"):
+        sources.read_schedules(spark, str(f)).collect()
 
 
 def test_violations(spark):
