@@ -2,10 +2,12 @@
 
 from functools import wraps
 
+from pyarrow.fs import FileType
 from pyspark.sql import functions as F
 
 from checks.inputs import table
 from laketally.plans.scratch import scratch_path
+from laketally.sources.filesystems import session_opener
 
 
 def written(df, path, format, partitions, **options):
@@ -14,14 +16,19 @@ def written(df, path, format, partitions, **options):
     writer.format(format).options(**options).mode("append").save(path)
 
 
+def exists(spark, path: str) -> bool:
+    fs, inner, _ = session_opener(spark)(path)
+    return fs.get_file_info(inner).type != FileType.NotFound
+
+
 def once(write):
-    """Write a lake the first time a session asks for it."""
+    """Write a lake when a session first asks for it, or when it is gone."""
     paths = {}
 
     @wraps(write)
     def path(spark, sf_dir, *args):
         key = (spark.sparkContext.applicationId, sf_dir, *args)
-        if key not in paths:
+        if key not in paths or not exists(spark, paths[key]):
             paths[key] = write(spark, sf_dir, *args)
         return paths[key]
 
