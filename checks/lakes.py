@@ -10,10 +10,23 @@ from laketally.plans.scratch import scratch_path
 from laketally.sources.filesystems import session_opener
 
 
+COALESCE = "spark.sql.adaptive.coalescePartitions.enabled"
+
+
 def written(df, path, format, partitions, **options):
-    """Write a table by partition, splitting partitions that are too large."""
-    writer = df.hint("rebalance", *partitions).write.partitionBy(*partitions)
-    writer.format(format).options(**options).mode("append").save(path)
+    """Write a table by partition, splitting partitions that are too large.
+
+    Small ones are not gathered into fewer tasks: here the time goes into the
+    number of folders, not their bytes.
+    """
+    conf = df.sparkSession.conf
+    before = conf.get(COALESCE)
+    conf.set(COALESCE, "false")
+    try:
+        writer = df.hint("rebalance", *partitions).write.partitionBy(*partitions)
+        writer.format(format).options(**options).mode("append").save(path)
+    finally:
+        conf.set(COALESCE, before)
 
 
 def exists(spark, path: str) -> bool:
@@ -66,8 +79,8 @@ def staged_lake(spark, sf_dir) -> str:
 
 @once
 def event_lake(spark, sf_dir) -> str:
-    """Clicks as ORC by hour, purchases as Parquet by month, views as text by
-    day with two lines each. Nothing is written for signups and errors."""
+    """Clicks as text by hour with two lines each, views as ORC by day,
+    purchases as Parquet by month. Nothing is written for signups and errors."""
     path = scratch_path(spark, "events-lake")
     events = table(spark, sf_dir, "events").withColumns(
         {
@@ -81,10 +94,10 @@ def event_lake(spark, sf_dir) -> str:
         return events.filter(F.col("event_type") == kind)
 
     facts = ["event_id", "user_id", "value"]
-    written(of("click").select(*facts, "ymd", "hour"), f"{path}/click", "orc", ["ymd", "hour"])
-    written(of("purchase").select(*facts, "ym"), f"{path}/purchase", "parquet", ["ym"])
     lines = F.concat(F.col("event_id").cast("string"), F.lit("\n"), F.col("props")).alias("line")
-    written(of("view").select(lines, "ymd"), f"{path}/view", "text", ["ymd"])
+    written(of("click").select(lines, "ymd", "hour"), f"{path}/click", "text", ["ymd", "hour"])
+    written(of("view").select(*facts, "ymd"), f"{path}/view", "orc", ["ymd"])
+    written(of("purchase").select(*facts, "ym"), f"{path}/purchase", "parquet", ["ym"])
     return path
 
 
@@ -116,7 +129,7 @@ def event_schedules(spark, sf_dir, lake: str):
         )
 
     click = F.array(
-        entry("ods.click", "click", "orc", "ymd=${data_date}/hour=${data_hour}"),
+        entry("ods.click", "click", "TextFile", "ymd=${data_date}/hour=${data_hour}"),
         entry("ods.copy", "copy", "orc", "ymd=${data_date}"),
     )
     kind = F.col("event_type")
@@ -132,7 +145,7 @@ def event_schedules(spark, sf_dir, lake: str):
         F.lit(None).cast("string").alias("loop_var"),
         F.when(kind == "click", click)
         .when(kind == "purchase", F.array(entry("ods.purchase", "purchase", "PARQUET", "/ym=${data_month}")))
-        .when(kind == "view", F.array(entry("ods.view", "view/", "textfile", "ymd=${data_date}")))
+        .when(kind == "view", F.array(entry("ods.view", "view/", "orc", "ymd=${data_date}")))
         .otherwise(F.array(entry("ods.signup", "signup", "csv", None)))
         .alias("tables"),
     )

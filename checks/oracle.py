@@ -248,9 +248,9 @@ ORACLE = {
         + CASE WHEN ends_with(text, '. ') THEN 0 ELSE 1 END END AS row_count FROM documents""",
     "list_data_files": """SELECT 'day=' || strftime(ts, '%Y%m%d') AS folder, count(*) AS row_count FROM events
         WHERE event_type NOT IN ('error', 'signup') GROUP BY 1""",
-    "count_dispatch_by_format": """SELECT event_type, CASE event_type WHEN 'click' THEN 'orc' WHEN 'purchase' THEN 'parquet'
-            WHEN 'view' THEN 'textfile' ELSE 'csv' END AS format,
-        CASE WHEN event_type IN ('click', 'purchase') THEN count(*) WHEN event_type = 'view' THEN 2 * count(*)
+    "count_dispatch_by_format": """SELECT event_type, CASE event_type WHEN 'click' THEN 'textfile' WHEN 'purchase' THEN 'parquet'
+            WHEN 'view' THEN 'orc' ELSE 'csv' END AS format,
+        CASE WHEN event_type IN ('view', 'purchase') THEN count(*) WHEN event_type = 'click' THEN 2 * count(*)
             ELSE -1 END AS row_count,
         CASE WHEN event_type IN ('click', 'purchase', 'view') THEN 'success' ELSE 'failed' END AS status
         FROM events GROUP BY event_type""",
@@ -452,7 +452,7 @@ ORACLE = {
                 WHEN 'click' THEN '/click/ymd=' || substr(batch_no, 1, 8) || '/hour=' || substr(batch_no, 9, 2)
                 WHEN 'purchase' THEN '/purchase/ym=' || batch_no WHEN 'view' THEN '/view/ymd=' || batch_no
                 ELSE '/signup' END AS path,
-                CASE task_name WHEN 'view' THEN 2 * n WHEN 'signup' THEN -1 ELSE n END AS row_count,
+                CASE task_name WHEN 'click' THEN 2 * n WHEN 'signup' THEN -1 ELSE n END AS row_count,
                 CASE WHEN task_name = 'signup' THEN 'Invalid format: csv. Supported formats: orc, parquet, textfile' END AS error
             FROM batches
             UNION ALL SELECT *, 'ods.copy', '/copy/ymd=' || substr(batch_no, 1, 8), -1,

@@ -104,6 +104,12 @@ def append_results(rows: DataFrame, path: str) -> None:
     )
 
 
+def append_errors(errors: DataFrame, path: str, created_at) -> None:
+    """Append all errors of a run, one row each, beside the history."""
+    created = as_timestamp(created_at).cast("timestamp")
+    errors.withColumn("created_at", created).write.mode("append").parquet(path)
+
+
 def read_results(
     spark: SparkSession, path: str, *, since=None, data_date=None, data_month=None
 ) -> DataFrame:

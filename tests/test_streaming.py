@@ -117,6 +117,7 @@ def test_failed_batch_is_replayed(spark, source, tmp_path):
             config,
             f"{tmp_path}/results",
             f"{tmp_path}/check",
+            errors_path=f"{tmp_path}/errors",
             clock=lambda: dt.datetime(2026, 3, 10) + dt.timedelta(minutes=next(ticks)),
         )
 
@@ -137,6 +138,9 @@ def test_failed_batch_is_replayed(spark, source, tmp_path):
         ("20260307", "success"), ("20260308", "failed"),
     ]
 
+    errors = spark.read.parquet(f"{tmp_path}/errors").collect()
+    assert [e["hdfs_path"] for e in errors] == [f"{tmp_path}/lake/ymd=20260308"]
+
     lake("20260308", 2)
     drain(start())
     rows = results.read_results(spark, f"{tmp_path}/results")
