@@ -135,7 +135,8 @@ def count_dispatch_by_format(spark, sf_dir):
     lake = lakes.event_lake(spark, sf_dir)
     kinds = table(spark, sf_dir, "events").select("event_type").distinct()
     fmt = F.expr(
-        "CASE event_type WHEN 'click' THEN 'TEXTFILE' WHEN 'purchase' THEN 'Parquet' WHEN 'view' THEN 'ORC' ELSE 'csv' END"
+        """CASE event_type WHEN 'click' THEN 'TEXTFILE' WHEN 'purchase' THEN 'Parquet'
+           WHEN 'view' THEN 'ORC' ELSE 'csv' END"""
     )
     roots = kinds.select(
         F.concat(F.lit(lake + "/"), "event_type").alias("hdfs_path"),

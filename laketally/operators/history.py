@@ -60,7 +60,9 @@ def latest_result(
 
 
 def results_by_partner(rows, partner_id, *, data_date=None, data_month=None, ci=False):
-    kept = rows.filter(_same("partner_id", partner_id, ci) & _on_day_or_month(data_date, data_month))
+    kept = rows.filter(
+        _same("partner_id", partner_id, ci) & _on_day_or_month(data_date, data_month)
+    )
     return kept.orderBy("table_name", *_newest_first())
 
 

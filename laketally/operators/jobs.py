@@ -34,10 +34,11 @@ def _matched(tables: DataFrame, tasks: DataFrame) -> DataFrame:
 
 
 def _same_period():
-    return (F.coalesce("log_period", F.lit("")) == "") | (F.col("log_period") == F.col("period_type"))
+    unset = F.coalesce("log_period", F.lit("")) == ""
+    return unset | (F.col("log_period") == F.col("period_type"))
 
 
-def build_jobs(schedules: DataFrame, tasks: DataFrame, run_date, *, explicit_date=None) -> DataFrame:
+def build_jobs(schedules: DataFrame, tasks: DataFrame, run_date, *, explicit_date=None):
     """All jobs, those with an unfilled path included, plus `ord, table_ord`."""
     matched = _matched(schedule_tables(schedules), tasks).filter(_same_period())
     dates = resolve_dates(

@@ -56,34 +56,38 @@ def result_rows(jobs: DataFrame, results: DataFrame, created_at) -> DataFrame:
     """One audit_result row per job: the job's columns and its path's counts.
 
     `created_at` is the time of the run, a datetime or a column. The id is a
-    hash of that time and the job, so a retried task writes the same id.
+    hash of that time and the job, so a retried task writes the same id. A job
+    without a result is kept, as failed.
     """
+
+    def filled(column, default):
+        return F.coalesce(column, F.lit(default)).alias(column)
+
     created = F.date_trunc("second", as_timestamp(created_at).cast("timestamp"))
     keyed = jobs.withColumns(
         {"format": F.lower("format"), "delimiter": normalise_delimiter("delimiter")}
     )
-    text = lambda c, default: F.coalesce(c, F.lit(default)).alias(c)
-    return keyed.join(results, PATH_KEYS).select(
+    return keyed.join(results, PATH_KEYS, "left").select(
         F.xxhash64(
             created, "ord", "table_ord", "task_name", "batch_no", "hdfs_path", "format", "delimiter"
         ).alias("id"),
         "task_name",
-        text("interface_id", ""),
-        text("platform_id", ""),
-        text("partner_id", ""),
+        filled("interface_id", ""),
+        filled("platform_id", ""),
+        filled("partner_id", ""),
         "table_name",
         "hdfs_path",
-        text("period_type", "daily"),
-        text("batch_no", ""),
+        filled("period_type", "daily"),
+        filled("batch_no", ""),
         storage_date("data_date").alias("data_date"),
         "data_month",
         "data_hour",
-        "row_count",
-        "file_count",
-        "total_size_bytes",
-        "status",
+        filled("row_count", -1),
+        filled("file_count", 0),
+        filled("total_size_bytes", 0),
+        filled("status", "failed"),
         F.when(F.size("errors") > 0, F.to_json("errors")).alias("error_msg"),
-        "duration_ms",
+        filled("duration_ms", 0),
         created.alias("created_at"),
     )
 

@@ -149,9 +149,8 @@ def run_audit(
 def next_window(spark: SparkSession, mark, now, settings: WindowSettings):
     """((start, end), is it capped) of the window after a mark."""
     mark, now = (as_timestamp(t).cast("timestamp_ntz") for t in (mark, now))
-    w = spark.range(1).select(
-        window_bounds(mark, now, settings).alias("w"), is_capped(mark, now, settings).alias("capped")
-    ).first()
+    bounds, capped = window_bounds(mark, now, settings), is_capped(mark, now, settings)
+    w = spark.range(1).select(bounds.alias("w"), capped.alias("capped")).first()
     return (w["w"]["start_time"], w["w"]["end_time"]), w["capped"]
 
 

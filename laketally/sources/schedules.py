@@ -58,7 +58,8 @@ def _config_rows(spark: SparkSession, path: str) -> DataFrame:
         if "schedules" not in config:
             raise ValueError(f"{path} has no schedules")
         for i, schedule in enumerate(config["schedules"]):
-            yield {"section": "schedule", "ord": i, "body": json.dumps(schedule, ensure_ascii=False)}
+            body = json.dumps(schedule, ensure_ascii=False)
+            yield {"section": "schedule", "ord": i, "body": body}
         for var, definition in (config.get("template_vars") or {}).items():
             body = json.dumps(definition, ensure_ascii=False)
             yield {"section": "variable", "var": var, "body": body}

@@ -16,7 +16,9 @@ from laketally.plans.scratch import stored
 def _finished(log: DataFrame, done, init_time) -> DataFrame:
     """Finished tasks; `init_time` leaves out the history before a cold start."""
     kept = log.filter(F.col("state") == F.lit(done))
-    return kept if init_time is None else kept.filter(F.col("complete_dt") >= as_timestamp(init_time))
+    if init_time is not None:
+        kept = kept.filter(F.col("complete_dt") >= as_timestamp(init_time))
+    return kept
 
 
 def completed_task_stream(log: DataFrame, *, delay="10 minutes", done=1, init_time=None):

@@ -6,9 +6,10 @@ import pyarrow.orc as orc
 import pytest
 
 from laketally import sources
-from laketally.operators import history, results
+from laketally.operators import counting, history, results
+from laketally.operators.jobs import audit_jobs
 from laketally.plans import incremental
-from laketally.plans.audit import run_audit
+from laketally.plans.audit import choose_tasks, run_audit
 
 NOW = dt.datetime(2026, 3, 10, 12)
 LOG = "task_name string, period_type string, batch_no string, state int, complete_dt timestamp_ntz"
@@ -170,3 +171,11 @@ def test_times_are_of_the_session_zone(spark, run, tmp_path, shanghai):
     assert '"last_end_time":"2026-03-10T12:00:00.000+08:00"' in saved
     created = r.details.selectExpr("date_format(created_at, 'HH:mm') AS t").first()["t"]
     assert created == "12:00"
+
+
+def test_jobs_without_a_result_are_kept(spark, config):
+    done = choose_tasks(config)
+    planned = audit_jobs(config, done, NOW.date())
+    counts = counting.path_results(counting.count_files(planned)).filter("false")
+    row = results.result_rows(planned, counts, NOW).first()
+    assert (row["row_count"], row["status"], row["file_count"]) == (-1, "failed", 0)
