@@ -11,11 +11,10 @@ DAY_FORMAT = "yyyyMMdd"
 
 
 def as_date(run_date) -> Column:
-    """A date column from a date, an ISO date string or a column."""
-    if isinstance(run_date, Column):
-        return run_date.cast("date")
-    if isinstance(run_date, dt.datetime):
-        run_date = run_date.date()
+    """A date column from a date, an ISO date string, a datetime or a column.
+    The date of an instant is that of the session's zone."""
+    if isinstance(run_date, (Column, dt.datetime)):
+        return as_timestamp(run_date).cast("date")
     return F.lit(str(run_date)).cast("date")
 
 

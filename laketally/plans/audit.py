@@ -116,7 +116,7 @@ def run_audit(
     # The log may grow while the run lasts; its jobs must not.
     done = stored(done, "tasks")
     fetched = done.count()
-    jobs = audit_jobs(schedules, done, now.date(), explicit_date=data_date)
+    jobs = audit_jobs(schedules, done, now, explicit_date=data_date)
     if dry_run:
         summary = {**EMPTY, "total": jobs.count()}
         return Run(done, jobs, preview(jobs), None, summary, bounds, fetched)

@@ -64,7 +64,7 @@ def audit_stream(
     checkpoint: str,
     *,
     errors_path: str | None = None,
-    clock=dt.datetime.now,
+    clock=lambda: dt.datetime.now(dt.timezone.utc),
     done=1,
     init_time=None,
     advance_on_failure=False,
@@ -82,7 +82,7 @@ def audit_stream(
     def audit_batch(batch: DataFrame, batch_id: int) -> None:
         now = clock()
         done_tasks = stored(completed_tasks(batch, order_by=order_by), "tasks")
-        jobs = stored(audit_jobs(schedules, done_tasks, now.date()), "jobs")
+        jobs = stored(audit_jobs(schedules, done_tasks, now), "jobs")
         if jobs.isEmpty():
             return
         rows, errors = audit_results(jobs, now, **count_options)

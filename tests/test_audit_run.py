@@ -4,6 +4,7 @@ import json
 import pyarrow as pa
 import pyarrow.orc as orc
 import pytest
+from pyspark.sql import functions as F
 
 from laketally import sources
 from laketally.operators import counting, history, results
@@ -179,3 +180,13 @@ def test_jobs_without_a_result_are_kept(spark, config):
     counts = counting.path_results(counting.count_files(planned)).filter("false")
     row = results.result_rows(planned, counts, NOW).first()
     assert (row["row_count"], row["status"], row["file_count"]) == (-1, "failed", 0)
+
+
+def test_run_date_is_of_the_session_zone(spark, run, tmp_path, shanghai):
+    write(tmp_path / "lake" / "ymd=20260309", 4)
+    evening = dt.datetime(2026, 3, 9, 20, tzinfo=dt.timezone.utc)  # March 10 there
+    done = log(spark, "").withColumn("complete_dt", F.expr("TIMESTAMP_NTZ'2026-03-10 03:00:00'"))
+    r = run(done, now=evening)
+    assert r.window == (dt.datetime(2026, 3, 9, 4), dt.datetime(2026, 3, 10, 4))
+    assert [x["row_count"] for x in r.details.collect()] == [4]
+    assert mark(spark, tmp_path) == dt.datetime(2026, 3, 10, 4)
