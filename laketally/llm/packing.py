@@ -20,8 +20,11 @@ packed each on its own; a null doc_id is kept. An empty table gives no pieces.
 import heapq
 import os
 import re
+import sys
 from collections.abc import Iterator
 from itertools import islice
+from struct import pack as pack_ids
+from types import ModuleType
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -34,8 +37,8 @@ TIERS = (1024, 512, 256, 128)
 #: Tokens packed together, and tokens of a step group.
 PACK_TOKENS = 1 << 21
 STEP_TOKENS = 64 * 1024
-#: Distinct pieces of text whose ids a task keeps.
-CACHE = 200_000
+#: Distinct pieces of text whose ids a worker keeps, twice over.
+CACHE = 300_000
 TOKENIZER = "byte_bpe_50k.json"
 
 #: A blank between two other characters always begins a new pre-token.
@@ -59,29 +62,44 @@ class Encoder:
     """Ids of texts as little-endian 32-bit bytes.
 
     Texts are cut at single blanks, where no token crosses; each distinct piece
-    goes through the tokenizer once while it is in the cache.
+    goes through the tokenizer once while it is among the pieces kept.
     """
 
     def __init__(self, name: str):
         self.tokenizer = tokenizer(name)
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         cut = []
         for text in texts:
-            parts = SINGLE.split(text) if NEXT_TO_SPACE.search(text) else text.split(" ") if text[:1] != " " and text[-1:] != " " else SINGLE.split(text)
+            plain = not NEXT_TO_SPACE.search(text) and text[:1] != " " and text[-1:] != " "
+            parts = text.split(" ") if plain else SINGLE.split(text)
             cut.append([parts[0], *[" " + part for part in islice(parts, 1, None)]])
-        new = set().union(*cut) - self.known.keys()
-        if len(self.known) + len(new) > CACHE:
-            self.known, new = {}, set().union(*cut)
-        todo = list(new)
+        if len(self.known) > CACHE:
+            self.known, self.older = {}, self.known
+        todo = []
+        for part in set().union(*cut) - self.known.keys():
+            if (found := self.older.get(part)) is None:
+                todo.append(part)
+            else:
+                self.known[part] = found
         for begin in range(0, len(todo), 10_000):
             some = todo[begin : begin + 10_000]
             for part, found in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                self.known[part] = b"".join(i.to_bytes(4, "little") for i in found.ids)
+                ids = found.ids
+                self.known[part] = pack_ids(f"<{len(ids)}I", *ids)
         return [b"".join(map(self.known.__getitem__, parts)) for parts in cut]
 
 
+def encoder(name: str) -> Encoder:
+    """The encoder of this Python worker, which later tasks use again."""
+    kept = sys.modules.setdefault("laketally_kept", ModuleType("laketally_kept")).__dict__
+    if name not in kept:
+        kept[name] = Encoder(name)
+    return kept[name]
+
+
 def windows(lengths: list[int], tiers: tuple[int, ...] = TIERS) -> list[list[tuple[int, int, int]]]:
     """Windows of (document, start, length) that hold every token of every document once."""
     longest, full = tiers[0], []
@@ -164,7 +182,7 @@ def pack(docs: DataFrame, tokenizer_name: str = TOKENIZER, end_id: int = 0, tier
     end = end_id.to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer_name)
+        ids_of = encoder(tokenizer_name).encode
         sequence = group = TaskContext.get().partitionId() << 36
         held: list[tuple[pa.Array, list[bytes]]] = []
 
@@ -190,7 +208,7 @@ def pack(docs: DataFrame, tokenizer_name: str = TOKENIZER, end_id: int = 0, tier
         tokens = 0
         for batch in batches:
             for part in T.slices(batch):
-                ids = [i + end for i in encoder.encode([t or "" for t in part.column("text").to_pylist()])]
+                ids = [i + end for i in ids_of([t or "" for t in part.column("text").to_pylist()])]
                 held.append((part.column("doc_id"), ids))
                 tokens += sum(map(len, ids)) // 4
                 if tokens >= PACK_TOKENS:

@@ -4,10 +4,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from laketally.llm import quality
+from laketally.llm import packing, quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": quality.query,
+    "op3_packing": packing.query,
 }
 
 ORACLE: dict[str, str] = {}
