@@ -32,15 +32,16 @@ from pyspark.sql import functions as F
 
 from laketally.llm import text as T
 
-#: Kind, rule, and for an assignment the least size of its value; a match with a
-#: shorter one is dropped but still takes up its place.
+#: Kind, rule, and the least size of a match, for an assignment of its value. A
+#: shorter match is dropped but still takes up its place. Sizes are not counted in
+#: the automaton (but for hex), where counters of several rules would multiply.
 RULES = (
     ("assign", r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=-]+""", 6),
-    ("access", r"AKIA[A-Z0-9]{16,}", 0),
-    ("hex", r"[0-9a-f]{24,}", 0),
-    ("github", r"gh[pousr]_[A-Za-z0-9]{36,}", 0),
-    ("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}", 0),
-    ("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+", 0),
+    ("access", r"AKIA[A-Z0-9]+", 20),
+    ("hex", r"[0-9a-f]{24,}", 24),
+    ("github", r"gh[pousr]_[A-Za-z0-9]+", 40),
+    ("slack", r"xox[abprs]-[A-Za-z0-9-]+", 15),
+    ("jwt", r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 30),
     ("private", r"-----BEGIN ([A-Z]+ )*PRIVATE KEY-----", 0),
 )
 KINDS = tuple(kind for kind, _, _ in RULES)
@@ -360,7 +361,8 @@ def spans(column: pa.Array, scan: Scanner, rules=RULES) -> list[list[tuple[int,
                 continue
             last = _walk(scan.forwards[k], text, start, len(text), 1)
             done[d, k] = last
-            if rules[k][2] and _value(text, start, last) < rules[k][2]:
+            size = _value(text, start, last) if rules[k][0] == "assign" else last - start
+            if size < rules[k][2]:
                 continue
             found[d].append((k, start, last))
     for some in found:
