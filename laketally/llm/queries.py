@@ -4,11 +4,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from laketally.llm import packing, quality
+from laketally.llm import chat, decontamination, packing, quality, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": quality.query,
     "op3_packing": packing.query,
+    "op8_secrets": secrets.query,
+    "op9_chat": chat.query,
+    "op10_decontamination": decontamination.query,
 }
 
 ORACLE: dict[str, str] = {}
