@@ -465,7 +465,7 @@ def query(spark, sf_dir: str) -> DataFrame:
     """op8: counts and spans of all documents."""
     found = find(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     base = F.filter("spans", lambda s: s.kind.isin(*BASE))
-    counts = [F.size(F.filter("spans", lambda s, k=k: s.kind == k)).cast("long").alias(f"n_{k}") for k in BASE]
+    counts = [F.size(F.expr(f"filter(spans, s -> s.kind = '{k}')")).cast("long").alias(f"n_{k}") for k in BASE]
     return found.select("doc_id", *counts, F.sha2(digest(base), 256).alias("base_sha256"), digest(F.col("spans")).alias("spans"))
 
 

@@ -114,3 +114,11 @@ def test_null_and_repeated_turns(spark):
     turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
     got = {r.conv_id: tuple(r)[1:5] for r in chat.read_back(chat.windows(turns)).collect()}
     assert got == {None: plain_digests([("", ""), ("assistant", "a"), ("assistant", "a")]), 5: plain_digests([("assistant", "")])}
+
+
+def test_secret_query(spark, tmp_path, secret_texts):
+    spark.createDataFrame(list(enumerate(secret_texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    for r in secrets.query(spark, str(tmp_path)).collect():
+        spans = base_spans(secret_texts[r.doc_id] or "")
+        assert r.base_sha256 == hashlib.sha256(spans.encode()).hexdigest()
+        assert [r.n_assign, r.n_access, r.n_hex] == [spans.count(k + ":") for k in secrets.BASE]
