@@ -94,8 +94,8 @@ def named(docs: DataFrame, k: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, set_id binary, n_shingles long")
 
 
-def _prefix(found: np.ndarray, counts: np.ndarray, part: int, whole: int) -> tuple[np.ndarray, np.ndarray, int]:
-    """A set's longest prefix, the least L that takes in each shingle, and the set's own L."""
+def _prefix(found: np.ndarray, counts: np.ndarray, part: int, whole: int) -> tuple[np.ndarray, int]:
+    """A set's longest prefix, and its own L."""
     n = len(found)
     need = -(-part * n // whole)
     common = counts[(found >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
@@ -107,38 +107,64 @@ def _prefix(found: np.ndarray, counts: np.ndarray, part: int, whole: int) -> tup
         cost = seen + n / 8 * seen / length**2
         if least is None or cost < least:
             least, own = cost, length
-    return found[order], np.maximum(1, np.arange(len(order)) - (n - need) + 1), own
+    return found[order], own
 
 
 def prefixed(docs: DataFrame, counts: np.ndarray, k: int, part: int, whole: int) -> DataFrame:
-    """(set_id, n, items, prefix, levels, own) of every document with shingles."""
+    """(doc_id, set_id, n, prefix, own) of every document with shingles."""
     shared = docs.sparkSession.sparkContext.broadcast(counts)  # the sketch: a fixed size
-    names = ["set_id", "n", "items", "prefix", "levels", "own"]
+    kinds = [pa.binary(), pa.int64(), pa.list_(pa.int64()), pa.int64()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in T.slices(batch):
-                rows = []
-                for found in _sets(piece.column("text"), k):
+                rows, where = [], []
+                for d, found in enumerate(_sets(piece.column("text"), k)):
                     if len(found):
-                        first, levels, own = _prefix(found, shared.value, part, whole)
-                        rows.append((_named(found), len(found), found.view(np.int64), first.view(np.int64), levels, own))
+                        first, own = _prefix(found, shared.value, part, whole)
+                        rows.append((_named(found), len(found), first.view(np.int64), own))
+                        where.append(d)
                 if rows:
-                    lists = pa.list_(pa.int64())
-                    kinds = [pa.binary(), pa.int64(), lists, lists, lists, pa.int64()]
-                    yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names)
+                    columns = [pa.array(list(c), t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)]
+                    ids = piece.column("doc_id").take(pa.array(where, pa.int64()))
+                    yield pa.RecordBatch.from_arrays([ids, *columns], ["doc_id", "set_id", "n", "prefix", "own"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, set_id binary, n long, prefix array<long>, own long")
+
+
+def whole_sets(docs: DataFrame, k: int) -> DataFrame:
+    """(set_id, items) of every document with shingles."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in T.slices(batch):
+                found = [s for s in _sets(piece.column("text"), k) if len(s)]
+                items = pa.array([s.view(np.int64) for s in found], pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([pa.array([_named(s) for s in found], pa.binary()), items], ["set_id", "items"])
+
+    return docs.select("text").mapInArrow(run, "set_id binary, items array<long>")
+
+
+def _of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The documents with one of the ids of the column `first`."""
+    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["first"]), "left_semi")
 
-    return docs.select("text").mapInArrow(run, "set_id binary, n long, items array<long>, prefix array<long>, levels array<long>, own long")
 
+def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, k: int, part: int, whole: int) -> DataFrame:
+    """The pairs (a, b) of set ids that link, by the sizes of intersection and union.
 
-def verified(pairs: DataFrame, sets: DataFrame, part: int, whole: int) -> DataFrame:
-    """The pairs (a, b) of set ids that link, by the sizes of intersection and union."""
-    one = sets.select(F.col("set_id").alias("a"), F.col("n").alias("n_a"), F.col("items").alias("items_a"))
-    other = sets.select(F.col("set_id").alias("b"), F.col("n").alias("n_b"), F.col("items").alias("items_b"))
+    Only the texts of candidates are taken up again.
+    """
+    pairs = stored(pairs, "pairs")
+    ends = pairs.select(F.col("a").alias("set_id")).unionByName(pairs.select(F.col("b").alias("set_id"))).distinct()
+    firsts = stored(classes.join(ends, "set_id", "left_semi").select("first"), "firsts")
+    sets = whole_sets(_of(docs, firsts), k)
+    one = sets.select(F.col("set_id").alias("a"), F.col("items").alias("items_a"))
+    other = sets.select(F.col("set_id").alias("b"), F.col("items").alias("items_b"))
     shared = F.size(F.array_intersect("items_a", "items_b"))
-    linked = shared * whole >= (F.col("n_a") + F.col("n_b") - shared) * part
-    sized = F.least("n_a", "n_b") * whole >= F.greatest("n_a", "n_b") * part
-    return pairs.join(other, "b").join(one, "a").where(sized).where(linked).select("a", "b").distinct()
+    linked = shared * whole >= (F.size("items_a") + F.size("items_b") - shared) * part
+    return stored(pairs.join(other, "b").join(one, "a").where(linked).select("a", "b").distinct(), "links")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -169,28 +195,31 @@ def _rooted(entries: DataFrame, links: DataFrame) -> DataFrame:
     return stored(rooted.join(mixed.select("shingle"), "shingle"), "rooted")
 
 
-def links(sets: DataFrame, part: int, whole: int) -> DataFrame:
-    """Links (a, b) that connect all linked sets; `sets` are as of `prefixed`."""
-    exploded = sets.select("set_id", "n", "own", F.posexplode("prefix").alias("at", "shingle"), "levels")
-    entries = exploded.select("set_id", "n", "own", "shingle", F.element_at("levels", F.col("at") + 1).alias("level"))
-    lists = entries.groupBy("shingle").agg(F.min("set_id").alias("low"), F.max("set_id").alias("high")).where("low <> high")
-    entries = stored(entries.join(lists.select("shingle"), "shingle").withColumn("root", F.col("set_id")), "entries")
+def links(docs: DataFrame, classes: DataFrame, prefixes: DataFrame, k: int, part: int, whole: int) -> DataFrame:
+    """Links (a, b) that connect all linked sets; `prefixes` are as of `prefixed`."""
+    exploded = prefixes.select("set_id", "n", "own", F.posexplode("prefix").alias("at", "shingle"))
+    unneeded = F.col("n") - F.ceil(F.col("n") * part / whole)
+    entries = exploded.select("set_id", "n", "own", "shingle", F.greatest(F.lit(1), F.col("at") - unneeded + 1).alias("level"))
+    name = F.xxhash64("set_id")
+    lists = entries.groupBy("shingle").agg(F.min(name).alias("low"), F.max(name).alias("high")).where("low <> high")
+    lists = stored(lists.select("shingle"), "lists")
+    entries = stored(entries.join(lists, "shingle").withColumn("root", F.col("set_id")), "entries")
+    alike = F.least("n", "n_b") * whole >= F.greatest("n", "n_b") * part
     found = None
     for star in range(STARS):
         firsts = entries.where("level = 1")
-        rank = F.struct(F.xxhash64("set_id", F.lit(star)), "set_id", "root")
-        centre = firsts.groupBy("shingle").agg(F.min(rank).alias("c")).select("shingle", F.col("c.set_id").alias("a"), F.col("c.root").alias("root_a"))
-        pairs = firsts.join(centre, "shingle").where("root <> root_a").select("a", F.col("set_id").alias("b")).distinct()
-        new = stored(verified(pairs, sets, part, whole), "links")
+        rank = F.struct(F.xxhash64("set_id", F.lit(star)), "set_id", "root", "n")
+        centre = firsts.groupBy("shingle").agg(F.min(rank).alias("c"))
+        centre = centre.select("shingle", F.col("c.set_id").alias("a"), F.col("c.root").alias("root_a"), F.col("c.n").alias("n_b"))
+        pairs = firsts.join(centre, "shingle").where("root <> root_a").where(alike).select("a", F.col("set_id").alias("b")).distinct()
+        new = verified(pairs, docs, classes, k, part, whole)
         found = new if found is None else found.unionByName(new)
         entries = _rooted(entries.drop("root"), found)
     names = {"set_id": "b", "n": "n_b", "root": "root_b", "level": "level_b"}
     index = entries.select("shingle", *(F.col(old).alias(new) for old, new in names.items()))
-    probe = entries.where("level <= own")
-    met = probe.join(index, "shingle").where("level_b <= own AND set_id > b AND root <> root_b")
-    met = met.where((F.least("n", "n_b") * whole >= F.greatest("n", "n_b") * part))
+    met = entries.where("level <= own").join(index, "shingle").where("level_b <= own AND set_id > b AND root <> root_b").where(alike)
     pairs = met.groupBy(F.col("set_id").alias("a"), "b").agg(F.count("*").alias("met"), F.first("own").alias("own")).where("met >= own")
-    return found.unionByName(stored(verified(pairs.select("a", "b"), sets, part, whole), "links"))
+    return found.unionByName(verified(pairs.select("a", "b"), docs, classes, k, part, whole))
 
 
 def joined(docs: DataFrame, k: int, part: int, whole: int) -> DataFrame:
@@ -198,10 +227,9 @@ def joined(docs: DataFrame, k: int, part: int, whole: int) -> DataFrame:
     docs = docs.select("doc_id", "text")
     members = stored(named(docs, k), "members")
     classes = stored(members.where("set_id IS NOT NULL").groupBy("set_id").agg(F.min("doc_id").alias("first"), F.count("*").alias("rows")), "classes")
-    firsts = classes.select(F.col("first").alias("id"))
-    kept = docs.join(firsts, docs["doc_id"].eqNullSafe(firsts["id"]), "left_semi")
-    sets = stored(prefixed(kept, sketch(docs, k), k, part, whole), "sets")
-    roots = components(links(sets, part, whole))
+    firsts = classes.select("first")
+    prefixes = stored(_of(prefixed(docs, sketch(docs, k), k, part, whole), firsts), "prefixes")
+    roots = components(links(docs, classes, prefixes, k, part, whole))
     rooted = classes.join(roots, "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     named_classes = stored(rooted.join(least, "root").select("set_id", "rows", "component_id"), "named")
