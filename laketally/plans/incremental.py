@@ -98,8 +98,12 @@ def stalls(total, fetched, capped) -> Column:
 
 def latest_state(states: DataFrame, by=()) -> DataFrame:
     """The mark saved last; NULL after a reset or when nothing is readable.
-    A mark that does not say when it was saved counts from its own time."""
-    saved = F.coalesce("updated_at", "last_end_time")
+
+    Marks go by their number `seq`, those without one first. These go by when
+    they were saved, and a mark that does not say so counts from its own time.
+    """
+    seq = F.coalesce("seq", F.lit(0)) if "seq" in states.columns else F.lit(0)
+    saved = F.struct(seq, F.coalesce("updated_at", "last_end_time"), "last_end_time")
     return states.groupBy(*by).agg(F.max_by("last_end_time", saved).alias("last_end_time"))
 
 
@@ -123,10 +127,17 @@ def load_mark(spark: SparkSession, path: str) -> dt.datetime | None:
 
 
 def save_mark(spark: SparkSession, path: str, last_end, updated_at) -> None:
-    """Append a mark. A reset appends one with a NULL `last_end`. Files of
-    older marks may be deleted at any time."""
+    """Append a mark, numbered one above the last. A reset appends one with a
+    NULL `last_end`. Files of older marks may be deleted at any time."""
+    try:
+        last = read_state(spark, path).agg(F.max("seq")).first()[0] or 0
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        last = 0
     times = {"last_end_time": last_end, "updated_at": updated_at}
     row = spark.range(1).select(
-        *[as_timestamp(t).cast("timestamp").alias(c) for c, t in times.items()]
+        *[as_timestamp(t).cast("timestamp").alias(c) for c, t in times.items()],
+        F.lit(last + 1).cast("long").alias("seq"),
     )
     row.write.mode("append").json(path)

@@ -93,5 +93,6 @@ STATE = T.StructType(
     [
         T.StructField("last_end_time", T.TimestampType()),
         T.StructField("updated_at", T.TimestampType()),
+        T.StructField("seq", T.LongType()),
     ]
 )

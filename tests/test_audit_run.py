@@ -128,7 +128,10 @@ def test_cold_start_and_reset(spark, run, tmp_path):
     write(tmp_path / "lake" / "ymd=20260309", 2)
     r = run(log(spark, "20260309"), reset=True, now=NOW + dt.timedelta(seconds=30))
     assert r.window[0] == NOW + dt.timedelta(seconds=30) - dt.timedelta(hours=24)
-    assert r.summary["success"] == 1
+    assert r.summary["success"] == 1 and r.advanced
+    assert mark(spark, tmp_path) == r.window[1]
+    run(log(spark, "20260309"), reset=True, init_now=True, now=NOW)
+    assert mark(spark, tmp_path) == NOW
 
 
 def test_bad_arguments(spark, run, tmp_path):
