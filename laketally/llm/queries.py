@@ -4,12 +4,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from laketally.llm import chat, decontamination, fingerprints, jaccard, packing, quality, secrets
+from laketally.llm import chat, decontamination, fingerprints, jaccard, packing, quality, secrets, suffixes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": quality.query,
     "op2_fingerprints": fingerprints.query,
     "op3_packing": packing.query,
+    "op4_suffixes": suffixes.query,
     "op5_jaccard": jaccard.query,
     "op8_secrets": secrets.query,
     "op9_chat": chat.query,
