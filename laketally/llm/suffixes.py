@@ -40,6 +40,8 @@ from laketally.plans.scratch import stored
 
 LENGTH = 100
 GRAM = 32
+#: q-grams of one window.
+WIDTH = LENGTH - GRAM + 1
 #: Windows of one run; longer ones (a text that repeats itself) are cut, under the same anchor.
 RUN = 512
 #: A class of more than one in HOT documents is joined by broadcast: there are fewer than HOT of them.
@@ -66,8 +68,8 @@ def refine(data: np.ndarray, starts: np.ndarray, length: int = LENGTH) -> tuple[
         return none
     n = len(data)
     wanted = np.zeros(n + 1, np.int32)  # places inside some string
-    np.add.at(wanted, starts, 1)
-    np.add.at(wanted, starts + length, -1)
+    wanted[starts] += 1
+    wanted[starts + length] -= 1
     inside = np.cumsum(wanted[:-1]) > 0
     words = np.zeros(n - 7, np.uint64)
     for i in range(8):
@@ -106,17 +108,20 @@ def _windows(at: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarr
     return np.arange(len(rows)) - before[rows] + at[:-1][rows], rows
 
 
-def _runs(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(row, start, windows, anchor) of the runs of windows with one anchor."""
+def _anchored(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(start, row, anchor) of every window, and the hash of every q-gram."""
     starts, rows = _windows(at)
     if len(starts) == 0:
-        none = np.zeros(0, np.int64)
-        return none, none, none, np.zeros(0, np.uint64)
+        return starts, rows, np.zeros(0, np.uint64), np.zeros(0, np.uint64)
     n = len(data)
     sums = np.zeros(n + 1, np.uint64)
     np.cumsum(T.BYTE_HASH[data] * T.powers(T.STEP, n), out=sums[1:])
     grams = T.mixed((sums[GRAM:] - sums[: n - GRAM + 1]) * T.powers(T.BACK, n + 1)[: n - GRAM + 1])
-    anchors = _slide(grams, LENGTH - GRAM + 1)[starts]
+    return starts, rows, _slide(grams, WIDTH)[starts], grams
+
+
+def _grouped(starts: np.ndarray, rows: np.ndarray, anchors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(row, start, windows, anchor) of the runs of windows with one anchor."""
     first = np.ones(len(starts), bool)
     first[1:] = (anchors[1:] != anchors[:-1]) | (rows[1:] != rows[:-1])
     begins = np.flatnonzero(first)
@@ -124,6 +129,28 @@ def _runs(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.
     return rows[begins], starts[begins], counts, anchors[begins]
 
 
+def _runs(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    return _grouped(*_anchored(data, at)[:3])
+
+
+def _own(rows: np.ndarray, anchors: np.ndarray) -> np.ndarray:
+    """Anchors told apart by text; two that meet by chance cost time only."""
+    return anchors + rows.astype(np.uint64) * T.STEP
+
+
+def _again(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The windows whose anchor occurs at two places of their text or more: all that can occur twice in it."""
+    starts, rows, anchors, grams = _anchored(data, at)
+    if len(starts) == 0:
+        return starts
+    least = np.zeros(len(grams) + WIDTH - 1, np.uint64)
+    least[starts + WIDTH - 1] = anchors
+    places = np.flatnonzero(grams == ~_slide(~least, WIDTH))  # the anchor of some window that holds it
+    found, times = np.unique(_own(np.searchsorted(at, places, "right") - 1, grams[places]), return_counts=True)
+    row, _, count, anchor = _grouped(starts, rows, anchors)
+    return starts[np.repeat(np.isin(_own(row, anchor), found[times > 1]), count)]
+
+
 def _texts(docs: DataFrame) -> DataFrame:
     """(doc_id, text, place, name): the place in the order of documents, and a name of the text."""
     text = F.coalesce("text", F.lit(""))
@@ -156,9 +183,8 @@ def runs(texts: DataFrame) -> DataFrame:
                 data, at = T.flat(part.column("text"))
                 row, start, count, anchor = _runs(data, at)
                 lists = part.column("shared")
-                owner = pc.list_parent_indices(lists).to_numpy().astype(np.uint64)
-                known = lists.flatten().to_numpy().view(np.uint64) + owner * T.STEP
-                keep = np.isin(anchor + row.astype(np.uint64) * T.STEP, known)
+                known = _own(pc.list_parent_indices(lists).to_numpy(), lists.flatten().to_numpy().view(np.uint64))
+                keep = np.isin(_own(row, anchor), known)
                 rows = []
                 for r, s, c, a in zip(row[keep].tolist(), start[keep].tolist(), count[keep].tolist(), anchor[keep].view(np.int64).tolist(), strict=True):
                     for skip in range(0, c, RUN):
@@ -181,6 +207,8 @@ def earlier(classes: DataFrame) -> DataFrame:
     """(run_id, hits): the windows of each class of runs that a run of an earlier document has."""
 
     def found(batch: pa.RecordBatch) -> pa.RecordBatch:
+        same = np.diff(batch.column("anchor").to_numpy()) == 0
+        batch = batch.filter(pa.array(np.append(same, False) | np.append(False, same)))  # an anchor's only run leaves
         data, at = T.flat(batch.column("bytes"))
         starts, rows = _windows(at)
         place = batch.column("first").to_numpy()
@@ -274,11 +302,9 @@ def deduplicated(docs: DataFrame) -> DataFrame:
             for part in T.slices(batch):
                 data, at = T.flat(part.column("text"))
                 n = len(data)
-                starts, rows = _windows(at)
-                owner = np.zeros(n, np.int64)
-                owner[starts] = rows
-                where, bucket = refine(data, starts)
-                again = (np.diff(bucket, prepend=-1) == 0) & (np.diff(owner[where], prepend=-1) == 0)
+                where, bucket = refine(data, _again(data, at))
+                owner = np.searchsorted(at, where, "right")
+                again = (np.diff(bucket, prepend=-1) == 0) & (np.diff(owner, prepend=-1) == 0)
                 change = np.zeros(n + 1, np.int64)
                 np.add.at(change, where[again], 1)
                 np.add.at(change, where[again] + LENGTH, -1)
