@@ -406,8 +406,8 @@ ORACLE = {
     ),
     "path_errors_inline": with_(
         "files",
-        """SELECT hdfs_path, least(count(*), 4) AS n, min(coalesce(file, '')) AS first_file,
-            CASE WHEN count(*) > 3 THEN (count(*) - 3) || ' more errors in the error table' END AS more
+        """SELECT hdfs_path, count(*) AS n,
+            string_agg(coalesce(file, '') || ':' || error, ',' ORDER BY coalesce(file, ''), error) AS errors
         FROM files WHERE error IS NOT NULL GROUP BY hdfs_path""",
     ),
     "count_result_from_json": """
@@ -432,7 +432,12 @@ ORACLE = {
         "hist", "SELECT id, table_name, period_type, data_date, data_month, row_count FROM hist"
     ),
     "audit_read_since": with_(
-        "hist", "SELECT id, table_name, data_date, row_count FROM hist WHERE data_date >= '2000-06-15'"
+        "hist",
+        """SELECT id, table_name, day AS data_date, row_count FROM (
+            SELECT *, CASE WHEN id % 11 <> 0 THEN data_date END AS day,
+                CASE WHEN id % 7 <> 0 THEN data_month END AS mon FROM hist) h
+        WHERE CASE WHEN day IS NOT NULL THEN day >= '2000-06-15' WHEN mon IS NOT NULL THEN mon >= '200006'
+            ELSE CAST(created_at AS DATE) >= DATE '2000-06-15' END""",
     ),
     "run_summary": with_(
         "hist",

@@ -9,7 +9,7 @@ DataFrame and their files stay in one. Each file error is a row of its own.
 
 import time
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -220,41 +220,21 @@ def path_errors(file_counts: DataFrame, keys=PATH_KEYS) -> DataFrame:
     )
 
 
-def inline_errors(file_counts: DataFrame, keys=PATH_KEYS, limit=1000) -> DataFrame:
-    """The errors of a path as one array, by file.
-
-    The array holds `limit` errors; beyond them one more entry gives the number
-    left out, all of which are rows of `path_errors`. The limit bounds the size
-    of a result row, and Spark applies it before the shuffle as well.
-    """
-    errors = path_errors(file_counts, keys)
-    first = errors.withColumn(
-        "n", F.row_number().over(Window.partitionBy(*keys).orderBy("file", "error"))
-    ).filter(F.col("n") <= limit)
-    listed = first.groupBy(*keys).agg(
+def inline_errors(file_counts: DataFrame, keys=PATH_KEYS) -> DataFrame:
+    """All errors of a path as one array, by file: its size is that of the path's own errors."""
+    return path_errors(file_counts, keys).groupBy(*keys).agg(
         F.array_sort(F.collect_list(F.struct("file", "error"))).alias("errors")
     )
-    totals = errors.groupBy(*keys).agg((F.count(F.lit(1)) - limit).alias("more"))
-    rest = F.array(
-        F.struct(
-            F.lit("").alias("file"),
-            F.concat(F.col("more").cast("string"), F.lit(" more errors in the error table")).alias(
-                "error"
-            ),
-        )
-    )
-    whole = F.when(F.col("more") > 0, F.concat("errors", rest)).otherwise(F.col("errors"))
-    return listed.join(totals, keys).select(*keys, whole.alias("errors"))
 
 
-def path_results(file_counts: DataFrame, *, inline_limit=1000) -> DataFrame:
+def path_results(file_counts: DataFrame) -> DataFrame:
     """One count result per path, with its errors.
 
     Reads `file_counts` twice; pass a stored table, not the count itself.
     """
     results = path_status(path_totals(file_counts))
-    errors = inline_errors(file_counts, limit=inline_limit)
-    # A path that cannot be listed is reported by that error alone, which
-    # comes first.
-    own = F.when(F.col("row_count") < 0, F.slice("errors", 1, 1)).otherwise(F.col("errors"))
-    return results.join(errors, PATH_KEYS, "left").withColumn("errors", own)
+    # A path that cannot be listed is reported by the errors of the path itself.
+    own = F.when(
+        F.col("row_count") < 0, F.filter("errors", lambda e: e["file"] == "")
+    ).otherwise(F.col("errors"))
+    return results.join(inline_errors(file_counts), PATH_KEYS, "left").withColumn("errors", own)

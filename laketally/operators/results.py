@@ -108,6 +108,11 @@ def append_results(rows: DataFrame, path: str) -> None:
     )
 
 
+def errors_beside(results_path: str) -> str:
+    """The error table of a history, unless another place is named."""
+    return results_path.rstrip("/") + "_errors"
+
+
 def append_errors(errors: DataFrame, path: str, created_at) -> None:
     """Append all errors of a run, one row each, beside the history."""
     created = as_timestamp(created_at).cast("timestamp")
@@ -120,15 +125,18 @@ def read_results(
     """The history, or what it has since a date, on a day or in a month.
 
     `since` is an ISO date, `data_date` yyyyMMdd and `data_month` yyyyMM. Each
-    also selects months, so the files of others are never opened.
+    also selects months, so the files of others are never opened. A row without
+    a day is placed by its month, one without both by the time it was made.
     """
     rows = spark.read.schema(AUDIT_RESULT).parquet(path)
     month = F.col("data_month")
     if since is not None:
-        rows = rows.filter(month >= str(since).replace("-", "")[:6])
-        rows = rows.filter(F.col("data_date") >= F.lit(str(since)).cast("date"))
+        first = F.lit(str(since)).cast("date")
+        rows = rows.filter(month.isNull() | (month >= str(since).replace("-", "")[:6]))
+        by_day = F.coalesce("data_date", F.to_date("created_at")) >= first
+        rows = rows.filter((F.col("data_date").isNull() & month.isNotNull()) | by_day)
     if data_date is not None:
-        rows = rows.filter(month == data_date[:6])
+        rows = rows.filter(month.isNull() | (month == data_date[:6]))
         rows = rows.filter(F.col("data_date") == storage_date(F.lit(data_date)))
     if data_month is not None:
         rows = rows.filter(month == data_month)

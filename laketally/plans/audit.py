@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from laketally.functions.dates import as_timestamp, resolve_named_date
 from laketally.operators.counting import count_files, path_errors, path_results
 from laketally.operators.jobs import audit_jobs, preview
-from laketally.operators.results import append_errors, append_results, result_rows, run_summary
+from laketally.operators.results import append_errors, append_results, errors_beside, result_rows, run_summary
 from laketally.operators.tasks import completed_tasks, explicit_tasks, tasks_from_names
 from laketally.plans.incremental import (
     WindowSettings,
@@ -128,8 +128,7 @@ def run_audit(
         rows, errors = audit_results(jobs, now, **(count_options or {}))
         rows = stored(rows, "results")
         append_results(rows, results_path)
-        if errors_path:
-            append_errors(errors, errors_path, now)
+        append_errors(errors, errors_path or errors_beside(results_path), now)
         summary = run_summary(rows).first().asDict()
 
     flags = spark.range(1).select(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from laketally.functions.dates import as_timestamp
 from laketally.operators.jobs import audit_jobs
-from laketally.operators.results import append_errors, append_results, run_summary
+from laketally.operators.results import append_errors, append_results, errors_beside, run_summary
 from laketally.operators.tasks import completed_tasks, log_rows, with_date_parts
 from laketally.plans.audit import audit_results
 from laketally.plans.scratch import stored
@@ -88,8 +88,7 @@ def audit_stream(
         rows, errors = audit_results(jobs, now, **count_options)
         rows = stored(rows, "results")
         append_results(rows, results_path)
-        if errors_path:
-            append_errors(errors, errors_path, now)
+        append_errors(errors, errors_path or errors_beside(results_path), now)
         s = run_summary(rows).first()
         if not advance_on_failure and s["failed"] + s["partial"] > 0:
             raise AuditFailed(f"batch {batch_id}: {s['failed']} failed, {s['partial']} partial")

@@ -234,9 +234,7 @@ def test_many_errors_stay_whole(spark):
     )
     r = counting.path_results(files).first()
     assert (r["status"], r["file_count"]) == ("failed", 2500)
-    assert len(r["errors"]) == 1001
-    assert r["errors"][999]["file"] == "f00999"
-    assert r["errors"][1000]["error"] == "1500 more errors in the error table"
+    assert [e["file"] for e in r["errors"]] == [f"f{i:05d}" for i in range(2500)]
     assert counting.path_errors(files).count() == 2500
 
 
