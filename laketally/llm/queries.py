@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from laketally.llm import chat, decontamination, fingerprints, jaccard, mixing, packing, quality, secrets, suffixes
+from laketally.llm import chat, decontamination, fingerprints, jaccard, licenses, mixing, packing, quality, secrets, suffixes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": quality.query,
@@ -12,6 +12,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_packing": packing.query,
     "op4_suffixes": suffixes.query,
     "op5_jaccard": jaccard.query,
+    "op6_licenses": licenses.query,
     "op7_mixing": mixing.query,
     "op8_secrets": secrets.query,
     "op9_chat": chat.query,
