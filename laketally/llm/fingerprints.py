@@ -7,11 +7,8 @@ tuple. Two fingerprints are as alike as the share of equal tuples among the bins
 that either fills. So not only which k-mers two texts share counts, but also
 their order, as in edit distance.
 
-Long texts are thinned first by content: a k-mer takes part, with all its
-occurrences, where its hash is divisible by a power of two that grows with the
-text's length. Where that leaves none, the k-mer of the least hash takes part.
-A second thinning, after numbering, does the same where a few k-mers repeat
-very often. The whole text is read in any case.
+All k-mers of a text take part, whatever its length: they are sorted by hash and
+place, and numbered within each run of equal hashes.
 
 The edited text of a document takes its end from the next document. Neighbours
 come from the ids alone: a running order within ranges of ids, and one row a
@@ -24,6 +21,8 @@ the least counts. A null doc_id has no next document: an empty text stands in.
 A single document is its own next. An empty table gives an empty result.
 """
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,43 +31,58 @@ from laketally.plans.scratch import stored
 K = 8
 BINS = 32
 TUPLE = 2
-KEPT = 128
+#: About so many of a longer text's numbered k-mers are looked at first.
+FEW = 448
+
+
+def _let(value: Column, of: Callable[[Column], Column]) -> Column:
+    """of(value), which is worked out once however often `of` names it."""
+    return F.transform(F.array(value), of)[0]
+
+
+def _numbered(hashes: Column) -> Column:
+    """(g, i) of every k-mer in any order: the hash of k-mer and occurrence, and its place."""
+
+    def runs(s: Column) -> Column:
+        begins = F.filter(F.transform(s, lambda x, p: F.when((p == 0) | (F.get(s, p - 1).h != x.h), p)), lambda p: p.isNotNull())
+
+        def run(begins: Column, p: Column, r: Column) -> Column:
+            end = F.coalesce(F.get(begins, r + 1), F.size(s))
+            one = lambda q: F.struct(F.xxhash64(F.get(s, q).h, q - p).alias("g"), F.get(s, q).i.alias("i"))
+            return F.when(end == p + 1, F.array(one(p))).otherwise(F.transform(F.sequence(p, end - 1), one))
 
+        return _let(begins, lambda b: F.flatten(F.transform(b, lambda p, r: run(b, p, r))))
 
-def _thinning(n: Column) -> Column:
-    """The power of two by which about KEPT of n remain, less one."""
-    return F.pow(F.lit(2), F.ceil(F.log2(F.greatest(F.lit(1), n) / KEPT))).cast("long") - 1
+    return _let(F.sort_array(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i")))), runs)
+
+
+def _least(numbered: Column) -> Column:
+    """(b, g, i) of the TUPLE least of every bin, by bin."""
+    binned = F.sort_array(F.transform(numbered, lambda x: F.struct(F.pmod(x.g, F.lit(BINS)).alias("b"), x.g.alias("g"), x.i.alias("i"))))
+    return _let(binned, lambda s: F.filter(s, lambda x, p: (p < TUPLE) | (F.get(s, p - TUPLE).b != x.b)))
 
 
 def sketched(docs: DataFrame, text: str, into: str) -> DataFrame:
     """The rows with a column `into`: an array of one hash a bin, null for an empty bin."""
     n = F.length(text)
     kmers = F.when(n >= K, F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{K}}}))"), F.lit(1))).when(n > 0, F.array(text))
-    hashes = F.transform(kmers, lambda k: F.xxhash64(k))
-    mask = F.greatest(F.lit(0), _thinning(n))
-    docs = docs.withColumn("_hashes", F.coalesce(hashes, F.array().cast("array<bigint>"))).withColumn("_mask", mask)
-    docs = docs.withColumn("_kept", F.filter("_hashes", lambda h: h.bitwiseAND(F.col("_mask")) == 0)).withColumn("_least", F.array_min("_hashes"))
-    docs = docs.withColumn("_kept", F.when(F.size("_kept") > 0, F.col("_kept")).otherwise(F.filter("_hashes", lambda h: h == F.col("_least"))))
-    docs = docs.withColumn("_mask", F.greatest(F.lit(0), _thinning(F.size("_kept") / 4)))
-    placed = F.array_sort(F.transform("_kept", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-    start = F.struct(F.lit(0).cast("long").alias("h"), F.lit(0).alias("nth"), F.array().cast("array<struct<g:bigint,i:int>>").alias("out"))
-
-    def number(done, x):
-        nth = F.when(done.h == x.h, done.nth + 1).otherwise(F.lit(0))
-        g = F.xxhash64(x.h, nth)
-        kept = F.shiftright(g, 20).bitwiseAND(F.col("_mask")) == 0
-        out = F.when(kept, F.concat(done.out, F.array(F.struct(g.alias("g"), x.i.alias("i"))))).otherwise(done.out)
-        return F.struct(x.h.alias("h"), nth.alias("nth"), out.alias("out"))
-
-    docs = docs.withColumn("_numbered", F.array_sort(F.aggregate(placed, start, number, lambda done: done.out)))
-
-    def in_bin(j):
-        least = F.slice(F.filter("_numbered", lambda x: F.pmod(x.g, F.lit(BINS)) == j), 1, TUPLE)
-        ordered = F.array_sort(F.transform(least, lambda x: F.struct(x.i.alias("i"), x.g.alias("g"))))
-        return F.when(F.size(ordered) > 0, F.xxhash64(F.transform(ordered, lambda x: x.g)))
-
-    bins = F.transform(F.sequence(F.lit(0), F.lit(BINS - 1)), in_bin)
-    return docs.withColumn(into, bins).drop("_hashes", "_mask", "_kept", "_least", "_numbered")
+    hashes = F.coalesce(F.transform(kmers, lambda k: F.xxhash64(k)), F.array().cast("array<bigint>"))
+
+    def least(numbered: Column) -> Column:
+        # The least of a bin are among the least of all: if FEW of these give every bin its TUPLE, they are the same.
+        most = F.when(F.size(numbered) > FEW, ((FEW / F.size(numbered) - 0.5) * 2.0**64).cast("bigint")).otherwise(F.lit(2**63 - 1))
+        few = _least(_let(most, lambda m: F.filter(numbered, lambda x: x.g <= m)))
+        return _let(few, lambda f: F.when((F.size(f) == BINS * TUPLE) | (F.size(numbered) <= FEW), f).otherwise(_least(numbered)))
+
+    def bins(taken: Column) -> Column:
+        def in_bin(j: Column) -> Column:
+            some = F.filter(taken, lambda x: x.b == j)
+            ordered = F.array_sort(F.transform(some, lambda x: F.struct(x.i.alias("i"), x.g.alias("g"))))
+            return F.when(F.size(some) > 0, F.xxhash64(F.transform(ordered, lambda x: x.g)))
+
+        return F.transform(F.sequence(F.lit(0), F.lit(BINS - 1)), in_bin)
+
+    return docs.withColumn(into, _let(_let(_numbered(hashes), least), bins))
 
 
 def alike(one: str, other: str) -> Column:

@@ -3,6 +3,9 @@
 import hashlib
 import random
 
+import pytest
+from pyspark.sql import functions as F
+
 from laketally.llm import fingerprints
 
 
@@ -42,3 +45,41 @@ def test_repeated_null_and_empty(spark):
     assert sorted(str(r.doc_id) for r in rows) == ["1", "1", "None"]
     assert {r.next_id for r in rows if r.doc_id} == {1}
     assert fingerprints.fingerprints(docs.limit(0)).count() == 0
+
+
+def test_near_copies_around_powers_of_two(spark):
+    rng = random.Random(8)
+    rows = []
+    for i, size in enumerate([128, 256, 1024, 4096, 16384]):
+        text = "".join(rng.choices("abcdefghijklmnop qrst", k=size))
+        rows.append((i, text, text[:-1], text + "z"))
+    docs = spark.createDataFrame(rows, "i int, a string, b string, c string")
+    for column in "abc":
+        docs = fingerprints.sketched(docs, column, f"{column}_bins")
+    for r in docs.select("i", fingerprints.alike("a_bins", "b_bins").alias("less"), fingerprints.alike("a_bins", "c_bins").alias("more")).collect():
+        assert min(r.less, r.more) > 0.8, r
+
+
+def plain_bins(spark, text):
+    """The bins' (hash, place) from all numbered k-mers, hashed by Spark, chosen by Python."""
+    k = fingerprints.K
+    kmers = [text[i : i + k] for i in range(len(text) - k + 1)] if len(text) >= k else [text] * bool(text)
+    seen, numbered = {}, []
+    for i, kmer in enumerate(kmers):
+        numbered.append((i, kmer, seen.get(kmer, 0)))
+        seen[kmer] = seen.get(kmer, 0) + 1
+    rows = spark.createDataFrame(numbered, "i int, kmer string, nth int").select("i", F.xxhash64(F.xxhash64("kmer"), "nth").alias("g")).collect() if numbered else []
+    bins = [sorted((r.g, r.i) for r in rows if r.g % fingerprints.BINS == j)[: fingerprints.TUPLE] for j in range(fingerprints.BINS)]
+    return [[g for g, _ in sorted(some, key=lambda x: x[1])] for some in bins]
+
+
+@pytest.mark.parametrize("few", [40, 448])
+def test_bins_match_plain_python(spark, monkeypatch, few):
+    monkeypatch.setattr(fingerprints, "FEW", few)
+    rng = random.Random(9)
+    texts = ["", "é", "abcdefgh", "ab" * 900, "a" * 3000, "".join(rng.choices("abé漢\n", k=5000)), "one passage again. " * 70 + "x"]
+    docs = spark.createDataFrame([*enumerate(texts)], "i int, text string")
+    for r in fingerprints.sketched(docs, "text", "bins").collect():
+        expected = plain_bins(spark, texts[r.i])
+        filled = spark.createDataFrame([(j, some) for j, some in enumerate(expected)], "j int, some array<bigint>").select("j", F.when(F.size("some") > 0, F.xxhash64("some")).alias("h"))
+        assert r.bins == [x.h for x in sorted(filled.collect())]
