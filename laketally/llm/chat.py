@@ -1,18 +1,23 @@
 """Chat formatting into budgeted windows of whole turns.
 
-The running sum of turn tokens of a conversation is cut at multiples of what a
-window has room for; a turn belongs to the window in whose stretch it begins.
-Each window repeats the system turn that opens the conversation, and the turns
-that began within `history` tokens before it. Repeated turns are marked as such
-and never under the loss mask, so each assistant text is a target once.
+Turns are taken in order into a window while system turn, history and new turns
+stay within the budget. Each window repeats the system turn that opens the
+conversation, and the turns that began within `history` tokens before it, or as
+many as there is room for. Repeated turns are marked as such and never under the
+loss mask, so each assistant text is a target once.
 
-A turn is `<role>text</s>`, a repeated one `<=role>text</s>`. In roles and texts
-the characters & < > [ = are written as `&...;`, so no control string of a text
-survives, and reading back is exact.
+A turn is `<role>text</s>`, a repeated one `<=role>text</s>`. A turn above half
+the budget becomes parts: the first is written as a turn, the others as `<[role>text</s>` (`<=[role>` if repeated), and all of them are targets
+if it is one. Of an opening system turn in parts, only the first is repeated. In roles and texts the characters & < > [ = are written as `&...;`,
+so no control string of a text survives, and reading back is exact.
+
+Tokens are those of the tokenizer for what is written: for head, escaped text and
+end of each turn, each encoded on its own. Roles are not split: one that takes up
+a quarter of the budget is an error.
 
 A conversation may hold any share of the rows: running sums are taken in blocks
-of turns, windows are bounded by their tokens, and the digests join windows in
-two steps.
+of turns, windows are bounded by their tokens and end with their block, and the
+digests join windows in two steps.
 
 Nulls and odd rows: a null text or role is empty, and its turn stays. Turns
 with equal numbers go by role, then text; null turns come first. Rows with a
@@ -20,9 +25,15 @@ null conv_id form one conversation. Repeated rows are turns of their own. An
 empty table gives an empty result; columns besides the four are not read.
 """
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from laketally.llm import packing
+from laketally.plans.scratch import stored
+
 BUDGET = 1024
 HISTORY = 256
 BLOCK = 64
@@ -42,40 +53,103 @@ def unescaped(text: Column) -> Column:
     return text
 
 
-def tokens(text: Column) -> Column:
-    """An estimate that every turn has a share of: four characters a token and three of the template."""
-    return F.ceil(F.length(text) / 4) + 3
+def _escaped(text: str) -> str:
+    for plain, written in ESCAPES:
+        text = text.replace(plain, written)
+    return text
+
+
+PIECES = "array<struct<part:long,text:string,tokens:long,skip:long>>"
+_PIECES = pa.list_(pa.struct([("part", pa.int64()), ("text", pa.string()), ("tokens", pa.int64()), ("skip", pa.int64())]))
+
+
+def pieces(turns: DataFrame, budget: int) -> DataFrame:
+    """The turns with `pieces`: one without text, or the parts of a turn above half the budget; and the tokens of all."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = packing.encoder(packing.TOKENIZER)
+        count = lambda texts: [len(ids) // 4 for ids in encoder.encode(texts)]
+        around: dict[str, int] = {}
+        for batch in batches:
+            roles, texts = batch.column("role").to_pylist(), batch.column("text").to_pylist()
+            for role in set(roles) - around.keys():
+                around[role] = max(count([f"<{mark}{_escaped(role)}>" for mark in ("", "=", "[", "=[")])) + count(["</s>"])[0]
+                if around[role] > budget // 4:
+                    raise ValueError(f"a role takes {around[role]} of {budget} tokens")
+            found = []
+            for role, text, size in zip(roles, texts, count([_escaped(t) for t in texts]), strict=True):
+                room, skip, some = budget // 2 - around[role], 0, []
+                todo = [(text, size)]
+                while todo:
+                    part, n = todo.pop()
+                    if n > room and len(part) > 1:
+                        halves = [part[len(part) // 2 :], part[: len(part) // 2]]
+                        todo += zip(halves, count([_escaped(h) for h in halves]), strict=True)
+                        continue
+                    n += around[role]
+                    some.append({"part": len(some), "text": part, "tokens": n, "skip": skip})
+                    skip += n
+                if len(some) == 1:
+                    some[0]["text"] = None
+                found.append(some)
+            total = pa.array([f[-1]["skip"] + f[-1]["tokens"] for f in found], pa.int64())
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, _PIECES), total], [*batch.schema.names, "pieces", "tokens"])
+
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in turns.schema)
+    return turns.mapInArrow(run, f"{kinds}, pieces {PIECES}, tokens long")
+
+
+def _conv(one: DataFrame, other: DataFrame) -> Column:
+    return one["conv_id"].eqNullSafe(other["conv_id"])
 
 
 def windows(turns: DataFrame, budget: int = BUDGET, history: int = HISTORY) -> DataFrame:
-    """One row per window: conv_id, window, formatted, loss (spans of code points), tokens."""
-    room = budget - history
-    turns = turns.select(
-        "conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")
-    ).select("*", tokens(F.col("text")).alias("tokens"), F.floor(F.coalesce(F.col("turn"), F.lit(-1)) / BLOCK).alias("block"))
+    """One row per window: conv_id, window (the token at which its new turns begin), formatted, loss (spans of code points), tokens."""
+    turns = turns.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+    turns = stored(pieces(turns, budget), "turns").select("*", F.floor(F.coalesce(F.col("turn"), F.lit(-1)) / BLOCK).alias("block"))
     order = [F.col("turn").asc_nulls_first(), "role", "text"]
     in_block = Window.partitionBy("conv_id", "block").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     sized = turns.groupBy("conv_id", "block").agg(F.sum("tokens").alias("size"))
     before = Window.partitionBy("conv_id").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sized.select("conv_id", "block", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("offset"))
     numbered = turns.select("*", F.coalesce(F.sum("tokens").over(in_block), F.lit(0)).alias("at_block"))
-    same = numbered["conv_id"].eqNullSafe(offsets["conv_id"]) & (numbered["block"] == offsets["block"])
+    same = _conv(numbered, offsets) & (numbered["block"] == offsets["block"])
     placed = numbered.join(offsets, same).select(
-        numbered["conv_id"], "role", "text", "tokens", (F.col("offset") + F.col("at_block")).alias("at")
+        numbered["conv_id"], numbered["block"], "role", "text", (F.col("offset") + F.col("at_block")).alias("begin"), F.explode("pieces").alias("piece")
     )
-    own = F.floor(F.col("at") / room)
-    until = F.floor((F.col("at") + history) / room)
-    dealt = placed.select("conv_id", "role", "text", "tokens", "at", own.alias("own"), F.explode(F.sequence(own, until)).alias("window"))
-    opening = placed.where((F.col("at") == 0) & (F.lower("role") == "system"))
-    last = placed.groupBy("conv_id").agg(F.max(own).alias("last"))
-    opening = opening.join(last, opening["conv_id"].eqNullSafe(last["conv_id"])).where("last > 0").select(
-        opening["conv_id"], "role", "text", "tokens", "at", F.lit(0).cast("long").alias("own"), F.explode(F.sequence(F.lit(1).cast("long"), F.col("last"))).alias("window")
+    placed = placed.select(
+        "conv_id", "block", "role", F.coalesce("piece.text", "text").alias("text"), "piece.part", "piece.tokens", (F.col("begin") + F.col("piece.skip")).alias("at")
     )
-    dealt = dealt.where((F.lower("role") != "system") | (F.col("at") > 0) | (F.col("window") == 0)).unionByName(opening)
-    piece = F.struct("at", "role", "text", (F.col("window") > F.col("own")).alias("seen"), "tokens")
+    placed = stored(placed, "placed")
+    opening = placed.where((F.col("at") == 0) & (F.lower("role") == "system"))
+
+    # Windows of a block: as many pieces as leave room for the opening and the history.
+    sizes = placed.groupBy("conv_id", "block").agg(F.array_sort(F.collect_list(F.struct("at", "tokens"))).alias("sizes"))
+    said = opening.select("conv_id", F.col("tokens").alias("opening"))
+    sizes = sizes.join(said, _conv(sizes, said), "left").select(sizes["conv_id"], "sizes", F.coalesce("opening", F.lit(0)).alias("opening"))
+    long = lambda n: F.lit(n).cast("long")
+    state = F.struct(long(-1).alias("begin"), long(-1).alias("end"), F.array().cast("array<struct<begin:bigint,end:bigint>>").alias("out"))
+    closed = lambda done: F.concat(done.out, F.array(F.struct(done.begin.alias("begin"), done.end.alias("end"))))
+
+    def add(done, x):
+        end = x.at + x.tokens
+        fits = (done.begin >= 0) & (end - done.begin <= F.lit(budget - history) - F.col("opening"))
+        out = F.when(fits | (done.begin < 0), done.out).otherwise(closed(done))
+        return F.struct(F.when(fits, done.begin).otherwise(x.at).alias("begin"), end.alias("end"), out.alias("out"))
+
+    cuts = sizes.select("conv_id", "opening", F.explode(F.aggregate("sizes", state, add, closed)).alias("cut")).select("conv_id", "opening", "cut.begin", "cut.end")
+    seen = F.least(F.lit(history), F.lit(budget) - F.col("opening") - (F.col("end") - F.col("begin")))
+    cuts = cuts.select("conv_id", F.col("begin").alias("window"), F.greatest(long(0), F.col("begin") - seen).alias("since"), "end")
+    reach = cuts.select("*", F.explode(F.sequence(F.floor(F.col("since") / budget), F.floor((F.col("end") - 1) / budget))).alias("near"))
+    by_place = placed.select("*", F.floor(F.col("at") / budget).alias("of"))
+    inside = _conv(by_place, reach) & (by_place["of"] == reach["near"]) & (by_place["at"] >= reach["since"]) & (by_place["at"] < reach["end"])
+    columns = ["window", "at", "role", "text", "part", "tokens"]
+    dealt = by_place.join(reach, inside).select(by_place["conv_id"], *columns)
+    dealt = dealt.unionByName(opening.join(cuts, _conv(opening, cuts)).where("since > 0").select(opening["conv_id"], *columns))
+    piece = F.struct("at", "role", "text", (F.col("at") < F.col("window")).alias("seen"), "part", "tokens")
     packed = dealt.groupBy("conv_id", "window").agg(F.array_sort(F.collect_list(piece)).alias("pieces"))
-    packed = packed.where(F.exists("pieces", lambda p: ~p.seen))  # history alone is no window
-    head = lambda p: F.concat(F.when(p.seen, F.lit("<=")).otherwise(F.lit("<")), escaped(p.role), F.lit(">"))
+    mark = lambda p: F.concat(F.when(p.seen, F.lit("<=")).otherwise(F.lit("<")), F.when(p.part > 0, F.lit("[")).otherwise(F.lit("")))
+    head = lambda p: F.concat(mark(p), escaped(p.role), F.lit(">"))
     body = lambda p: escaped(p.text)
     empty = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("spans"))
 
@@ -98,15 +172,17 @@ def windows(turns: DataFrame, budget: int = BUDGET, history: int = HISTORY) -> D
 def read_back(formatted: DataFrame) -> DataFrame:
     """Per conversation what its windows say: turns, targets under the mask, and characters."""
     turns = F.filter(F.split("formatted", "</s>", -1), lambda t: ~t.startswith("<=") & (t != ""))
+    first = lambda t: ~t.startswith("<[")
     role = lambda t: F.regexp_extract(t, "^<([^<>]*)>", 1)
     text = lambda t: F.substring_index(t, ">", -1)
-    said = F.array_join(F.transform("turns", lambda t: F.concat(unescaped(role(t)), F.lit("\n"), unescaped(text(t)), F.lit("\n"))), "")
+    begun = lambda t: F.when(first(t), F.concat(F.lit("\n"), unescaped(role(t)), F.lit("\n"))).otherwise(F.lit(""))
+    said = F.array_join(F.transform("turns", lambda t: F.concat(begun(t), unescaped(text(t)))), "")
     loss = F.array_join(F.transform("loss", lambda s: unescaped(F.substring(F.col("formatted"), s.start + 1, s.end - s.start))), "")
     rows = formatted.select("*", turns.alias("turns")).select(
-        "conv_id", "window", F.size("turns").cast("long").alias("n"), said.alias("said"), loss.alias("loss"), F.length("formatted").cast("long").alias("chars")
+        "conv_id", "window", F.size(F.filter("turns", first)).cast("long").alias("n"), said.alias("said"), loss.alias("loss"), F.length("formatted").cast("long").alias("chars")
     )
     for step in (BLOCK, None):  # many windows of a conversation meet in two steps
-        keys = ["conv_id"] if step is None else ["conv_id", F.floor(F.col("window") / step).alias("part")]
+        keys = ["conv_id"] if step is None else ["conv_id", F.floor(F.col("window") / (step * BUDGET)).alias("part")]
         joined = F.array_sort(F.collect_list(F.struct("window", "said", "loss")))
         rows = rows.groupBy(*keys).agg(joined.alias("parts"), F.sum("n").alias("n"), F.sum("chars").alias("chars"))
         rows = rows.select(
@@ -120,7 +196,7 @@ def read_back(formatted: DataFrame) -> DataFrame:
     return rows.select(
         "conv_id",
         F.col("n").alias("n_turns"),
-        F.sha2("said", 256).alias("turns_sha256"),
+        F.sha2(F.concat(F.expr("substring(said, 2)"), F.lit("\n")), 256).alias("turns_sha256"),
         F.length("loss").cast("long").alias("loss_chars"),
         F.sha2("loss", 256).alias("loss_sha256"),
         F.col("chars").alias("formatted_chars"),

@@ -7,7 +7,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from laketally.llm import chat, decontamination, secrets
+from laketally.llm import chat, decontamination, packing, secrets
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 
@@ -122,3 +122,23 @@ def test_secret_query(spark, tmp_path, secret_texts):
         spans = base_spans(secret_texts[r.doc_id] or "")
         assert r.base_sha256 == hashlib.sha256(spans.encode()).hexdigest()
         assert [r.n_assign, r.n_access, r.n_hex] == [spans.count(k + ":") for k in secrets.BASE]
+
+
+def test_chat_windows_keep_their_budget(spark):
+    count = lambda text: len(packing.encoder(packing.TOKENIZER).encode([text])[0]) // 4
+    rng = random.Random(11)
+    texts = ["<<<===&&&" * 40, "漢字かな" * 90, "word " * 300, "ok", "if x[0] >= y: z\n" * 60, "y" * 9000, "é" * 5000, "[" * 700]
+    rows, expected = [], {}
+    for c in range(8):
+        turns = [("system" if t == 0 and c % 2 else rng.choice(["user", "assistant"]), rng.choice(texts)) for t in range(rng.choice([1, 20, 150]))]
+        turns += [("assistant", "漢[" * 3000)] * 2
+        expected[c] = plain_digests(turns)
+        rows += [(c, min(t, len(turns) - 2), *turn) for t, turn in enumerate(turns)]
+    wins = chat.windows(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).cache()
+    assert {r.conv_id: tuple(r)[1:5] for r in chat.read_back(wins).collect()} == expected
+    some = wins.collect()
+    for r in some:
+        pieces = [re.fullmatch("(<[^>]*>)([^<]*)", t).groups() for t in r.formatted.split("</s>")[:-1]]
+        assert sum(count(head) + count(body) + count("</s>") for head, body in pieces) <= r.tokens <= chat.BUDGET
+        assert any(not head.startswith("<=") for head, _ in pieces)
+    assert any("<=user>" in r.formatted for r in some) and any("<[" in r.formatted for r in some)
