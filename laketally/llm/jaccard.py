@@ -30,6 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from laketally.llm import text as T
 from laketally.plans.scratch import stored
@@ -222,8 +223,8 @@ def links(docs: DataFrame, classes: DataFrame, prefixes: DataFrame, k: int, part
     return found.unionByName(verified(pairs.select("a", "b"), docs, classes, k, part, whole))
 
 
-def joined(docs: DataFrame, k: int, part: int, whole: int) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every row; links are at part / whole or more."""
+def rooted_rows(docs: DataFrame, k: int, part: int, whole: int) -> DataFrame:
+    """(doc_id, set_id, n_shingles, root, component_id) of every row; links are at part / whole or more. A root is one set of the component."""
     docs = docs.select("doc_id", "text")
     members = stored(named(docs, k), "members")
     classes = stored(members.where("set_id IS NOT NULL").groupBy("set_id").agg(F.min("doc_id").alias("first"), F.count("*").alias("rows")), "classes")
@@ -232,23 +233,41 @@ def joined(docs: DataFrame, k: int, part: int, whole: int) -> DataFrame:
     roots = components(links(docs, classes, prefixes, k, part, whole))
     rooted = classes.join(roots, "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    named_classes = stored(rooted.join(least, "root").select("set_id", "rows", "component_id"), "named")
+    named_classes = stored(rooted.join(least, "root").select("set_id", "rows", "root", "component_id"), "named")
     total = members.count()
-    hot = F.broadcast(named_classes.where(F.col("rows") * HOT > total).select("set_id", "component_id"))  # fewer than HOT rows
-    rest = named_classes.where(F.col("rows") * HOT <= total).select("set_id", "component_id")
+    hot = F.broadcast(named_classes.where(F.col("rows") * HOT > total).select("set_id", "root", "component_id"))  # fewer than HOT rows
+    rest = named_classes.where(F.col("rows") * HOT <= total).select("set_id", "root", "component_id")
     cold = members.join(hot, "set_id", "left_anti")
     told = members.join(hot, "set_id").unionByName(cold.where("set_id IS NOT NULL").join(rest, "set_id"))
-    alone = members.where("set_id IS NULL").withColumn("component_id", F.col("doc_id"))
-    return told.unionByName(alone).select("doc_id", "n_shingles", "component_id")
+    alone = members.where("set_id IS NULL").withColumn("root", F.lit(None).cast("binary")).withColumn("component_id", F.col("doc_id"))
+    return told.unionByName(alone)
+
+
+def joined(docs: DataFrame, k: int, part: int, whole: int) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of every row; links are at part / whole or more."""
+    return rooted_rows(docs, k, part, whole).select("doc_id", "n_shingles", "component_id")
+
+
+def _with_sets(docs: DataFrame, k: int) -> DataFrame:
+    """All rows and columns, and `_set`: the set_id of the text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in T.slices(batch):
+                names = pa.array([_named(s) if len(s) else None for s in _sets(part.column("text"), k)], pa.binary())
+                yield pa.RecordBatch.from_arrays([*part.columns, names], [*part.schema.names, "_set"])
+
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("_set", BinaryType())]))
 
 
 def one_of_each(docs: DataFrame, k: int, part: int, whole: int) -> DataFrame:
-    """The documents with the smallest doc_id of their component, and all without a doc_id; repeated rows once."""
-    found = joined(docs, k, part, whole)
-    keep = found.where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(keep, "doc_id", "left_semi")
-    same = Window.partitionBy("doc_id").orderBy("text")
-    kept = kept.withColumn("_row", F.row_number().over(same)).where("_row = 1").drop("_row")
+    """Of each component the row with the smallest doc_id, then the smallest set; rows without shingles or without a doc_id; repeated rows once."""
+    found = rooted_rows(docs, k, part, whole).where("doc_id IS NOT NULL AND set_id IS NOT NULL")
+    keep = found.groupBy("root").agg(F.min(F.struct("doc_id", "set_id")).alias("least")).select("least.doc_id", F.col("least.set_id").alias("_set"))
+    rows = _with_sets(docs.where("doc_id IS NOT NULL"), k)
+    kept = rows.join(keep, ["doc_id", "_set"], "left_semi").unionByName(rows.where("_set IS NULL"))
+    same = Window.partitionBy("doc_id", "_set", F.when(F.col("_set").isNull(), F.col("text"))).orderBy("text")
+    kept = kept.withColumn("_row", F.row_number().over(same)).where("_row = 1").select(docs.columns)
     return kept.unionByName(docs.where("doc_id IS NULL")).select(docs.columns)
 
 

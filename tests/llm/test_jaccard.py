@@ -77,3 +77,12 @@ def test_stage_keeps_one_of_each_and_empty_tables(spark, rows):
     assert sorted(d for d in kept if d is not None) == sorted(groups)
     assert kept.count(None) == 2
     assert jaccard.joined(docs.limit(0), 4, 85, 100).count() == 0
+
+
+def test_rows_that_share_an_id_are_kept_by_their_text(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    rows = [(1, a), (1, b), (2, a + " more"), (3, b), (4, c), (4, c), (5, ""), (5, None)]
+    docs = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, set_id int")
+    kept = jaccard.one_of_each(docs, 5, 8, 10)
+    assert kept.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted([(1, a), (1, b), (4, c), (5, ""), (5, None)], key=str)
