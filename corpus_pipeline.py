@@ -17,7 +17,7 @@ STAGES: list[tuple[str, Stage]] = [
     ("packing", packing.stage),
 ]
 
-#: A trained classifier and a tokenizer have no SQL; tests compare each stage with plain Python.
+#: A trained classifier and a tokenizer have no SQL; `run`, quality and packing have no tests yet.
 ORACLE_SQL = None
 
 
