@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from laketally.llm import chat, decontamination, fingerprints, jaccard, licenses, merkle, mixing, packing, quality, secrets, suffixes
+from laketally.llm import chat, decontamination, fingerprints, jaccard, languages, licenses, merkle, mixing, packing, quality, secrets, suffixes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": quality.query,
@@ -17,6 +17,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secrets": secrets.query,
     "op9_chat": chat.query,
     "op10_decontamination": decontamination.query,
+    "op11_languages": languages.query,
     "op13_merkle": merkle.query,
 }
 
