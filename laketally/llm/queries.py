@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from laketally.llm import chat, decontamination, fingerprints, jaccard, languages, licenses, merkle, mixing, packing, quality, secrets, suffixes
+from laketally.llm import chat, decontamination, fingerprints, jaccard, languages, licenses, merkle, mixing, negatives, packing, quality, secrets, suffixes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": quality.query,
@@ -18,9 +18,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_chat": chat.query,
     "op10_decontamination": decontamination.query,
     "op11_languages": languages.query,
+    "op12_negatives": negatives.query,
     "op13_merkle": merkle.query,
 }
 
 ORACLE: dict[str, str] = {
+    "op12_negatives": negatives.SQL,
     "op13_merkle": merkle.SQL,
 }
