@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from laketally.llm import text as T
 from laketally.llm.quality import held_out
+from laketally.plans.scratch import stored
 
 SIZE = 300
 LONGEST = 5
@@ -167,7 +168,8 @@ def train(docs: DataFrame, per_language: int = 1000) -> list[Profiles]:
     labelled = docs.where("lang IS NOT NULL")
     parts = 1 << 30
     share = F.least(F.lit(parts), (F.lit(float(per_language)) / F.count(F.lit(1)) * parts).cast("long"))
-    shares = labelled.groupBy("lang").agg(share.alias("share"))
+    # Stored, so that Spark knows how small it is and moves no text to join it.
+    shares = stored(labelled.groupBy("lang").agg(share.alias("share")), "shares")
     picked = F.pmod(F.xxhash64("doc_id"), F.lit(parts))
     sampled = labelled.select("lang", "text", picked.alias("picked")).join(shares, "lang").where("picked < share")
 
