@@ -72,6 +72,42 @@ def schedules(spark, sf_dir) -> DataFrame:
     )
 
 
+def dated_log(spark, sf_dir) -> DataFrame:
+    """Finished tasks whose names carry the date of their event, some of them no date at all."""
+    return table(spark, sf_dir, "events").selectExpr(
+        "event_id",
+        """CASE event_type
+            WHEN 'click' THEN concat(user_id, '_click_', date_format(ts, 'yyyyMMddHH'))
+            WHEN 'purchase' THEN concat('purchase_', date_format(ts, 'yyyyMM'), '_', user_id)
+            WHEN 'view' THEN concat('view_', user_id, '_', CASE WHEN event_id % 9 = 0 THEN date_format(ts, 'yyyy1399')
+                WHEN event_id % 9 < 4 THEN date_format(ts, 'yyyyMM01') ELSE date_format(ts, 'yyyyMMdd') END)
+            WHEN 'signup' THEN CASE WHEN event_id % 5 = 0 THEN concat('signup_', user_id)
+                ELSE concat('signup_', date_format(ts, 'yyyyMMdd'), '_', date_format(ts, 'HH'), '_', user_id, '_', date_format(ts, 'yyyyMM')) END
+            ELSE concat('error_', date_format(ts, 'yyyyMMdd'), '_', user_id) END AS task_name""",
+        "CAST(NULL AS STRING) AS period_type",
+        """CASE WHEN event_id % 3 = 0 THEN NULL WHEN event_id % 3 = 1 THEN date_format(ts, 'yyyyMMdd')
+            ELSE date_format(ts, 'yyyyMMddHH') END AS batch_no""",
+        "ts AS complete_dt",
+    )
+
+
+def dated_schedules(spark, sf_dir) -> DataFrame:
+    """Seven patterns and one plain name per customer; those of `error` carry something else."""
+    names = """array(concat(c_custkey, '_click_${data_date}06'), concat(c_custkey, '_click_${data_date}18'),
+        concat('purchase_${data_month}_', c_custkey), concat('view_', c_custkey, '_${data_date}'),
+        concat('view_', c_custkey, '_${data_month}01'), concat('signup_${data_date}_${data_hour}_', c_custkey, '_${data_month}'),
+        concat('signup_', c_custkey), concat('error_${ghost}_', c_custkey))"""
+    c = table(spark, sf_dir, "customer").select("c_custkey", F.posexplode(F.expr(placeholders(names))).alias("k", "task_name"))
+    entry = """named_struct('name', 'ods.t', 'hdfs_path', concat('/lake/k', k), 'format', 'orc', 'partition_template',
+        CASE k WHEN 0 THEN 'ymd=${data_date}/h=06' WHEN 1 THEN 'ymd=${data_date}/h=18' WHEN 5 THEN 'ymd=${data_date}/h=${data_hour}'
+        ELSE CASE WHEN k IN (2, 4) THEN 'ym=${data_month}' ELSE 'ymd=${data_date}' END END, 'delimiter', CAST(NULL AS STRING))"""
+    return c.selectExpr(
+        "c_custkey * 8 + k AS ord", "task_name", "CAST(NULL AS STRING) AS interface_id", "CAST(NULL AS STRING) AS platform_id",
+        "CAST(NULL AS STRING) AS partner_id", "'daily' AS period_type", "CAST(NULL AS STRING) AS loop_var",
+        placeholders(f"array({entry}) AS tables"),
+    )
+
+
 def broken_schedules(spark, sf_dir) -> DataFrame:
     """One schedule per customer, with fields missing here and there."""
     entry = """named_struct('name', c_name,

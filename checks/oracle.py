@@ -84,6 +84,38 @@ PARTS = {
         FROM (SELECT *, CASE WHEN data_month IS NULL THEN q ELSE replace(q, '${data_month}', data_month) END AS p
               FROM (SELECT *, CASE WHEN data_date IS NULL THEN partition_template
                         ELSE replace(partition_template, '${data_date}', data_date) END AS q FROM dated) a) b""",
+    "dated_log": """
+        SELECT event_id, event_type, user_id, ts AS complete_dt, 1 AS state, 'daily' AS period_type,
+            CASE event_type WHEN 'click' THEN user_id || '_click_' || strftime(ts, '%Y%m%d%H')
+                WHEN 'purchase' THEN 'purchase_' || strftime(ts, '%Y%m') || '_' || user_id
+                WHEN 'view' THEN 'view_' || user_id || '_' || CASE WHEN event_id % 9 = 0 THEN strftime(ts, '%Y1399')
+                    WHEN event_id % 9 < 4 THEN strftime(ts, '%Y%m01') ELSE strftime(ts, '%Y%m%d') END
+                WHEN 'signup' THEN CASE WHEN event_id % 5 = 0 THEN 'signup_' || user_id
+                    ELSE 'signup_' || strftime(ts, '%Y%m%d_%H_') || user_id || strftime(ts, '_%Y%m') END
+                ELSE 'error_' || strftime(ts, '%Y%m%d') || '_' || user_id END AS task_name,
+            CASE event_id % 3 WHEN 0 THEN '' WHEN 1 THEN strftime(ts, '%Y%m%d') ELSE strftime(ts, '%Y%m%d%H') END AS batch_no
+        FROM events""",
+    "dated_firsts": """
+        SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY task_name, batch_no ORDER BY complete_dt, event_id) AS rn
+            FROM dated_log) q WHERE rn = 1""",
+    "patterns": """
+        SELECT c_custkey, k, c_custkey * 8 + k AS ord, kind, replace(replace(name, 'N', CAST(c_custkey AS VARCHAR)), 'Z', '$') AS task_name,
+            '^' || replace(replace(replace(replace(name, 'N', CAST(c_custkey AS VARCHAR)), 'Z{data_date}', '(?P<d>[0-9]{8})'),
+                'Z{data_month}', '(?P<m>[0-9]{6})'), 'Z{data_hour}', '(?P<h>[0-9]{2})') || '$' AS rx
+        FROM customer, (VALUES (0, 'click', 'N_click_Z{data_date}06'), (1, 'click', 'N_click_Z{data_date}18'),
+            (2, 'purchase', 'purchase_Z{data_month}_N'), (3, 'view', 'view_N_Z{data_date}'), (4, 'view', 'view_N_Z{data_month}01'),
+            (5, 'signup', 'signup_Z{data_date}_Z{data_hour}_N_Z{data_month}'), (6, 'signup', 'signup_N')) AS t(k, kind, name)""",
+    "named_jobs": """
+        SELECT p.ord, p.k, p.task_name, f.task_name AS log_name, f.batch_no,
+            CASE WHEN length(batch_no) >= 8 THEN substr(batch_no, 1, 8)
+                 WHEN k = 0 OR k = 1 THEN substr(f.task_name, length(f.task_name) - 9, 8) WHEN k = 3 THEN right(f.task_name, 8)
+                 WHEN k = 5 THEN substr(f.task_name, 8, 8) END AS data_date,
+            CASE WHEN length(batch_no) >= 8 THEN substr(batch_no, 1, 6)
+                 WHEN k = 0 OR k = 1 THEN substr(f.task_name, length(f.task_name) - 9, 6) WHEN k = 2 THEN substr(f.task_name, 10, 6)
+                 WHEN k = 3 OR k = 4 THEN substr(right(f.task_name, 8), 1, 6) WHEN k = 5 THEN right(f.task_name, 6) END AS data_month,
+            CASE WHEN k = 5 THEN substr(f.task_name, 17, 2) END AS data_hour
+        FROM dated_firsts f JOIN patterns p ON p.c_custkey = f.user_id AND p.kind = f.event_type
+            AND regexp_full_match(f.task_name, p.rx) AND NOT (p.k = 3 AND right(f.task_name, 4) = '1399')""",
     "hist": """
         SELECT o_orderkey AS id, 'load_' || (o_custkey % 50) AS task_name,
             CAST(o_custkey % 7 AS VARCHAR) AS interface_id, substr(o_orderpriority, 1, 1) AS platform_id,
@@ -248,6 +280,20 @@ ORACLE = {
         + CASE WHEN ends_with(text, '. ') THEN 0 ELSE 1 END END AS row_count FROM documents""",
     "list_data_files": """SELECT 'day=' || strftime(ts, '%Y%m%d') AS folder, count(*) AS row_count FROM events
         WHERE event_type NOT IN ('error', 'signup') GROUP BY 1""",
+    "audit_jobs_by_pattern": with_(
+        "dated_log dated_firsts patterns named_jobs",
+        """SELECT * FROM (SELECT ord, task_name, batch_no, '/lake/k' || k || '/' || CASE
+                WHEN k IN (0, 1, 5) THEN 'ymd=' || coalesce(data_date, '20240130') || '/h=' || CASE k WHEN 0 THEN '06' WHEN 1 THEN '18' ELSE data_hour END
+                WHEN k IN (2, 4) THEN 'ym=' || CASE WHEN data_date IS NULL THEN '202401' ELSE data_month END
+                ELSE 'ymd=' || coalesce(data_date, '20240130') END AS hdfs_path,
+            coalesce(data_date, '20240130') AS data_date, CASE WHEN data_date IS NULL THEN '202401' ELSE data_month END AS data_month,
+            data_hour FROM named_jobs) q WHERE hdfs_path IS NOT NULL""",
+    ),
+    "unconfigured_by_pattern": with_(
+        "dated_log dated_firsts patterns named_jobs",
+        """SELECT task_name, batch_no FROM dated_firsts
+        EXCEPT ALL SELECT DISTINCT log_name, batch_no FROM named_jobs""",
+    ),
     "count_dispatch_by_format": """SELECT event_type, CASE event_type WHEN 'click' THEN 'textfile' WHEN 'purchase' THEN 'parquet'
             WHEN 'view' THEN 'orc' ELSE 'csv' END AS format,
         CASE WHEN event_type IN ('view', 'purchase') THEN count(*) WHEN event_type = 'click' THEN 2 * count(*)

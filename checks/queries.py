@@ -13,7 +13,6 @@ from laketally.operators import counting, history, jobs, results, tasks, templat
 from laketally.plans import audit, incremental
 from laketally.plans.incremental import WindowSettings
 from laketally.plans.scratch import scratch_path, stored
-from laketally.sources.listing import visible_files
 from laketally.streaming import completed_task_stream, first_completions, task_history_stream
 
 TABLES = (
@@ -115,18 +114,15 @@ def count_text_rows_multibyte(spark, sf_dir):
 
 @query
 def list_data_files(spark, sf_dir):
+    """The rows of all files the listing finds; hidden ones would add folders."""
     lake = lakes.staged_lake(spark, sf_dir)
-    roots = spark.range(1).select(F.lit(lake).alias("hdfs_path"))
-    found = visible_files(sources.list_files(roots))
-    rows = sources.scan_row_counts(spark, [lake], "parquet")
+    roots = spark.range(1).select(
+        F.lit(lake).alias("hdfs_path"), F.lit("parquet").alias("format"), F.lit(None).cast("string").alias("delimiter")
+    )
+    counts = counting.count_files(roots).filter("file IS NOT NULL")
     # Below the lake, so that it does not matter how its own path is written.
     below = F.substring_index("file", lake.rsplit("/", 1)[1], -1)
-    return (
-        found.select(below.alias("file"))
-        .join(rows.select(below.alias("file"), "row_count"), "file")
-        .groupBy(F.regexp_extract("file", "^/(.*)/[^/]+$", 1).alias("folder"))
-        .agg(F.sum("row_count").alias("row_count"))
-    )
+    return counts.groupBy(F.regexp_extract(below, "^/(.*)/[^/]+$", 1).alias("folder")).agg(F.sum("row_count").alias("row_count"))
 
 
 @query
@@ -436,6 +432,23 @@ def unconfigured_tasks(spark, sf_dir):
     return left_out.select("task_name", "batch_no")
 
 
+def dated(spark, sf_dir):
+    return tasks.completed_tasks(inputs.dated_log(spark, sf_dir), order_by=("complete_dt", "event_id"))
+
+
+@query
+def audit_jobs_by_pattern(spark, sf_dir):
+    """Names of the log that fill in the date placeholders of configured names."""
+    found = jobs.audit_jobs(inputs.dated_schedules(spark, sf_dir), dated(spark, sf_dir), RUN_DATE, by_pattern=True)
+    return found.select("ord", "task_name", "batch_no", "hdfs_path", "data_date", "data_month", "data_hour")
+
+
+@query
+def unconfigured_by_pattern(spark, sf_dir):
+    left_out = jobs.unconfigured_tasks(inputs.dated_schedules(spark, sf_dir), dated(spark, sf_dir), by_pattern=True)
+    return left_out.select("task_name", "batch_no")
+
+
 # Counts, results, summary
 
 

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from laketally.functions.dates import resolve_dates
 from laketally.functions.paths import has_placeholder, render_path
+from laketally.operators.patterns import name_candidates
 from laketally.sources.schedules import schedule_tables
 
 JOB_COLUMNS = [
@@ -38,8 +39,16 @@ def _same_period():
     return unset | (F.col("log_period") == F.col("period_type"))
 
 
-def build_jobs(schedules: DataFrame, tasks: DataFrame, run_date, *, explicit_date=None):
-    """All jobs, those with an unfilled path included, plus `ord, table_ord`."""
+def build_jobs(
+    schedules: DataFrame, tasks: DataFrame, run_date, *, explicit_date=None, by_pattern=False
+):
+    """All jobs, those with an unfilled path included, plus `ord, table_ord`.
+
+    Names are compared as they stand. `by_pattern` also matches configured
+    names whose date placeholders the name in the log has filled in.
+    """
+    if by_pattern:
+        tasks = name_candidates(tasks, schedules)
     matched = _matched(schedule_tables(schedules), tasks).filter(_same_period())
     dates = resolve_dates(
         "period_type",
@@ -61,15 +70,15 @@ def build_jobs(schedules: DataFrame, tasks: DataFrame, run_date, *, explicit_dat
     )
 
 
-def audit_jobs(schedules: DataFrame, tasks: DataFrame, run_date, *, explicit_date=None):
-    """The jobs that can run."""
-    jobs = build_jobs(schedules, tasks, run_date, explicit_date=explicit_date)
+def audit_jobs(schedules: DataFrame, tasks: DataFrame, run_date, **options):
+    """The jobs that can run; options as for `build_jobs`."""
+    jobs = build_jobs(schedules, tasks, run_date, **options)
     return jobs.filter(~has_placeholder("hdfs_path"))
 
 
-def unresolved_jobs(schedules: DataFrame, tasks: DataFrame, run_date, *, explicit_date=None):
+def unresolved_jobs(schedules: DataFrame, tasks: DataFrame, run_date, **options):
     """The jobs left out because their path still has a placeholder."""
-    jobs = build_jobs(schedules, tasks, run_date, explicit_date=explicit_date)
+    jobs = build_jobs(schedules, tasks, run_date, **options)
     return jobs.filter(has_placeholder("hdfs_path"))
 
 
@@ -85,8 +94,12 @@ def period_mismatch(schedules: DataFrame, tasks: DataFrame) -> DataFrame:
     )
 
 
-def unconfigured_tasks(schedules: DataFrame, tasks: DataFrame) -> DataFrame:
-    """Tasks of the log that no schedule names."""
+def unconfigured_tasks(schedules: DataFrame, tasks: DataFrame, *, by_pattern=False) -> DataFrame:
+    """Tasks of the log that no schedule names, literally or by a pattern."""
+    if by_pattern:
+        named = name_candidates(tasks, schedules).join(schedules.select("task_name"), "task_name", "left_semi")
+        found = named.select(F.col("log_name").alias("task_name"), "batch_no")
+        return tasks.join(found, ["task_name", "batch_no"], "left_anti")
     return tasks.join(schedules.select("task_name"), "task_name", "left_anti")
 
 
@@ -101,17 +114,3 @@ def preview(jobs: DataFrame) -> DataFrame:
         F.lit("dry_run").alias("status"),
     )
 
-
-def with_date_template(tasks: DataFrame, date_col="data_date") -> DataFrame:
-    """Option for schedules whose own name carries `${data_date}`.
-
-    Rewrites the business date inside the log's task name to the placeholder,
-    so that the match stays an equi-join.
-    """
-    day = F.col(date_col)
-    return tasks.withColumn(
-        "task_name",
-        F.when(day.isNotNull(), F.replace("task_name", day, F.lit("${data_date}"))).otherwise(
-            F.col("task_name")
-        ),
-    )

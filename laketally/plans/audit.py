@@ -80,13 +80,15 @@ def run_audit(
     dry_run=False,
     init_now=False,
     reset=False,
+    by_pattern=False,
     count_options: dict | None = None,
     **window,
 ) -> Run:
     """One audit run at the time `now`. A dry run counts nothing and changes
     neither the history nor the mark.
 
-    `count_options` go to `count_files`, anything else to `task_log_window`.
+    `by_pattern` lets names in the log fill date placeholders of configured
+    names. `count_options` go to `count_files`, anything else to `task_log_window`.
     """
     if not dry_run and results_path is None:
         raise ValueError("results_path is needed unless dry_run is set")
@@ -116,7 +118,7 @@ def run_audit(
     # The log may grow while the run lasts; its jobs must not.
     done = stored(done, "tasks")
     fetched = done.count()
-    jobs = audit_jobs(schedules, done, now, explicit_date=data_date)
+    jobs = audit_jobs(schedules, done, now, explicit_date=data_date, by_pattern=by_pattern)
     if dry_run:
         summary = {**EMPTY, "total": jobs.count()}
         return Run(done, jobs, preview(jobs), None, summary, bounds, fetched)

@@ -69,6 +69,7 @@ def audit_stream(
     init_time=None,
     advance_on_failure=False,
     order_by=("complete_dt",),
+    by_pattern=False,
     **count_options,
 ):
     """Audit each micro-batch of the log and append its result rows.
@@ -82,7 +83,7 @@ def audit_stream(
     def audit_batch(batch: DataFrame, batch_id: int) -> None:
         now = clock()
         done_tasks = stored(completed_tasks(batch, order_by=order_by), "tasks")
-        jobs = stored(audit_jobs(schedules, done_tasks, now), "jobs")
+        jobs = stored(audit_jobs(schedules, done_tasks, now, by_pattern=by_pattern), "jobs")
         if jobs.isEmpty():
             return
         rows, errors = audit_results(jobs, now, **count_options)

@@ -126,8 +126,10 @@ def test_date_in_the_task_name(spark):
     )
     done = tasks.completed_tasks(log(spark, ("p_2026030107", "hourly", "2026030107")))
     assert jobs.audit_jobs(config, done, RUN).count() == 0
-    renamed = jobs.with_date_template(done)
-    assert [p for _, _, p in paths(jobs.audit_jobs(config, renamed, RUN))] == ["/lake/h1/h=2026030107"]
+    found = jobs.audit_jobs(config, done, RUN, by_pattern=True)
+    assert [p for _, _, p in paths(found)] == ["/lake/h1/h=2026030107"]
+    assert jobs.unconfigured_tasks(config, done).count() == 1
+    assert jobs.unconfigured_tasks(config, done, by_pattern=True).count() == 0
 
 
 def test_log_sources(spark, tmp_path):

@@ -1,0 +1,117 @@
+"""Log names against configured names with placeholders, by plain regular expressions."""
+
+import random
+import re
+
+import pytest
+
+from laketally import sources
+from laketally.operators import jobs, patterns, tasks
+
+RX = {"data_date": "[0-9]{8}", "data_month": "[0-9]{6}", "data_hour": "[0-9]{2}"}
+
+
+def real_day(text):
+    import datetime as dt
+
+    try:
+        return bool(dt.datetime.strptime(text, "%Y%m%d"))
+    except ValueError:
+        return False
+
+
+def fits(pattern, name):
+    """The values a name gives a pattern's placeholders, or None."""
+    if pattern == name:
+        return {}
+    cut = re.split(r"\$\{(data_date|data_month|data_hour)\}", pattern)
+    if len(cut) == 1 or "${" in "".join(cut[::2]):
+        return None
+    rx = "".join(re.escape(c) if i % 2 == 0 else f"({RX[c]})" for i, c in enumerate(cut))
+    found = re.fullmatch(rx, name, re.DOTALL)
+    if not found:
+        return None
+    values = {}
+    for var, value in zip(cut[1::2], found.groups(), strict=True):
+        if values.setdefault(var, value) != value:
+            return None
+    day, month, hour = (values.get(v) for v in RX)
+    if (day and not real_day(day)) or (month and not real_day(month + "01")) or (hour and hour > "23"):
+        return None
+    if day and month and day[:6] != month:
+        return None
+    return values
+
+
+def schedules(spark, names):
+    table = {"name": "t", "hdfs_path": "/l", "format": "orc", "partition_template": "d=${data_date}"}
+    return sources.schedules_from_dicts(spark, [{"task_name": n, "period_type": "daily", "tables": [table]} for n in names])
+
+
+def log(spark, names):
+    rows = [(n, None, None) for n in names]
+    return tasks.with_date_parts(tasks.log_rows(spark.createDataFrame(rows, "task_name string, period_type string, batch_no string")))
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_matches_equal_regular_expressions(spark, seed):
+    rng = random.Random(seed)
+    bits = ["a", "1", "20", "_", "é", "#", ".", "${data_date}", "${data_month}", "${data_hour}", "${data_hour}", "${x}", "\n"]
+    configured = sorted({"".join(rng.choice(bits) for _ in range(rng.randint(1, 5))) for _ in range(60)})
+    fill = {
+        "${data_date}": ["20260309", "20261301", "20260230", "########"],
+        "${data_month}": ["202603", "202613", "202601"],
+        "${data_hour}": ["00", "23", "24"],
+    }
+    seen = set()
+    for pattern in configured * 6:
+        seen.add(re.sub(r"\$\{data_\w+\}", lambda m: rng.choice(fill[m.group()]), pattern))
+    seen = sorted(seen | {"", "20260309", "2026030901", "a_1"})
+    found = patterns.name_candidates(log(spark, seen), schedules(spark, configured)).where("task_name IN (%s)" % ",".join(
+        "'" + n.replace("'", "\\'").replace("${", "$' || '{") + "'" for n in configured))
+    got = sorted((r.log_name, r.task_name, r.data_date, r.data_month, r.data_hour) for r in found.collect())
+    want = []
+    for name in seen:
+        for pattern in configured:
+            values = fits(pattern, name)
+            if values is not None:
+                day, month, hour = (values.get(v) for v in RX)
+                want.append((name, pattern, day, month or (day and day[:6]), hour))
+    assert sorted(got, key=str) == sorted(want, key=str) and len(want) > 40
+
+
+def test_batch_wins_over_name(spark):
+    config = schedules(spark, ["p_${data_date}", "p_${data_month}01", "p_20260301", "h_${data_date}${data_hour}"])
+    done = tasks.completed_tasks(
+        spark.createDataFrame(
+            [("p_20260301", "daily", "20260305", 1), ("p_20260302", "daily", "", 1), ("p_20260399", "daily", "", 1),
+             ("h_2026030107", "daily", "20260301", 1), ("h_2026030208", "daily", "20260301", 1)],
+            "task_name string, period_type string, batch_no string, complete_dt int",
+        )
+    )
+    found = jobs.build_jobs(config, done, "2026-04-01", by_pattern=True).collect()
+    assert sorted((r.task_name, r.batch_no, r.data_date, r.data_hour or "") for r in found) == [
+        ("h_${data_date}${data_hour}", "20260301", "20260301", ""),
+        ("h_${data_date}${data_hour}", "20260301", "20260301", "07"),
+        ("p_${data_date}", "", "20260302", ""),
+        ("p_${data_date}", "20260305", "20260305", ""),
+        ("p_${data_month}01", "20260305", "20260305", ""),
+        ("p_20260301", "20260305", "20260305", ""),
+    ]
+    left = jobs.unconfigured_tasks(config, done, by_pattern=True).collect()
+    assert [r.task_name for r in left] == ["p_20260399"]
+
+
+def test_names_of_one_layout_share_it(spark):
+    """Thousands of names do not make thousands of candidates."""
+    config = schedules(spark, [f"{p:05d}_P_${{data_date}}{h:02d}" for p in range(50) for h in range(24)])
+    layouts = patterns.name_layouts(config).collect()
+    assert len(layouts) == 1 and len(layouts[0].layouts) == 1
+    found = patterns.name_candidates(log(spark, ["00007_P_2026030105"]), config)
+    assert sorted(r.task_name for r in found.collect()) == ["00007_P_${data_date}05", "00007_P_2026030105"]
+
+
+def test_no_product_and_one_join(spark):
+    config = schedules(spark, ["p_${data_date}"])
+    text = jobs.build_jobs(config, log(spark, ["p_20260301"]), "2026-04-01", by_pattern=True)._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in text and "BroadcastNestedLoop" not in text and "Python" not in text

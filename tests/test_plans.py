@@ -37,7 +37,7 @@ def test_rollup_reads_only_its_columns(spark):
 
 
 @pytest.mark.parametrize(
-    "name", ["latest_per_table", "daily_rollup", "completed_tasks", "path_errors_inline"]
+    "name", ["latest_per_table", "daily_rollup", "completed_tasks"]
 )
 def test_groups_shrink_before_the_shuffle(spark, name):
     """A key with a third of all rows sends only its winners to one task."""
@@ -46,6 +46,11 @@ def test_groups_shrink_before_the_shuffle(spark, name):
     assert "WindowGroupLimit" in text[exchange:] and "Partial" in text[exchange:]
 
 
+def test_errors_gather_before_the_shuffle(spark):
+    text = plan(QUERIES["path_errors_inline"](spark, SF))
+    assert "partial_collect_list" in text[text.index("Exchange hashpartitioning") :]
+
+
 NATIVE = sorted(set(QUERIES) - {
     "count_parquet_footers", "count_text_ranges", "count_dispatch_by_format", "list_data_files",
 })
