@@ -336,6 +336,9 @@ ORACLE = {
         "log firsts",
         "SELECT task_name, batch_no, period_type FROM firsts",
     ),
+    "stream_first_completions": tasks(
+        "SELECT task_name, period_type, batch_no, data_date, data_month, data_hour FROM parsed"
+    ),
     "stream_dedup": with_(
         "log", "SELECT DISTINCT task_name, coalesce(batch_no, '') AS batch_no FROM log WHERE state = 1"
     ),

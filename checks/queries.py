@@ -13,7 +13,7 @@ from laketally.operators import counting, history, jobs, results, tasks, templat
 from laketally.plans import audit, incremental
 from laketally.plans.incremental import WindowSettings
 from laketally.plans.scratch import scratch_path, stored
-from laketally.streaming import completed_task_stream, first_completions, task_history_stream
+from laketally.streaming import completed_task_stream, first_completion, first_completions, task_history_stream
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -249,6 +249,25 @@ def stream_dedup(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+@query
+def stream_first_completions(spark, sf_dir):
+    """The log streamed up to a day out of order, a file per micro-batch, and a last row that closes it."""
+    session = spark.newSession()
+    session.conf.set(first_completion.PROVIDER, first_completion.ROCKSDB)
+    path, log_path, check = (scratch_path(spark, f"first-{n}") for n in ("out", "log", "check"))
+    log = inputs.task_log(session, sf_dir).withColumn("complete_dt", F.col("complete_dt").cast("timestamp"))
+    arrival = F.unix_timestamp("complete_dt") + F.pmod(F.xxhash64("event_id"), F.lit(24 * 3600))
+    dealt = log.withColumn("file", F.floor(arrival / (6 * 24 * 3600)))
+    for (file,) in sorted(dealt.select("file").distinct().collect()):
+        dealt.filter(F.col("file") == file).drop("file").coalesce(1).write.mode("append").parquet(log_path)
+    last = log.limit(1).withColumns({"task_name": F.lit("end"), "state": F.lit(1), "complete_dt": F.lit("2025-01-01").cast("timestamp")})
+    last.write.mode("append").parquet(log_path)
+    stream = session.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).parquet(log_path)
+    rows = first_completion.first_completion_stream(stream, delay="24 hours", keep=dt.timedelta(days=60), tie="event_id")
+    _drained(first_completion.write_first_completions(rows, path, check), path)
+    return first_completion.told_first(session, path).filter("task_name <> 'end'")
+
+
 # Business dates and paths
 
 
