@@ -544,6 +544,7 @@ ORACLE = {
         """SELECT task_name, table_name, row_count, status, strftime(created_at, '%Y-%m-%d %H:%M:%S') AS created_at
         FROM (SELECT * FROM hist ORDER BY created_at DESC, id DESC LIMIT 10) q""",
     ),
+    "daily_rollup_maintained": daily(),
     "daily_rollup": daily(),
     "daily_rollup_7_days": daily("WHERE data_date >= '2001-07-13'"),
     "monthly_rollup": with_(

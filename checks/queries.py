@@ -10,7 +10,7 @@ from checks.inputs import LOG_END, LOG_START, RUN_DATE, table
 from laketally import functions as lf
 from laketally import sources
 from laketally.operators import counting, history, jobs, results, tasks, templates
-from laketally.plans import audit, incremental
+from laketally.plans import audit, incremental, rollups
 from laketally.plans.incremental import WindowSettings
 from laketally.plans.scratch import scratch_path, stored
 from laketally.streaming import completed_task_stream, first_completion, first_completions, task_history_stream
@@ -720,6 +720,16 @@ def daily_rollup_7_days(spark, sf_dir):
     return daily.withColumn("data_date", F.col("data_date").cast("string"))
 
 
+@query
+def daily_rollup_maintained(spark, sf_dir):
+    """The rollup kept up to date over five appended runs, one of them applied twice, and a repeat of old rows."""
+    path, rows = scratch_path(spark, "rollup"), inputs.history(spark, sf_dir)
+    parts = [rows.filter(F.col("id") % 5 == k) for k in (3, 0, 4, 1)]
+    for part in [*parts, parts[1], rows.filter("id % 5 = 2 OR id % 10 = 1")]:
+        rollups.apply_run(spark, path, part)
+    return rollups.read_daily(spark, path).withColumn("data_date", F.col("data_date").cast("string"))
+
+
 @query
 def monthly_rollup(spark, sf_dir):
     return history.monthly_rollup(inputs.history(spark, sf_dir))
