@@ -488,6 +488,13 @@ ORACLE = {
         WHERE CASE WHEN day IS NOT NULL THEN day >= '2000-06-15' WHEN mon IS NOT NULL THEN mon >= '200006'
             ELSE CAST(created_at AS DATE) >= DATE '2000-06-15' END""",
     ),
+    "run_table_results": with_(
+        "hist files",
+        """SELECT table_name, count(*) AS results,
+            (SELECT count(*) FROM files WHERE error IS NOT NULL AND length(coalesce(file, '')) % 3 <> 1) AS errors,
+            CAST(epoch_us(TIMESTAMP '2024-01-03') AS BIGINT) AS mark
+        FROM hist WHERE id % 3 <> 1 AND data_date >= '1995-06-15' GROUP BY table_name""",
+    ),
     "run_summary": with_(
         "hist",
         """SELECT data_date, count(*) AS total, count(*) FILTER (WHERE status = 'success') AS success,

@@ -10,7 +10,7 @@ from checks.inputs import LOG_END, LOG_START, RUN_DATE, table
 from laketally import functions as lf
 from laketally import sources
 from laketally.operators import counting, history, jobs, results, tasks, templates
-from laketally.plans import audit, incremental, rollups
+from laketally.plans import audit, incremental, rollups, runs
 from laketally.plans.incremental import WindowSettings
 from laketally.plans.scratch import scratch_path, stored
 from laketally.streaming import completed_task_stream, first_completion, first_completions, task_history_stream
@@ -568,6 +568,23 @@ def audit_read_since(spark, sf_dir):
     return rows.select("id", "table_name", string("data_date"), "row_count")
 
 
+@query
+def run_table_results(spark, sf_dir):
+    """Three runs append to a run table; the second breaks before its commit and is seen by nobody."""
+    path, rows = scratch_path(spark, "runs"), inputs.history(spark, sf_dir)
+    errors = counting.path_errors(inputs.file_counts(spark, sf_dir))
+    for k in range(3):
+        run = runs.RunTable(spark, path)
+        at = dt.datetime(2024, 1, k + 1, tzinfo=dt.timezone.utc)
+        run.append(rows.filter(F.col("id") % 3 == k), errors.filter(F.length("file") % 3 == k), at)
+        if k != 1:
+            run.finish(at, at)
+    seen = runs.read_run_results(spark, path, since="1995-06-15").groupBy("table_name").agg(F.count("*").alias("results"))
+    told = runs.read_run_errors(spark, path).groupBy().agg(F.count("*").alias("errors"))
+    marks = runs.committed_runs(spark, path).groupBy().agg(F.max("mark").alias("mark"))
+    return seen.withColumns({"errors": F.lit(told.first()[0]), "mark": F.lit(marks.first()[0])})
+
+
 @query
 def run_summary(spark, sf_dir):
     by_day = results.run_summary(inputs.history(spark, sf_dir), by=["data_date"])

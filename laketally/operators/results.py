@@ -92,15 +92,17 @@ def result_rows(jobs: DataFrame, results: DataFrame, created_at) -> DataFrame:
     )
 
 
-def append_results(rows: DataFrame, path: str) -> None:
-    """Append result rows to the history; all rows of a run appear or none.
+def append_results(rows: DataFrame, path: str, *, more=()) -> None:
+    """Append result rows to the history; all rows of one call appear or none.
 
+    Errors and the mark are appended by calls of their own; `plans.runs` makes
+    them visible together. `more` names columns kept besides a result's own.
     The history is partitioned by period and month. The rebalance hint gathers
     a partition's rows into few files and lets Spark split an overfull one.
     """
     columns = [f.name for f in AUDIT_RESULT.fields]
     (
-        rows.select(*columns)
+        rows.select(*columns, *more)
         .hint("rebalance", *PARTITIONS)
         .write.mode("append")
         .partitionBy(*PARTITIONS)
@@ -119,16 +121,18 @@ def append_errors(errors: DataFrame, path: str, created_at) -> None:
     errors.withColumn("created_at", created).write.mode("append").parquet(path)
 
 
-def read_results(
-    spark: SparkSession, path: str, *, since=None, data_date=None, data_month=None
-) -> DataFrame:
-    """The history, or what it has since a date, on a day or in a month.
+def read_results(spark: SparkSession, path: str, **which) -> DataFrame:
+    """The history, or the part of it that `filtered_results` keeps."""
+    return filtered_results(spark.read.schema(AUDIT_RESULT).parquet(path), **which)
+
+
+def filtered_results(rows: DataFrame, *, since=None, data_date=None, data_month=None) -> DataFrame:
+    """Results since a date, on a day or in a month, or all.
 
     `since` is an ISO date, `data_date` yyyyMMdd and `data_month` yyyyMM. Each
     also selects months, so the files of others are never opened. A row without
     a day is placed by its month, one without both by the time it was made.
     """
-    rows = spark.read.schema(AUDIT_RESULT).parquet(path)
     month = F.col("data_month")
     if since is not None:
         first = F.lit(str(since)).cast("date")

@@ -20,6 +20,7 @@ from laketally.plans.incremental import (
     stalls,
     window_bounds,
 )
+from laketally.plans.runs import RunTable
 from laketally.plans.scratch import stored
 from laketally.sources.schedules import validate
 from laketally.sources.task_log import task_log_window
@@ -73,6 +74,7 @@ def run_audit(
     results_path: str | None = None,
     errors_path: str | None = None,
     state_path: str | None = None,
+    runs_path: str | None = None,
     settings: WindowSettings = WindowSettings(),
     data_date: str | None = None,
     names=None,
@@ -87,22 +89,33 @@ def run_audit(
     """One audit run at the time `now`. A dry run counts nothing and changes
     neither the history nor the mark.
 
+    Results, errors and mark go to `results_path`, `errors_path` and
+    `state_path`, or all to a run table at `runs_path`, where they appear
+    together; a run that another one overtook raises `Taken` there.
+
     `by_pattern` lets names in the log fill date placeholders of configured
     names. `count_options` go to `count_files`, anything else to `task_log_window`.
     """
-    if not dry_run and results_path is None:
-        raise ValueError("results_path is needed unless dry_run is set")
+    if runs_path and (results_path or errors_path or state_path):
+        raise ValueError("a run table takes the place of the other paths")
+    if not dry_run and results_path is None and runs_path is None:
+        raise ValueError("results_path or runs_path is needed unless dry_run is set")
     validate(schedules)
     data_date = explicit_date(spark, data_date, now)
     explicit = names is not None
     from_log = log is not None and not explicit and not all_configured
     bounds, capped = None, False
+    table = RunTable(spark, runs_path) if runs_path else None
+    mark = None
     if from_log:
         if state_path and reset and not dry_run:
             save_mark(spark, state_path, None, now)
-        mark = load_mark(spark, state_path) if state_path and not reset else None
-        if state_path and mark is None and init_now:
-            if not dry_run:
+        if not reset:
+            mark = table.mark() if table else load_mark(spark, state_path) if state_path else None
+        if (state_path or table) and mark is None and init_now:
+            if table and not dry_run:
+                table.finish(now, now)
+            elif not dry_run:
                 save_mark(spark, state_path, now, now)
             return Run(None, None, None, None, EMPTY, advanced=not dry_run)
         bounds, capped = next_window(spark, mark, now, settings)
@@ -129,8 +142,11 @@ def run_audit(
     if not jobs.isEmpty():
         rows, errors = audit_results(jobs, now, **(count_options or {}))
         rows = stored(rows, "results")
-        append_results(rows, results_path)
-        append_errors(errors, errors_path or errors_beside(results_path), now)
+        if table:
+            table.append(rows, errors, now)
+        else:
+            append_results(rows, results_path)
+            append_errors(errors, errors_path or errors_beside(results_path), now)
         summary = run_summary(rows).first().asDict()
 
     flags = spark.range(1).select(
@@ -140,8 +156,12 @@ def run_audit(
         ).alias("advance"),
         stalls(F.lit(summary["total"]), F.lit(fetched), F.lit(capped)).alias("stalled"),
     ).first()
-    advanced = bool(from_log and state_path and flags["advance"])
-    if advanced:
+    advanced = bool(from_log and (state_path or table) and flags["advance"])
+    if table and from_log:
+        table.finish(bounds[1] if advanced else mark, now)
+    elif table:
+        table.finish_beside(now)
+    elif advanced:
         save_mark(spark, state_path, bounds[1], now)
     stalled = from_log and flags["stalled"]
     return Run(done, jobs, rows, errors, summary, bounds, fetched, advanced, stalled)
