@@ -3,6 +3,8 @@
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from laketally.sources.filesystems import default_parallelism
+
 # Placeholders that are filled when a job is built.
 RUNTIME_VARS = ("data_date", "data_month")
 
@@ -84,44 +86,57 @@ def template_violations(templates: DataFrame, variables: DataFrame) -> DataFrame
     return checked.select("ord", "var", rule.alias("rule")).filter("rule IS NOT NULL")
 
 
-def _combinations(templates: DataFrame, variables: DataFrame, max_loop_vars=None) -> DataFrame:
+def _value_lists(templates: DataFrame, variables: DataFrame) -> DataFrame:
+    """(ord, lists): the values of a template's variables in loop order; none of
+    a template that loops over an undefined variable."""
+    looped = templates.select("ord", F.posexplode(loop_vars("loop_var")).alias("pos", "var"))
+    values = variable_values(variables).select("var", "values").filter("values IS NOT NULL")
+    return looped.join(values, "var").groupBy("ord").agg(
+        F.array_sort(F.collect_list(F.struct("pos", "var", "values"))).alias("lists")
+    )
+
+
+def _combinations(templates: DataFrame, variables: DataFrame, block: int) -> DataFrame:
     """Templates with `combo` (number within the template) and `bound`.
 
-    `bound` holds the (var, value) pairs of one combination. Each step looks
-    the next variable's value list up by name and unfolds it, so rows multiply
-    in place and the last variable varies fastest.
+    `bound` holds the (var, value) pairs of one combination, which follow from
+    its number: a number in mixed radix, the last variable varying fastest.
+    Ranges of `block` numbers are dealt to all tasks, so a template of any size
+    is spread.
     """
-    if max_loop_vars is None:
-        widest = templates.select(F.max(F.size(loop_vars("loop_var"))).alias("n")).first()
-        max_loop_vars = widest["n"] or 0
-    values = variable_values(variables).select("var", "values")
-    pair = "array<struct<var:string,value:string>>"
-    rows = templates.withColumns(
-        {
-            "vars": loop_vars("loop_var"),
-            "combo": F.lit(0).cast("bigint"),
-            "bound": F.array().cast(pair),
-        }
-    )
-    for i in range(max_loop_vars):
-        named = rows.withColumn("var", F.get("vars", F.lit(i)))
-        looked_up = named.join(values, "var", "left").withColumn(
-            # A template without an i-th variable passes through as one row.
-            "values",
-            F.when(F.col("var").isNull(), F.array(F.lit(None).cast("string"))).otherwise(
-                F.col("values")
-            ),
-        )
-        unfolded = looked_up.select("*", F.posexplode("values").alias("pos", "value"))
-        rows = unfolded.withColumns(
-            {
-                "combo": F.col("combo") * F.size("values") + F.col("pos"),
-                "bound": F.when(F.col("var").isNull(), F.col("bound")).otherwise(
-                    F.concat("bound", F.array(F.struct("var", "value")).cast(pair))
-                ),
-            }
-        ).drop("var", "values", "pos", "value")
-    return rows
+    tasks = default_parallelism(templates.sparkSession)
+    no_list = F.array().cast("array<struct<pos:int,var:string,values:array<string>>>")
+    rows = templates.join(_value_lists(templates, variables), "ord", "left")
+    rows = rows.withColumn("lists", F.coalesce("lists", no_list)).filter(
+        F.size("lists") == F.size(loop_vars("loop_var"))
+    )
+    one = F.lit(1).cast("bigint")
+    # How many combinations lie between two values of a variable, and all of them.
+    strides = F.transform(
+        "lists",
+        lambda _, i: F.aggregate(
+            F.slice("lists", i + 2, F.size("lists")), one, lambda n, x: n * F.size(x["values"])
+        ),
+    )
+    total = F.aggregate("lists", one, lambda n, x: n * F.size(x["values"]))
+    starts = F.sequence(F.lit(0).cast("bigint"), F.col("total") - 1, F.lit(block).cast("bigint"))
+    blocks = (
+        rows.withColumns({"strides": strides, "total": total})
+        .filter("total > 0")
+        .withColumn("start", F.explode(starts))
+        .repartition(tasks, "ord", "start")
+    )
+    last = F.least(F.col("start") + block, F.col("total")) - 1
+    combos = blocks.withColumn("combo", F.explode(F.sequence("start", last)))
+    bound = F.zip_with(
+        "lists",
+        "strides",
+        lambda x, stride: F.struct(
+            x["var"].alias("var"),
+            F.get(x["values"], F.floor(F.col("combo") / stride) % F.size(x["values"])).alias("value"),
+        ),
+    )
+    return combos.withColumn("bound", bound)
 
 
 def _substituted(text: Column) -> Column:
@@ -134,7 +149,7 @@ def _substituted(text: Column) -> Column:
 
 
 def expand_templates(
-    templates: DataFrame, variables: DataFrame, *, max_loop_vars=None
+    templates: DataFrame, variables: DataFrame, *, block=10_000
 ) -> DataFrame:
     """Schedules of all templates, with `ord` (of the template) and `combo`.
 
@@ -142,7 +157,7 @@ def expand_templates(
     without a loop gives one schedule. Check `template_violations` first: a
     loop over an undefined variable gives no rows here.
     """
-    rows = _combinations(templates, variables, max_loop_vars)
+    rows = _combinations(templates, variables, block)
 
     def filled(t):
         fields = templates.schema["tables"].dataType.elementType.fieldNames()

@@ -1,6 +1,7 @@
 import itertools
 
 import pytest
+from pyspark.sql import functions as F
 
 from laketally import sources
 from laketally.operators import templates
@@ -146,3 +147,29 @@ def test_violations(spark):
         (5, "still", "zero_step"),
         (6, "data_date", "runtime"),
     ]
+
+
+def test_one_large_template_is_spread(spark):
+    """A million combinations of one template, in equal shares over all tasks, each from its number."""
+    v = variables(spark, ("a", "range", "0", "99", "1", 2, None), ("b", "range", "0", "99", "1", 2, None), ("c", "enum", None, None, None, None, [f"x{i}" for i in range(100)]))
+    t = schedules_from_dicts(spark, [{"task_name": "${a}_${b}_${c}", "loop_var": "a & b & c", "tables": [table()]}])
+    rows = templates.expand_templates(t, v).select("combo", "task_name", F.spark_partition_id().alias("task"))
+    shares = [r["count"] for r in rows.groupBy("task").count().collect()]
+    assert sum(shares) == 10**6 and len(shares) >= 6 and max(shares) < 10**6 / 3
+    wrong = rows.where(
+        "task_name <> concat_ws('_', lpad(combo div 10000, 2, '0'), lpad(combo div 100 % 100, 2, '0'), concat('x', combo % 100))"
+    )
+    assert wrong.count() == 0 and rows.select("combo").distinct().count() == 10**6
+
+
+@pytest.mark.parametrize("block", [1, 3, 10_000])
+def test_any_block_gives_the_product(spark, block):
+    v = variables(spark, ("a", "range", "1", "3", "1", None, None), ("b", "enum", None, None, None, None, ["p", "q"]), ("e", "range", "1", "0", "1", None, None))
+    t = schedules_from_dicts(spark, [
+        {"task_name": "n", "tables": [table()]}, {"task_name": "${b}${a}${b}", "loop_var": "b&a", "tables": [table()]},
+        {"task_name": "${a}${e}", "loop_var": "a&e", "tables": [table()]}, {"task_name": "${a}", "loop_var": "a&ghost", "tables": [table()]},
+    ])
+    rows = templates.expand_templates(t, v, block=block).orderBy("ord", "combo").collect()
+    assert [(r.ord, r.combo, r.task_name) for r in rows] == [(0, 0, "n")] + [
+        (1, i, f"{b}{a}{b}") for i, (b, a) in enumerate(itertools.product("pq", "123"))
+    ]
