@@ -12,12 +12,13 @@ if it is one. Of an opening system turn in parts, only the first is repeated. In
 so no control string of a text survives, and reading back is exact.
 
 Tokens are those of the tokenizer for what is written: for head, escaped text and
-end of each turn, each encoded on its own. Roles are not split: one that takes up
-a quarter of the budget is an error.
+end of each turn, each encoded on its own. Roles are not split: a turn whose role
+takes more than a quarter of the budget is not cut either and may exceed it, alone
+but for an opening system turn.
 
 A conversation may hold any share of the rows: running sums are taken in blocks
-of turns, windows are bounded by their tokens and end with their block, and the
-digests join windows in two steps.
+of `BLOCK` turns by their place, windows are bounded by their tokens and end with
+their block, and the digests join windows in two steps.
 
 Nulls and odd rows: a null text or role is empty, and its turn stays. Turns
 with equal numbers go by role, then text; null turns come first. Rows with a
@@ -32,11 +33,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from laketally.llm import packing
+from laketally.llm.merkle import numbered
 from laketally.plans.scratch import stored
 
 BUDGET = 1024
 HISTORY = 256
-BLOCK = 64
+#: Turns of a conversation whose windows are chosen by one task; a window also ends with them.
+BLOCK = 4096
 #: Characters with a meaning in the template, and how they are written in texts; the first must stay first.
 ESCAPES = (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ("[", "&#91;"), ("=", "&#61;"))
 
@@ -63,6 +66,26 @@ PIECES = "array<struct<part:long,text:string,tokens:long,skip:long>>"
 _PIECES = pa.list_(pa.struct([("part", pa.int64()), ("text", pa.string()), ("tokens", pa.int64()), ("skip", pa.int64())]))
 
 
+def _cut(texts: list[str], rooms: list[int | None], count) -> list[list[tuple[str, int]]]:
+    """Each text in parts of at most its room, with their tokens; halved level by level, all texts together."""
+    parts = [[(t, n)] for t, n in zip(texts, count([_escaped(t) for t in texts]), strict=True)]
+    over = range(len(texts))
+    while True:
+        long = [(i, k) for i in over for k, (t, n) in enumerate(parts[i]) if rooms[i] is not None and n > rooms[i] and len(t) > 1]
+        if not long:
+            return parts
+        halves = []
+        for i, k in long:
+            text = parts[i][k][0]
+            halves += [text[: len(text) // 2], text[len(text) // 2 :]]
+        sizes = count([_escaped(h) for h in halves])
+        pairs = list(zip(halves, sizes, strict=True))
+        for at in range(len(long) - 1, -1, -1):  # from the end, so that places hold
+            i, k = long[at]
+            parts[i][k : k + 1] = pairs[2 * at : 2 * at + 2]
+        over = sorted({i for i, _ in long})
+
+
 def pieces(turns: DataFrame, budget: int) -> DataFrame:
     """The turns with `pieces`: one without text, or the parts of a turn above half the budget; and the tokens of all."""
 
@@ -74,24 +97,16 @@ def pieces(turns: DataFrame, budget: int) -> DataFrame:
             roles, texts = batch.column("role").to_pylist(), batch.column("text").to_pylist()
             for role in set(roles) - around.keys():
                 around[role] = max(count([f"<{mark}{_escaped(role)}>" for mark in ("", "=", "[", "=[")])) + count(["</s>"])[0]
-                if around[role] > budget // 4:
-                    raise ValueError(f"a role takes {around[role]} of {budget} tokens")
+            rooms = [budget // 2 - around[r] if around[r] <= budget // 4 else None for r in roles]
             found = []
-            for role, text, size in zip(roles, texts, count([_escaped(t) for t in texts]), strict=True):
-                room, skip, some = budget // 2 - around[role], 0, []
-                todo = [(text, size)]
-                while todo:
-                    part, n = todo.pop()
-                    if n > room and len(part) > 1:
-                        halves = [part[len(part) // 2 :], part[: len(part) // 2]]
-                        todo += zip(halves, count([_escaped(h) for h in halves]), strict=True)
-                        continue
-                    n += around[role]
-                    some.append({"part": len(some), "text": part, "tokens": n, "skip": skip})
-                    skip += n
-                if len(some) == 1:
-                    some[0]["text"] = None
-                found.append(some)
+            for role, some in zip(roles, _cut(texts, rooms, count), strict=True):
+                skip, told = 0, []
+                for text, n in some:
+                    told.append({"part": len(told), "text": text, "tokens": n + around[role], "skip": skip})
+                    skip += n + around[role]
+                if len(told) == 1:
+                    told[0]["text"] = None
+                found.append(told)
             total = pa.array([f[-1]["skip"] + f[-1]["tokens"] for f in found], pa.int64())
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, _PIECES), total], [*batch.schema.names, "pieces", "tokens"])
 
@@ -106,16 +121,19 @@ def _conv(one: DataFrame, other: DataFrame) -> Column:
 def windows(turns: DataFrame, budget: int = BUDGET, history: int = HISTORY) -> DataFrame:
     """One row per window: conv_id, window (the token at which its new turns begin), formatted, loss (spans of code points), tokens."""
     turns = turns.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    turns = stored(pieces(turns, budget), "turns").select("*", F.floor(F.coalesce(F.col("turn"), F.lit(-1)) / BLOCK).alias("block"))
-    order = [F.col("turn").asc_nulls_first(), "role", "text"]
-    in_block = Window.partitionBy("conv_id", "block").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    turns = stored(pieces(turns, budget), "turns")
+    # Blocks are of places, whatever the turns' numbers are; a conversation of any size is spread.
+    keyed = turns.withColumns({"key": F.coalesce(F.col("conv_id").cast("string"), F.lit("")), "head": F.left("text", F.lit(32))})
+    turns = numbered(keyed, "key", ["turn", "role", "head", "text"], spread=["turn", "role", "head"]).drop("key", "head", "total")
+    turns = turns.withColumn("block", F.floor(F.col("pos") / BLOCK))
+    in_block = Window.partitionBy("conv_id", "block").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
     sized = turns.groupBy("conv_id", "block").agg(F.sum("tokens").alias("size"))
     before = Window.partitionBy("conv_id").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sized.select("conv_id", "block", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("offset"))
-    numbered = turns.select("*", F.coalesce(F.sum("tokens").over(in_block), F.lit(0)).alias("at_block"))
-    same = _conv(numbered, offsets) & (numbered["block"] == offsets["block"])
-    placed = numbered.join(offsets, same).select(
-        numbered["conv_id"], numbered["block"], "role", "text", (F.col("offset") + F.col("at_block")).alias("begin"), F.explode("pieces").alias("piece")
+    counted = turns.select("*", F.coalesce(F.sum("tokens").over(in_block), F.lit(0)).alias("at_block"))
+    same = _conv(counted, offsets) & (counted["block"] == offsets["block"])
+    placed = counted.join(offsets, same).select(
+        counted["conv_id"], counted["block"], "role", "text", (F.col("offset") + F.col("at_block")).alias("begin"), F.explode("pieces").alias("piece")
     )
     placed = placed.select(
         "conv_id", "block", "role", F.coalesce("piece.text", "text").alias("text"), "piece.part", "piece.tokens", (F.col("begin") + F.col("piece.skip")).alias("at")
@@ -138,7 +156,7 @@ def windows(turns: DataFrame, budget: int = BUDGET, history: int = HISTORY) -> D
         return F.struct(F.when(fits, done.begin).otherwise(x.at).alias("begin"), end.alias("end"), out.alias("out"))
 
     cuts = sizes.select("conv_id", "opening", F.explode(F.aggregate("sizes", state, add, closed)).alias("cut")).select("conv_id", "opening", "cut.begin", "cut.end")
-    seen = F.least(F.lit(history), F.lit(budget) - F.col("opening") - (F.col("end") - F.col("begin")))
+    seen = F.greatest(long(0), F.least(F.lit(history), F.lit(budget) - F.col("opening") - (F.col("end") - F.col("begin"))))
     cuts = cuts.select("conv_id", F.col("begin").alias("window"), F.greatest(long(0), F.col("begin") - seen).alias("since"), "end")
     reach = cuts.select("*", F.explode(F.sequence(F.floor(F.col("since") / budget), F.floor((F.col("end") - 1) / budget))).alias("near"))
     by_place = placed.select("*", F.floor(F.col("at") / budget).alias("of"))
@@ -181,7 +199,7 @@ def read_back(formatted: DataFrame) -> DataFrame:
     rows = formatted.select("*", turns.alias("turns")).select(
         "conv_id", "window", F.size(F.filter("turns", first)).cast("long").alias("n"), said.alias("said"), loss.alias("loss"), F.length("formatted").cast("long").alias("chars")
     )
-    for step in (BLOCK, None):  # many windows of a conversation meet in two steps
+    for step in (64, None):  # many windows of a conversation meet in two steps
         keys = ["conv_id"] if step is None else ["conv_id", F.floor(F.col("window") / (step * BUDGET)).alias("part")]
         joined = F.array_sort(F.collect_list(F.struct("window", "said", "loss")))
         rows = rows.groupBy(*keys).agg(joined.alias("parts"), F.sum("n").alias("n"), F.sum("chars").alias("chars"))

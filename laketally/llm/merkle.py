@@ -110,14 +110,15 @@ class Tree:
         return pa.ListArray.from_arrays(pa.array(at, pa.int32()), levels)
 
 
-def numbered(df: DataFrame, group: str, order: list[str]) -> DataFrame:
+def numbered(df: DataFrame, group: str, order: list[str], spread: list[str] | None = None) -> DataFrame:
     """Add `pos`, from 0 within the group, and `total`, the group's rows.
 
     Rows are ranged over tasks by group and order, so a group of any size is
     spread; a row's place is its place in its task plus what earlier tasks hold
-    of the group.
+    of the group. `spread` names the first columns of the order that are enough
+    to range by, where the others are long. The group is never null.
     """
-    ranged = df.repartitionByRange(group, *order).sortWithinPartitions(group, *order)
+    ranged = df.repartitionByRange(group, *(spread or order)).sortWithinPartitions(group, *order)
     ranged = stored(ranged.withColumn("row", F.monotonically_increasing_id()), "ranged")
     rows = ranged.withColumn("task", F.shiftright("row", 33))
     held = rows.groupBy("task", group).agg(F.count(F.lit(1)).alias("n"), F.min("row").alias("first"))

@@ -142,3 +142,17 @@ def test_chat_windows_keep_their_budget(spark):
         assert sum(count(head) + count(body) + count("</s>") for head, body in pieces) <= r.tokens <= chat.BUDGET
         assert any(not head.startswith("<=") for head, _ in pieces)
     assert any("<=user>" in r.formatted for r in some) and any("<[" in r.formatted for r in some)
+
+
+def test_chat_long_roles_and_equal_turn_numbers(spark):
+    """A role longer than a window, null and repeated turn numbers over several blocks: all turns come back."""
+    rows = [(1, 0, "system", "s"), (1, 1, "r" * 9000, "said"), (1, 2, "assistant", "ok"), (None, None, None, None)]
+    rows += [(2, None if i % 2 else 7, "user", f"t{i:05d}") for i in range(chat.BLOCK + 50)]
+    wins = chat.windows(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    told = {r.conv_id: r for r in chat.read_back(wins).collect()}
+    said = "".join(f"{role}\n{text}\n" for _, _, role, text in rows[:3])
+    assert told[1].n_turns == 3 and told[1].turns_sha256 == hashlib.sha256(said.encode()).hexdigest()
+    order = sorted(rows[4:], key=lambda r: (r[1] is not None, r[3]))
+    said = "".join(f"user\n{r[3]}\n" for r in order)
+    assert told[2].n_turns == chat.BLOCK + 50 and told[2].turns_sha256 == hashlib.sha256(said.encode()).hexdigest()
+    assert told[None].n_turns == 1
