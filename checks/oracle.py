@@ -270,6 +270,12 @@ ORACLE = {
     "count_parquet_files": count_tables(),
     "count_parquet_footers": count_tables(", 'success' AS status"),
     "count_orc_files": "SELECT o_orderstatus, count(*) AS row_count FROM orders GROUP BY 1",
+    "count_files_again": "SELECT o_orderstatus, count(*) AS row_count, 0 AS opened FROM orders GROUP BY 1",
+    "path_error_classes": with_(
+        "files",
+        """SELECT hdfs_path, error || ' in ? at <path>: byte <n>' AS error_class, count(*) AS files, min(coalesce(file, '')) AS example_file
+        FROM files WHERE error IS NOT NULL GROUP BY ALL""",
+    ),
     "count_text_files": f"SELECT lang, CAST(sum({TEXT_ROWS} + 1) AS BIGINT) AS row_count FROM documents GROUP BY lang",
     "count_text_files_multibyte": f"SELECT lang, CAST(sum({MARKS} + 1) AS BIGINT) AS row_count FROM documents GROUP BY lang",
     "count_text_ranges": f"SELECT lang, CAST(sum({MARKS} + 1) AS BIGINT) AS row_count, CAST(0 AS BIGINT) AS errors FROM documents GROUP BY lang",

@@ -71,6 +71,21 @@ def count_orc_files(spark, sf_dir):
     )
 
 
+@query
+def count_files_again(spark, sf_dir):
+    """A lake counted twice with a ledger: the second time no file is opened."""
+    ledger = scratch_path(spark, "ledger")
+    roots = spark.range(1).select(
+        F.lit(lakes.order_lake(spark, sf_dir)).alias("hdfs_path"), F.lit("orc").alias("format"), F.lit(None).cast("string").alias("delimiter")
+    )
+    counting.count_files(roots, ledger=ledger)
+    noted = spark.read.parquet(ledger).count()
+    again = counting.count_files(roots, ledger=ledger).filter("file IS NOT NULL")
+    opened = spark.read.parquet(ledger).count() - noted
+    rows = again.groupBy(folder("o_orderstatus").alias("o_orderstatus")).agg(F.sum("row_count").alias("row_count"))
+    return rows.withColumn("opened", F.lit(opened))
+
+
 def _text_scan(spark, sf_dir, delimiter):
     lake = lakes.text_lake(spark, sf_dir, delimiter)
     counts = sources.scan_row_counts(spark, [lake], "textfile", delimiter)
@@ -498,6 +513,14 @@ def path_errors_inline(spark, sf_dir):
     )
 
 
+@query
+def path_error_classes(spark, sf_dir):
+    """Errors that differ by file and place, as classes of a path."""
+    told = F.concat("error", F.lit(" in '"), F.coalesce("file", F.lit("?")), F.lit("' at /lake/x"), F.col("file_size"), F.lit(": byte "), F.col("file_size"))
+    found = counting.error_classes(inputs.file_counts(spark, sf_dir).withColumn("error", told))
+    return found.select("hdfs_path", "error_class", "files", F.col("example.file").alias("example_file"))
+
+
 @query
 def count_result_from_json(spark, sf_dir):
     text = F.expr(

@@ -45,14 +45,16 @@ class Run:
 EMPTY = {"total": 0, "success": 0, "partial": 0, "failed": 0}
 
 
-def audit_results(jobs: DataFrame, created_at, **count_options):
+def audit_results(jobs: DataFrame, created_at, *, by_class=False, **count_options):
     """(result rows, error rows) of the jobs; every distinct path counts once.
 
+    `by_class` is for `path_results`, anything else for `count_files`.
+
     The per-file counts are stored first: totals and errors both read them, and
     the files should be opened once.
     """
     counts = stored(count_files(jobs, **count_options), "file-counts")
-    return result_rows(jobs, path_results(counts), created_at), path_errors(counts)
+    return result_rows(jobs, path_results(counts, by_class=by_class), created_at), path_errors(counts)
 
 
 def choose_tasks(schedules, *, log=None, bounds=None, names=None, all_configured=False, **window):
@@ -94,7 +96,7 @@ def run_audit(
     together; a run that another one overtook raises `Taken` there.
 
     `by_pattern` lets names in the log fill date placeholders of configured
-    names. `count_options` go to `count_files`, anything else to `task_log_window`.
+    names. `count_options` go to `audit_results`, anything else to `task_log_window`.
     """
     if runs_path and (results_path or errors_path or state_path):
         raise ValueError("a run table takes the place of the other paths")

@@ -17,6 +17,7 @@ LISTED = T.StructType(
         T.StructField("kind", T.StringType()),
         T.StructField("file", T.StringType()),
         T.StructField("size", T.LongType()),
+        T.StructField("modified", T.LongType()),  # nanoseconds; NULL where the store does not tell
         T.StructField("error", T.StringType()),
     ]
 )
@@ -27,7 +28,7 @@ def list_files(
 ) -> DataFrame:
     """All visible files under every root, with the roots' other columns kept.
 
-    Adds `kind, file, size, error`. Each readable root gives one `root` row, so
+    Adds `kind, file, size, modified, error`. Each readable root gives one `root` row, so
     that an empty directory is not lost; each file gives a `file` row; a root
     that is missing or cannot be listed gives an `error` row. Names that start
     with `_` or `.` are skipped, files and directories alike; the name of a
@@ -53,40 +54,40 @@ def _hidden(name: str) -> bool:
 
 
 def _children(uri, opener):
-    """(kind, file, size) of a root and of what lies directly in it."""
+    """(kind, file, size, modified) of a root and of what lies directly in it."""
     from pyarrow.fs import FileType
 
     fs, path, prefix = opener(uri)
     info = fs.get_file_info(path)
     if info.type == FileType.NotFound:
         raise FileNotFoundError(MISSING_ERROR + uri)
-    yield "root", None, None
+    yield "root", None, None, None
     if info.type != FileType.File:
         yield from _entries(uri, opener)
     elif not _hidden(info.base_name):
-        yield "file", prefix + info.path, info.size
+        yield "file", prefix + info.path, info.size, info.mtime_ns
 
 
 def _entries(uri, opener):
-    """(kind, file, size) of the visible entries of a directory."""
+    """(kind, file, size, modified) of the visible entries of a directory."""
     from pyarrow.fs import FileSelector, FileType
 
     fs, path, prefix = opener(uri)
     for info in fs.get_file_info(FileSelector(path)):
         if not _hidden(info.base_name):
             kind = "dir" if info.type == FileType.Directory else "file"
-            yield kind, prefix + info.path, info.size
+            yield kind, prefix + info.path, info.size, info.mtime_ns
 
 
 def _below(uri, opener):
-    """(kind, file, size) of every file at any depth under a directory."""
+    """(kind, file, size, modified) of every file at any depth under a directory."""
     folders = [uri]
     while folders:
-        for kind, file, size in _entries(folders.pop(), opener):
-            if kind == "dir":
-                folders.append(file)
+        for entry in _entries(folders.pop(), opener):
+            if entry[0] == "dir":
+                folders.append(entry[1])
             else:
-                yield kind, file, size
+                yield entry
 
 
 def _lister(schema: pa.Schema, path_col: str, step, opener):
@@ -100,11 +101,11 @@ def _lister(schema: pa.Schema, path_col: str, step, opener):
             return
         try:
             uri = source[path_col] if kind is None else source["file"]
-            for kind, file, size in step(uri, opener):
-                yield {**source, "kind": kind, "file": file, "size": size}
+            for kind, file, size, modified in step(uri, opener):
+                yield {**source, "kind": kind, "file": file, "size": size, "modified": modified}
         except Exception as e:
             error = ACCESS_ERROR + str(e)
-            yield {**source, "kind": "error", "file": None, "size": None, "error": error}
+            yield {**source, "kind": "error", "file": None, "size": None, "modified": None, "error": error}
 
     def run(batches):
         sources = (source for batch in batches for source in batch.to_pylist())

@@ -246,3 +246,92 @@ def test_further_format(spark, tmp_path, monkeypatch):
     put(tmp_path / "t" / "f", b"aaaabbbbcccc")
     r = results(spark, (tmp_path / "t", "Fixed4", None))[str(tmp_path / "t")]
     assert (r["row_count"], r["status"]) == (3, "success")
+
+
+@pytest.mark.parametrize("tasks", [3, 7])
+def test_pieces_are_dealt_by_bytes(spark, tmp_path, monkeypatch, tasks):
+    """Sizes 1 : 10^6: no task has more than twice the mean bytes, and every byte is in one piece."""
+    monkeypatch.setattr(counting, "OPEN_BYTES", 0)
+    sizes = {put(tmp_path / "t" / f"s{i}", b"x"): 1 for i in range(60)}
+    sizes |= {put(tmp_path / "t" / f"big{i}", b"y" * (10**6 - i)): 10**6 - i for i in range(2)}
+    listed = list_files(roots_of(spark, (tmp_path / "t", "textfile", "n")), tasks=4)
+    listed = stored(listed.withColumn("row", F.monotonically_increasing_id()), "listing")
+    pieces = counting.deal_pieces(listed, tasks, split_bytes=64 * 1024).select("file", "start", "length", F.spark_partition_id().alias("task")).collect()
+    by_task, by_file = {}, {}
+    for p in pieces:
+        by_task[p.task] = by_task.get(p.task, 0) + p.length
+        if p.file:
+            by_file[p.file] = by_file.get(p.file, 0) + p.length
+    assert by_file == sizes
+    assert max(by_task.values()) <= 2 * sum(sizes.values()) / tasks and len(by_task) == tasks
+
+
+class Opened:
+    """Counts, over all tasks, which files are read; listing opens directories only."""
+
+    def __init__(self, log):
+        self.log = log
+
+    def __call__(self, uri):
+        from pyarrow.fs import LocalFileSystem
+
+        if not uri.rsplit("/", 1)[1].startswith("t"):
+            with open(self.log, "a") as f:
+                f.write(uri + "\n")
+        return LocalFileSystem(), uri, ""
+
+    def files(self):
+        import os
+
+        found = sorted(open(self.log).read().split()) if os.path.exists(self.log) else []
+        if found:
+            os.truncate(self.log, 0)
+        return [f.rsplit("/", 1)[1] for f in found]
+
+
+def test_ledger_opens_changed_files_only(spark, tmp_path):
+    t, ledger, opened = tmp_path / "t", str(tmp_path / "ledger"), Opened(str(tmp_path / "opened"))
+    for i in range(4):
+        put(t / f"f{i}.parquet", i + 1)
+    put(t / "bad.parquet", b"x")
+
+    def count():
+        return results(spark, (t, "parquet", None), opener=opened, ledger=ledger)[str(t)]
+
+    first = count()
+    assert opened.files() == ["bad.parquet", "f0.parquet", "f1.parquet", "f2.parquet", "f3.parquet"]
+    second = count()
+    assert opened.files() == ["bad.parquet"]  # what could not be read is tried again
+    drop = ("duration_ms",)
+    assert {k: v for k, v in first.asDict().items() if k not in drop} == {k: v for k, v in second.asDict().items() if k not in drop}
+    put(t / "f1.parquet", 50)
+    (t / "f2.parquet").unlink()
+    put(t / "f9.parquet", 7)
+    put(t / "bad.parquet", 2)
+    third = count()
+    assert opened.files() == ["bad.parquet", "f1.parquet", "f9.parquet"]
+    assert (third["row_count"], third["file_count"], third["status"]) == (1 + 50 + 4 + 7 + 2, 5, "success")
+    # The same files as text are another count.
+    put(tmp_path / "u" / "f", b"a|b\nc")
+    rows = [results(spark, (tmp_path / "u", "textfile", d), ledger=ledger)[str(tmp_path / "u")]["row_count"] for d in ("|", "\n", "|")]
+    assert rows == [2, 2, 2]
+
+
+def test_error_classes(spark):
+    texts = [
+        ("f1", "Could not open '/a/b c/f1' at 17: bad magic 0xAF"), ("f2", 'Could not open "/x/f2" at 9: bad magic 0x1'),
+        ("f3", "denied: hdfs://h:8020/a/f3, block 7"), ("f4", "denied: /a/f4, block 12"), ("f5", "denied: /a/f5"), ("f6", None),
+    ]
+    rows = [("/p", "orc", "n", f, 0, 1, e, 0) for f, e in texts] + [("/q", "orc", "n", None, 0, None, "gone", 0)]
+    counts = spark.createDataFrame(rows, "hdfs_path string, format string, delimiter string, file string, row_count long, file_size long, error string, duration_ms long")
+    classes = {(r.hdfs_path, r.error_class): (r.files, r.example.file, r.class_id) for r in counting.error_classes(counts).collect()}
+    assert {k: v[:2] for k, v in classes.items()} == {
+        ("/p", "Could not open ? at <n>: bad magic <n>"): (2, "f1"), ("/p", "denied: <path>, block <n>"): (2, "f3"),
+        ("/p", "denied: <path>"): (1, "f5"), ("/q", "gone"): (1, ""),
+    }
+    linked = counting.classed_errors(counts).collect()
+    assert len(linked) == counting.path_errors(counts).count() == sum(v[0] for v in classes.values())
+    assert {r.class_id for r in linked} == {v[2] for v in classes.values()}
+    told = {r.hdfs_path: [tuple(e) for e in r.errors] for r in counting.path_results(counts, by_class=True).collect()}
+    assert told["/p"][0] == ("f1", "Could not open '/a/b c/f1' at 17: bad magic 0xAF (and 1 more like it)")
+    assert len(told["/p"]) == 3 and told["/q"] == [("", "gone")]
