@@ -37,8 +37,8 @@ TIERS = (1024, 512, 256, 128)
 #: Tokens packed together, and tokens of a step group.
 PACK_TOKENS = 1 << 21
 STEP_TOKENS = 64 * 1024
-#: Distinct pieces of text whose ids a worker keeps, twice over.
-CACHE = 300_000
+#: Distinct pieces of text whose ids a worker keeps, before it starts anew.
+CACHE = 600_000
 TOKENIZER = "byte_bpe_50k.json"
 
 #: A blank between two other characters always begins a new pre-token.
@@ -67,29 +67,31 @@ class Encoder:
 
     def __init__(self, name: str):
         self.tokenizer = tokenizer(name)
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.first: dict[str, bytes] = {}  # the piece a text begins with
+        self.known: dict[str, bytes] = {}  # any other, by what follows its blank
 
     def encode(self, texts: list[str]) -> list[bytes]:
         cut = []
         for text in texts:
             plain = not NEXT_TO_SPACE.search(text) and text[:1] != " " and text[-1:] != " "
-            parts = text.split(" ") if plain else SINGLE.split(text)
-            cut.append([parts[0], *[" " + part for part in islice(parts, 1, None)]])
-        if len(self.known) > CACHE:
-            self.known, self.older = {}, self.known
-        todo = []
-        for part in set().union(*cut) - self.known.keys():
-            if (found := self.older.get(part)) is None:
-                todo.append(part)
-            else:
-                self.known[part] = found
+            cut.append(text.split(" ") if plain else SINGLE.split(text))
+        self._learn(self.first, {parts[0] for parts in cut}, "")
+        self._learn(self.known, set().union(*[islice(parts, 1, None) for parts in cut]), " ")
+        first, known = self.first, self.known.__getitem__
+        found = [first[parts[0]] + b"".join(map(known, islice(parts, 1, None))) for parts in cut]
+        for kept in (self.first, self.known):
+            if len(kept) > CACHE:
+                kept.clear()
+        return found
+
+    def _learn(self, kept: dict[str, bytes], pieces: set[str], before: str) -> None:
+        todo = [piece for piece in pieces if piece not in kept]
         for begin in range(0, len(todo), 10_000):
             some = todo[begin : begin + 10_000]
-            for part, found in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
+            written = [before + piece for piece in some] if before else some
+            for piece, found in zip(some, self.tokenizer.encode_batch_fast(written, add_special_tokens=False), strict=True):
                 ids = found.ids
-                self.known[part] = pack_ids(f"<{len(ids)}I", *ids)
-        return [b"".join(map(self.known.__getitem__, parts)) for parts in cut]
+                kept[piece] = pack_ids(f"<{len(ids)}I", *ids)
 
 
 def encoder(name: str) -> Encoder:
@@ -220,10 +222,15 @@ def pack(docs: DataFrame, tokenizer_name: str = TOKENIZER, end_id: int = 0, tier
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
+#: What the query returns first, in this order.
+COLUMNS = ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
 def query(spark, sf_dir: str) -> DataFrame:
     """op3: the pieces of all documents."""
     pieces = pack(spark.read.parquet(f"{sf_dir}/documents.parquet"))
-    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    more = [c for c in pieces.columns if c not in (*COLUMNS, "ids")]
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).select(*COLUMNS, *more)
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
