@@ -249,25 +249,28 @@ def joined(docs: DataFrame, k: int, part: int, whole: int) -> DataFrame:
 
 
 def _with_sets(docs: DataFrame, k: int) -> DataFrame:
-    """All rows and columns, and `_set`: the set_id of the text."""
+    """(row, set): every row with all its columns as one, and the set_id of its text."""
+    names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in T.slices(batch):
-                names = pa.array([_named(s) if len(s) else None for s in _sets(part.column("text"), k)], pa.binary())
-                yield pa.RecordBatch.from_arrays([*part.columns, names], [*part.schema.names, "_set"])
+                found = pa.array([_named(s) if len(s) else None for s in _sets(part.column("text"), k)], pa.binary())
+                row = pa.StructArray.from_arrays(part.columns, names)
+                yield pa.RecordBatch.from_arrays([row, found], ["row", "set"])
 
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("_set", BinaryType())]))
+    return docs.mapInArrow(run, StructType([StructField("row", docs.schema), StructField("set", BinaryType())]))
 
 
 def one_of_each(docs: DataFrame, k: int, part: int, whole: int) -> DataFrame:
     """Of each component the row with the smallest doc_id, then the smallest set; rows without shingles or without a doc_id; repeated rows once."""
     found = rooted_rows(docs, k, part, whole).where("doc_id IS NOT NULL AND set_id IS NOT NULL")
-    keep = found.groupBy("root").agg(F.min(F.struct("doc_id", "set_id")).alias("least")).select("least.doc_id", F.col("least.set_id").alias("_set"))
+    keep = found.groupBy("root").agg(F.min(F.struct("doc_id", "set_id")).alias("least")).select("least.doc_id", F.col("least.set_id").alias("set"))
     rows = _with_sets(docs.where("doc_id IS NOT NULL"), k)
-    kept = rows.join(keep, ["doc_id", "_set"], "left_semi").unionByName(rows.where("_set IS NULL"))
-    same = Window.partitionBy("doc_id", "_set", F.when(F.col("_set").isNull(), F.col("text"))).orderBy("text")
-    kept = kept.withColumn("_row", F.row_number().over(same)).where("_row = 1").select(docs.columns)
+    chosen = (rows["row.doc_id"] == keep["doc_id"]) & (rows["set"] == keep["set"])
+    kept = rows.join(keep, chosen, "left_semi").unionByName(rows.where("set IS NULL"))
+    same = Window.partitionBy("row.doc_id", "set", F.when(F.col("set").isNull(), F.col("row.text"))).orderBy("row.text")
+    kept = kept.withColumn("at", F.row_number().over(same)).where("at = 1").select("row.*")
     return kept.unionByName(docs.where("doc_id IS NULL")).select(docs.columns)
 
 
