@@ -10,6 +10,8 @@ from laketally.operators.counting import PATH_KEYS
 from laketally.schemas import AUDIT_RESULT, COUNT_RESULT
 
 PARTITIONS = ["period_type", "data_month"]
+#: What the history is looked up by besides its date.
+LOOKUPS = ["task_name", "batch_no", "table_name", "partner_id", "interface_id", "platform_id"]
 
 
 def count_result_from_json(text) -> Column:
@@ -98,13 +100,18 @@ def append_results(rows: DataFrame, path: str, *, more=()) -> None:
     Errors and the mark are appended by calls of their own; `plans.runs` makes
     them visible together. `more` names columns kept besides a result's own.
     The history is partitioned by period and month. The rebalance hint gathers
-    a partition's rows into few files and lets Spark split an overfull one.
+    a partition's rows into few files and lets Spark split an overfull one. A
+    file is sorted by task and batch and has Bloom filters on what lookups
+    without a date ask for, so they read only the row groups that may hold it.
     """
     columns = [f.name for f in AUDIT_RESULT.fields]
+    bloom = {f"parquet.bloom.filter.enabled#{c}": "true" for c in LOOKUPS}
     (
         rows.select(*columns, *more)
         .hint("rebalance", *PARTITIONS)
+        .sortWithinPartitions(*PARTITIONS, "task_name", "batch_no")
         .write.mode("append")
+        .options(**bloom, **{"parquet.bloom.filter.adaptive.enabled": "true"})
         .partitionBy(*PARTITIONS)
         .parquet(path)
     )
@@ -154,12 +161,17 @@ def append_jdbc(rows: DataFrame, url: str, table: str, **options) -> None:
     writer.options(url=url, dbtable=table, **options).save()
 
 
-def run_summary(rows: DataFrame, by=()) -> DataFrame:
+def summary_counts() -> list[Column]:
     """total, success, partial, failed; any other status counts as failed."""
     good = F.coalesce(F.col("status").isin("success", "partial"), F.lit(False))
-    return rows.groupBy(*by).agg(
+    return [
         F.count(F.lit(1)).alias("total"),
         F.count_if(F.col("status") == "success").alias("success"),
         F.count_if(F.col("status") == "partial").alias("partial"),
         F.count_if(~good).alias("failed"),
-    )
+    ]
+
+
+def run_summary(rows: DataFrame, by=()) -> DataFrame:
+    """The `summary_counts` of results, of all or by some columns."""
+    return rows.groupBy(*by).agg(*summary_counts())

@@ -3,13 +3,13 @@
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from laketally.functions.dates import as_timestamp, resolve_named_date
 from laketally.operators.counting import count_files, path_errors, path_results
 from laketally.operators.jobs import audit_jobs, preview
-from laketally.operators.results import append_errors, append_results, errors_beside, result_rows, run_summary
+from laketally.operators.results import append_errors, append_results, errors_beside, result_rows, summary_counts
 from laketally.operators.tasks import completed_tasks, explicit_tasks, tasks_from_names
 from laketally.plans.incremental import (
     WindowSettings,
@@ -130,26 +130,29 @@ def run_audit(
         all_configured=all_configured,
         **({"data_date": data_date, **window} if from_log else {}),
     )
-    # The log may grow while the run lasts; its jobs must not.
-    done = stored(done, "tasks")
-    fetched = done.count()
+    # The log may grow while the run lasts; its jobs must not. What the run tells
+    # is counted while its tables are written.
+    tasks_seen, jobs_seen, rows_seen = Observation(), Observation(), Observation()
+    n = F.count(F.lit(1)).alias("n")
+    done = stored(done, "tasks", tasks_seen, n)
+    fetched = tasks_seen.get["n"]
     jobs = audit_jobs(schedules, done, now, explicit_date=data_date, by_pattern=by_pattern)
     if dry_run:
         summary = {**EMPTY, "total": jobs.count()}
         return Run(done, jobs, preview(jobs), None, summary, bounds, fetched)
 
-    jobs = stored(jobs, "jobs")
+    jobs = stored(jobs, "jobs", jobs_seen, n)
     rows = errors = None
     summary = dict(EMPTY)
-    if not jobs.isEmpty():
+    if jobs_seen.get["n"]:
         rows, errors = audit_results(jobs, now, **(count_options or {}))
-        rows = stored(rows, "results")
+        rows = stored(rows, "results", rows_seen, *summary_counts())
         if table:
             table.append(rows, errors, now)
         else:
             append_results(rows, results_path)
             append_errors(errors, errors_path or errors_beside(results_path), now)
-        summary = run_summary(rows).first().asDict()
+        summary = rows_seen.get
 
     flags = spark.range(1).select(
         advances(

@@ -28,12 +28,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, *observed) -> DataFrame:
     """The same rows, read from a table written now.
 
     Cuts the lineage, is computed once however often it is read, and is still
-    there when executors are lost.
+    there when executors are lost. `observed` is an Observation and aggregates
+    that it takes from the rows while they are written.
     """
+    if observed:
+        df = df.observe(*observed)
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

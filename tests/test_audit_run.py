@@ -193,3 +193,14 @@ def test_run_date_is_of_the_session_zone(spark, run, tmp_path, shanghai):
     assert r.window == (dt.datetime(2026, 3, 9, 4), dt.datetime(2026, 3, 10, 4))
     assert [x["row_count"] for x in r.details.collect()] == [4]
     assert mark(spark, tmp_path) == dt.datetime(2026, 3, 10, 4)
+
+
+def test_summary_is_counted_while_writing(spark, run, tmp_path, config):
+    """The numbers of a run equal those of its tables, with a failed day, without any job, and over jobs of one run."""
+    write(tmp_path / "lake" / "ymd=20260308", 5)
+    r = run(log(spark, "20260308", "20260309", "20260307"))
+    assert r.fetched == r.tasks.count() == 3
+    assert r.summary == results.run_summary(r.details).first().asDict()
+    assert r.summary["total"] == r.jobs.count() == 3
+    none = run(log(spark, "20260308", task="other"))
+    assert none.fetched == 1 and none.summary == {"total": 0, "success": 0, "partial": 0, "failed": 0}
