@@ -548,7 +548,7 @@ def count_result_from_json(spark, sf_dir):
 @query
 def audit_result_rows(spark, sf_dir):
     """Jobs joined with one count per path; here a path's count is its jobs."""
-    planned = _jobs(spark, sf_dir)
+    planned = stored(_jobs(spark, sf_dir), "jobs")
     keyed = planned.withColumn("delimiter", lf.normalise_delimiter("delimiter"))
     n = F.length("hdfs_path") % 3
     counts = keyed.groupBy(*counting.PATH_KEYS).agg(F.count(F.lit(1)).alias("row_count")).select(
