@@ -70,4 +70,4 @@ def test_listing_is_spread_twice(spark):
     text = plan(sources.list_files(roots, tasks=5))
     assert text.count("RoundRobinPartitioning(5)") == 2 and text.count("MapInArrow") == 2
     text = plan(counting.count_files(roots, tasks=5))
-    assert "ShufflePartitionIdPassThrough" in text and text.count("MapInArrow") == 1
+    assert "shufflepartitionidpassthrough" in text and text.count("MapInArrow") == 1
