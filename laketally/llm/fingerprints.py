@@ -65,7 +65,9 @@ def _least(numbered: Column) -> Column:
 def sketched(docs: DataFrame, text: str, into: str) -> DataFrame:
     """The rows with a column `into`: an array of one hash a bin, null for an empty bin."""
     n = F.length(text)
-    kmers = F.when(n >= K, F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{K}}}))"), F.lit(1))).when(n > 0, F.array(text))
+    # Matching goes by UTF-16 units: none begins within a code point of two.
+    each = F.lit(f"(?s)(?![\\x{{DC00}}-\\x{{DFFF}}])(?=(.{{{K}}}))")
+    kmers = F.when(n >= K, F.regexp_extract_all(text, each, F.lit(1))).when(n > 0, F.array(text))
     hashes = F.coalesce(F.transform(kmers, lambda k: F.xxhash64(k)), F.array().cast("array<bigint>"))
 
     def least(numbered: Column) -> Column:

@@ -78,6 +78,7 @@ def test_bins_match_plain_python(spark, monkeypatch, few):
     monkeypatch.setattr(fingerprints, "FEW", few)
     rng = random.Random(9)
     texts = ["", "é", "abcdefgh", "ab" * 900, "a" * 3000, "".join(rng.choices("abé漢\n", k=5000)), "one passage again. " * 70 + "x"]
+    texts += ["\U0001f600abcdefghij", "".join(rng.choices("ab\U0001f600\U00010400漢", k=800))]  # code points of two UTF-16 units
     docs = spark.createDataFrame([*enumerate(texts)], "i int, text string")
     for r in fingerprints.sketched(docs, "text", "bins").collect():
         expected = plain_bins(spark, texts[r.i])
