@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from laketally.llm import text as T
+from laketally.llm.jaccard import SHINGLES
 
 K = 5
 LEAST = 0.8
@@ -170,3 +171,12 @@ def query(spark, sf_dir: str) -> DataFrame:
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that contain no benchmark item."""
     return clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+SQL = f"""
+WITH doc_sets AS ({SHINGLES.format(k=K, id="doc_id", table="documents")}),
+item_sets AS ({SHINGLES.format(k=K, id="item_id", table="benchmark")}),
+sizes AS (SELECT id, count(*) AS n FROM item_sets GROUP BY id)
+SELECT d.id AS doc_id, i.id AS item_id, count(*) AS shared, count(*) / any_value(sizes.n) AS containment
+FROM item_sets i JOIN doc_sets d ON d.s = i.s JOIN sizes ON sizes.id = i.id
+GROUP BY d.id, i.id HAVING count(*) >= {LEAST} * any_value(sizes.n) - 1e-9"""

@@ -282,3 +282,20 @@ def query(spark, sf_dir: str) -> DataFrame:
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: five words, eight of ten."""
     return one_of_each(docs, 5, 8, 10)
+
+
+#: Distinct shingles of `k` words of a column `text`, one of all words where there are fewer; `{0}` is the table with its id.
+SHINGLES = """SELECT id, unnest(list_distinct(CASE WHEN len(w) >= {k}
+        THEN list_transform(range(1, len(w) - {k} + 2), lambda i: array_to_string(w[i:i + {k} - 1], ' '))
+        WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END)) AS s
+    FROM (SELECT {id} AS id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\\x20\\x09-\\x0D]+') AS w FROM {table}) q"""
+
+SQL = f"""
+WITH RECURSIVE sets AS ({SHINGLES.format(k=4, id="doc_id", table="documents")}),
+sizes AS (SELECT id, count(*) AS n FROM sets GROUP BY id),
+shared AS (SELECT x.id AS a, y.id AS b, count(*) AS common FROM sets x JOIN sets y ON x.s = y.s AND x.id <> y.id GROUP BY ALL),
+links AS (SELECT a, b FROM shared JOIN sizes m ON m.id = a JOIN sizes n ON n.id = b WHERE 100 * common >= 85 * (m.n + n.n - common)),
+reach AS (SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, r.least) AS component_id
+FROM documents LEFT JOIN sizes ON sizes.id = doc_id LEFT JOIN (SELECT a, min(b) AS least FROM reach GROUP BY a) r ON r.a = doc_id"""

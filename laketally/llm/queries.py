@@ -23,6 +23,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE: dict[str, str] = {
+    "op5_jaccard": jaccard.SQL,
+    "op10_decontamination": decontamination.SQL,
     "op12_negatives": negatives.SQL,
     "op13_merkle": merkle.SQL,
 }
