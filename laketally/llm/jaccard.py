@@ -33,12 +33,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
 from laketally.llm import text as T
-from laketally.plans.scratch import stored
+from laketally.plans.scratch import discard, stored
 
 LONGEST = 4
 STARS = 3
 SKETCH_BITS = 20
 SKETCH_PARTS = 64
+MAP_BITS = 256
+MAP = [f"map{i}" for i in range(MAP_BITS // 64)]
 #: A class of more than one in HOT documents is joined by broadcast: there are fewer than HOT of them.
 HOT = 1000
 
@@ -111,10 +113,17 @@ def _prefix(found: np.ndarray, counts: np.ndarray, part: int, whole: int) -> tup
     return found[order], own
 
 
+def _map(found: np.ndarray) -> np.ndarray:
+    """The parity map as MAP_BITS / 64 numbers."""
+    odd = np.bincount((found & np.uint64(MAP_BITS - 1)).astype(np.int64), minlength=MAP_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def prefixed(docs: DataFrame, counts: np.ndarray, k: int, part: int, whole: int) -> DataFrame:
-    """(doc_id, set_id, n, prefix, own) of every document with shingles."""
+    """(doc_id, set_id, n, prefix, own, the parity map) of every document with shingles."""
     shared = docs.sparkSession.sparkContext.broadcast(counts)  # the sketch: a fixed size
-    kinds = [pa.binary(), pa.int64(), pa.list_(pa.int64()), pa.int64()]
+    names = ["doc_id", "set_id", "n", "prefix", "own", *MAP]
+    kinds = [pa.binary(), pa.int64(), pa.list_(pa.int64()), pa.int64(), *[pa.int64()] * len(MAP)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -123,15 +132,16 @@ def prefixed(docs: DataFrame, counts: np.ndarray, k: int, part: int, whole: int)
                 for d, found in enumerate(_sets(piece.column("text"), k)):
                     if len(found):
                         first, own = _prefix(found, shared.value, part, whole)
-                        rows.append((_named(found), len(found), first.view(np.int64), own))
+                        rows.append((_named(found), len(found), first.view(np.int64), own, *_map(found).tolist()))
                         where.append(d)
                 if rows:
                     columns = [pa.array(list(c), t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)]
                     ids = piece.column("doc_id").take(pa.array(where, pa.int64()))
-                    yield pa.RecordBatch.from_arrays([ids, *columns], ["doc_id", "set_id", "n", "prefix", "own"])
+                    yield pa.RecordBatch.from_arrays([ids, *columns], names)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, set_id binary, n long, prefix array<long>, own long")
+    maps = "".join(f", {m} long" for m in MAP)
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, set_id binary, n long, prefix array<long>, own long{maps}")
 
 
 def whole_sets(docs: DataFrame, k: int) -> DataFrame:
@@ -165,7 +175,9 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, k: int, part
     other = sets.select(F.col("set_id").alias("b"), F.col("items").alias("items_b"))
     shared = F.size(F.array_intersect("items_a", "items_b"))
     linked = shared * whole >= (F.size("items_a") + F.size("items_b") - shared) * part
-    return stored(pairs.join(other, "b").join(one, "a").where(linked).select("a", "b").distinct(), "links")
+    found = stored(pairs.join(other, "b").join(one, "a").where(linked).select("a", "b").distinct(), "links")
+    discard(pairs, firsts)
+    return found
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -179,7 +191,9 @@ def components(edges: DataFrame) -> DataFrame:
         large = stored(large, "large")  # every edge has its larger end first
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
+        used = edges
         edges = stored(small.unionByName(least.select("a", F.col("m").alias("b"))).distinct(), "edges")
+        discard(used, large)
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first()
         if now == before:
             return edges.select(F.col("a").alias("set_id"), F.col("b").alias("root")).unionByName(
@@ -198,29 +212,36 @@ def _rooted(entries: DataFrame, links: DataFrame) -> DataFrame:
 
 def links(docs: DataFrame, classes: DataFrame, prefixes: DataFrame, k: int, part: int, whole: int) -> DataFrame:
     """Links (a, b) that connect all linked sets; `prefixes` are as of `prefixed`."""
-    exploded = prefixes.select("set_id", "n", "own", F.posexplode("prefix").alias("at", "shingle"))
+    exploded = prefixes.select("set_id", "n", "own", *MAP, F.posexplode("prefix").alias("at", "shingle"))
     unneeded = F.col("n") - F.ceil(F.col("n") * part / whole)
-    entries = exploded.select("set_id", "n", "own", "shingle", F.greatest(F.lit(1), F.col("at") - unneeded + 1).alias("level"))
+    entries = exploded.select("set_id", "n", "own", *MAP, "shingle", F.greatest(F.lit(1), F.col("at") - unneeded + 1).alias("level"))
     name = F.xxhash64("set_id")
     lists = entries.groupBy("shingle").agg(F.min(name).alias("low"), F.max(name).alias("high")).where("low <> high")
     lists = stored(lists.select("shingle"), "lists")
     entries = stored(entries.join(lists, "shingle").withColumn("root", F.col("set_id")), "entries")
-    alike = F.least("n", "n_b") * whole >= F.greatest("n", "n_b") * part
+    differ = sum((F.bit_count(F.col(m).bitwiseXOR(F.col(f"{m}_b"))) for m in MAP), F.lit(0))
+    alike = (F.least("n", "n_b") * whole >= F.greatest("n", "n_b") * part) & (differ * (whole + part) <= (F.col("n") + F.col("n_b")) * (whole - part))
+    maps_b = [F.col(m).alias(f"{m}_b") for m in MAP]
     found = None
     for star in range(STARS):
         firsts = entries.where("level = 1")
-        rank = F.struct(F.xxhash64("set_id", F.lit(star)), "set_id", "root", "n")
+        rank = F.struct(F.xxhash64("set_id", F.lit(star)), "set_id", "root", "n", *MAP)
         centre = firsts.groupBy("shingle").agg(F.min(rank).alias("c"))
-        centre = centre.select("shingle", F.col("c.set_id").alias("a"), F.col("c.root").alias("root_a"), F.col("c.n").alias("n_b"))
+        centre = centre.select("shingle", "c.*").select("shingle", F.col("set_id").alias("a"), F.col("root").alias("root_a"), F.col("n").alias("n_b"), *maps_b)
         pairs = firsts.join(centre, "shingle").where("root <> root_a").where(alike).select("a", F.col("set_id").alias("b")).distinct()
         new = verified(pairs, docs, classes, k, part, whole)
         found = new if found is None else found.unionByName(new)
+        used = entries
         entries = _rooted(entries.drop("root"), found)
+        discard(used)
+    discard(lists)
     names = {"set_id": "b", "n": "n_b", "root": "root_b", "level": "level_b"}
-    index = entries.select("shingle", *(F.col(old).alias(new) for old, new in names.items()))
+    index = entries.select("shingle", *(F.col(old).alias(new) for old, new in names.items()), *maps_b)
     met = entries.where("level <= own").join(index, "shingle").where("level_b <= own AND set_id > b AND root <> root_b").where(alike)
     pairs = met.groupBy(F.col("set_id").alias("a"), "b").agg(F.count("*").alias("met"), F.first("own").alias("own")).where("met >= own")
-    return found.unionByName(verified(pairs.select("a", "b"), docs, classes, k, part, whole))
+    last = verified(pairs.select("a", "b"), docs, classes, k, part, whole)
+    discard(entries)
+    return found.unionByName(last)
 
 
 def rooted_rows(docs: DataFrame, k: int, part: int, whole: int) -> DataFrame:
