@@ -7,8 +7,8 @@ tuple. Two fingerprints are as alike as the share of equal tuples among the bins
 that either fills. So not only which k-mers two texts share counts, but also
 their order, as in edit distance.
 
-All k-mers of a text take part, whatever its length: they are sorted by hash and
-place, and numbered within each run of equal hashes.
+All k-mers of a text take part, whatever its length. Those whose hash occurs again
+are numbered; the first half of an edited text takes over its document's k-mers.
 
 The edited text of a document takes its end from the next document. Neighbours
 come from the ids alone: a running order within ranges of ids, and one row a
@@ -40,51 +40,126 @@ def _let(value: Column, of: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), of)[0]
 
 
-def _numbered(hashes: Column) -> Column:
-    """(g, i) of every k-mer in any order: the hash of k-mer and occurrence, and its place."""
+def _places(length: Column) -> Column:
+    """0 .. length - 1."""
+    return F.when(length > 0, F.sequence(F.lit(0), length - 1)).otherwise(F.array().cast("array<int>"))
 
-    def runs(s: Column) -> Column:
-        begins = F.filter(F.transform(s, lambda x, p: F.when((p == 0) | (F.get(s, p - 1).h != x.h), p)), lambda p: p.isNotNull())
 
-        def run(begins: Column, p: Column, r: Column) -> Column:
-            end = F.coalesce(F.get(begins, r + 1), F.size(s))
-            one = lambda q: F.struct(F.xxhash64(F.get(s, q).h, q - p).alias("g"), F.get(s, q).i.alias("i"))
-            return F.when(end == p + 1, F.array(one(p))).otherwise(F.transform(F.sequence(p, end - 1), one))
+def _kmers(text: Column) -> Column:
+    """The hash of every k-mer, by place; none where the text is shorter than k."""
+    # Matching goes by UTF-16 units: none begins within a code point of two.
+    each = F.lit(f"(?s)(?![\\x{{DC00}}-\\x{{DFFF}}])(?=(.{{{K}}}))")
+    return F.transform(F.regexp_extract_all(text, each, F.lit(1)), lambda k: F.xxhash64(k))
 
-        return _let(begins, lambda b: F.flatten(F.transform(b, lambda p, r: run(b, p, r))))
 
-    return _let(F.sort_array(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i")))), runs)
+def _whole(text: Column) -> Column:
+    """The hashes of a text shorter than k: itself, or none."""
+    return F.when(F.length(text) > 0, F.array(F.xxhash64(text))).otherwise(F.array().cast("array<bigint>"))
 
 
-def _least(numbered: Column) -> Column:
-    """(b, g, i) of the TUPLE least of every bin, by bin."""
-    binned = F.sort_array(F.transform(numbered, lambda x: F.struct(F.pmod(x.g, F.lit(BINS)).alias("b"), x.g.alias("g"), x.i.alias("i"))))
-    return _let(binned, lambda s: F.filter(s, lambda x, p: (p < TUPLE) | (F.get(s, p - TUPLE).b != x.b)))
+def hashed(docs: DataFrame, text: str, into: str) -> DataFrame:
+    """The rows with a column `into`: the hashes of the text's k-mers, by place."""
+    return docs.withColumn(into, F.when(F.length(text) >= K, _kmers(F.col(text))).otherwise(_whole(F.col(text))))
 
 
-def sketched(docs: DataFrame, text: str, into: str) -> DataFrame:
-    """The rows with a column `into`: an array of one hash a bin, null for an empty bin."""
-    n = F.length(text)
-    # Matching goes by UTF-16 units: none begins within a code point of two.
-    each = F.lit(f"(?s)(?![\\x{{DC00}}-\\x{{DFFF}}])(?=(.{{{K}}}))")
-    kmers = F.when(n >= K, F.regexp_extract_all(text, each, F.lit(1))).when(n > 0, F.array(text))
-    hashes = F.coalesce(F.transform(kmers, lambda k: F.xxhash64(k)), F.array().cast("array<bigint>"))
+def hashed_edit(docs: DataFrame, text: str, hashes: str, edit: str, into: str) -> DataFrame:
+    """The rows with the hashes of the edited text's k-mers; those that lie in what is left of the text are taken over."""
+    kept = F.length(text) - F.floor(F.length(text) / 2).cast("int")
+    own = F.greatest(kept - K + 1, F.lit(0))
+    rest = _kmers(F.substring(F.col(edit), own + 1, F.length(edit)))
+    return docs.withColumn(into, F.when(F.length(edit) >= K, F.concat(F.slice(hashes, F.lit(1), own), rest)).otherwise(_whole(F.col(edit))))
+
+
+def _later(repeats: Column) -> Column:
+    """(g, h, q) of every occurrence but the first, q from 1; `repeats` has each one's hash, sorted."""
+
+    def run(s: Column, begins: Column, p: Column, r: Column) -> Column:
+        end = F.coalesce(F.get(begins, r + 1), F.size(s))
+        h = F.get(s, p)
+        return F.transform(F.sequence(F.lit(1), end - p), lambda q: F.struct(F.xxhash64(h, q).alias("g"), h.alias("h"), q.alias("q")))
+
+    begins = F.filter(_places(F.size(repeats)), lambda p: (p == 0) | (F.get(repeats, p) != F.get(repeats, p - 1)))
+    return _let(begins, lambda b: F.flatten(F.transform(b, lambda p, r: run(repeats, b, p, r))))
+
+
+def _candidates(hashes: Column, repeats: Column, most: Column) -> Column:
+    """(b, g, h, q, i) of the numbered k-mers of hash g up to `most`, sorted; the place i is that of first occurrences (q = 0) alone."""
+    bin_of = lambda g: F.pmod(g, F.lit(BINS)).alias("b")
+    at = F.filter(_places(F.size(hashes)), lambda i: F.xxhash64(F.get(hashes, i), F.lit(0)) <= most)
+
+    def first(i: Column) -> Column:
+        h = F.get(hashes, i)
+        g = F.xxhash64(h, F.lit(0))
+        return F.struct(bin_of(g), g.alias("g"), h.alias("h"), F.lit(0).alias("q"), i.alias("i"))
+
+    firsts = _let(F.sort_array(F.transform(at, first)), lambda s: F.filter(s, lambda x, p: (p == 0) | (F.get(s, p - 1).h != x.h)))
+    later = F.filter(_later(repeats), lambda x: x.g <= most)
+    later = F.transform(later, lambda x: F.struct(bin_of(x.g), x.g.alias("g"), x.h.alias("h"), x.q.alias("q"), F.lit(None).cast("int").alias("i")))
+    return F.sort_array(F.concat(firsts, later))
+
+
+def _least(candidates: Column) -> Column:
+    """The TUPLE least of every bin, by bin."""
+    return _let(candidates, lambda s: F.filter(s, lambda x, p: (p < TUPLE) | (F.get(s, p - TUPLE).b != x.b)))
 
-    def least(numbered: Column) -> Column:
-        # The least of a bin are among the least of all: if FEW of these give every bin its TUPLE, they are the same.
-        most = F.when(F.size(numbered) > FEW, ((FEW / F.size(numbered) - 0.5) * 2.0**64).cast("bigint")).otherwise(F.lit(2**63 - 1))
-        few = _least(_let(most, lambda m: F.filter(numbered, lambda x: x.g <= m)))
-        return _let(few, lambda f: F.when((F.size(f) == BINS * TUPLE) | (F.size(numbered) <= FEW), f).otherwise(_least(numbered)))
 
-    def bins(taken: Column) -> Column:
-        def in_bin(j: Column) -> Column:
-            some = F.filter(taken, lambda x: x.b == j)
-            ordered = F.array_sort(F.transform(some, lambda x: F.struct(x.i.alias("i"), x.g.alias("g"))))
-            return F.when(F.size(some) > 0, F.xxhash64(F.transform(ordered, lambda x: x.g)))
+def _chosen(hashes: Column, repeats: Column) -> Column:
+    # The least of a bin are among the least of all: if FEW of these give every bin its TUPLE, they are the same.
+    n = F.size(hashes)
+    every = F.lit(2**63 - 1)
+    few = F.when(n > FEW, ((FEW / n - 0.5) * 2.0**64).cast("bigint")).otherwise(every)
+    taken = _let(few, lambda m: _least(_candidates(hashes, repeats, m)))
+    return _let(taken, lambda t: F.when((F.size(t) == BINS * TUPLE) | (n <= FEW), t).otherwise(_least(_candidates(hashes, repeats, every))))
 
-        return F.transform(F.sequence(F.lit(0), F.lit(BINS - 1)), in_bin)
 
-    return docs.withColumn(into, _let(_let(_numbered(hashes), least), bins))
+def _placed(hashes: Column, taken: Column) -> Column:
+    """(b, g, i) of what was taken, later occurrences with their place as well."""
+    wanted = F.array_distinct(F.transform(F.filter(taken, lambda x: x.q > 0), lambda x: x.h))
+
+    def occurrences(w: Column) -> Column:
+        at = F.filter(_places(F.size(hashes)), lambda i: F.array_contains(w, F.get(hashes, i)))
+        found = F.sort_array(F.transform(at, lambda i: F.struct(F.get(hashes, i).alias("h"), i.alias("i"))))
+        return F.when(F.size(w) > 0, found).otherwise(F.array().cast("array<struct<h:bigint,i:int>>"))
+
+    def place(x: Column, found: Column, names: Column) -> Column:
+        return F.coalesce(x.i, F.get(found, F.array_position(names, x.h).cast("int") - 1 + x.q).i)
+
+    def all_places(found: Column) -> Column:
+        names = F.transform(found, lambda o: o.h)
+        return _let(names, lambda ns: F.transform(taken, lambda x: F.struct(x.b.alias("b"), x.g.alias("g"), place(x, found, ns).alias("i"))))
+
+    return _let(_let(wanted, occurrences), all_places)
+
+
+def _bins(taken: Column) -> Column:
+    """One hash a bin, of the bin's (g) in the order of the text; null for an empty bin."""
+
+    def in_bin(j: Column) -> Column:
+        full = F.size(taken) == BINS * TUPLE
+        some = F.when(full, F.slice(taken, j * TUPLE + 1, F.lit(TUPLE))).otherwise(F.filter(taken, lambda x: x.b == j))
+        ordered = lambda s: F.array_sort(F.transform(s, lambda x: F.struct(x.i.alias("i"), x.g.alias("g"))))
+        return _let(some, lambda s: F.when(F.size(s) > 0, F.xxhash64(F.transform(ordered(s), lambda x: x.g))))
+
+    return F.transform(F.sequence(F.lit(0), F.lit(BINS - 1)), in_bin)
+
+
+def binned(docs: DataFrame, hashes: str, into: str) -> DataFrame:
+    """The rows with a column `into`: an array of one hash a bin, null for an empty bin.
+
+    Only hashes that occur more than once are numbered. The hashes are sorted as plain numbers, in a column
+    of its own, and a repeat stands next to its like; most k-mers occur once and are looked at in place.
+    """
+    ordered, repeats = f"{into} ordered", f"{into} repeats"
+    rows = docs.withColumn(ordered, F.sort_array(hashes))
+    rows = rows.withColumn(repeats, F.filter(F.col(ordered), lambda x, p: (p > 0) & (F.get(F.col(ordered), p - 1) == x))).drop(ordered)
+    chosen = _let(_chosen(F.col(hashes), F.col(repeats)), lambda t: _let(_placed(F.col(hashes), t), _bins))
+    return rows.withColumn(into, chosen).drop(repeats)
+
+
+def sketched(docs: DataFrame, text: str, into: str) -> DataFrame:
+    """The rows with a column `into`: an array of one hash a bin of the text, null for an empty bin."""
+    hashes = f"{into} hashes"
+    return binned(hashed(docs, text, hashes), hashes, into).drop(hashes)
 
 
 def alike(one: str, other: str) -> Column:
@@ -127,7 +202,8 @@ def edited(docs: DataFrame) -> DataFrame:
 
 def fingerprints(docs: DataFrame) -> DataFrame:
     """One row per document with the bins of its text, its edited text and the next document's."""
-    rows = sketched(sketched(edited(docs), "text", "bins"), "edited", "edited_bins")
+    rows = hashed_edit(hashed(edited(docs), "text", "hashes"), "text", "hashes", "edited", "edited_hashes")
+    rows = binned(binned(rows, "hashes", "bins"), "edited_hashes", "edited_bins")
     rows = stored(
         rows.select("doc_id", "next_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), "bins", "edited_bins"), "bins"
     )
