@@ -163,11 +163,10 @@ def _of(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, k: int, part: int, whole: int) -> DataFrame:
-    """The pairs (a, b) of set ids that link, by the sizes of intersection and union.
+    """Of stored pairs (a, b) of set ids those that link, by the sizes of intersection and union.
 
     Only the texts of candidates are taken up again.
     """
-    pairs = stored(pairs, "pairs")
     ends = pairs.select(F.col("a").alias("set_id")).unionByName(pairs.select(F.col("b").alias("set_id"))).distinct()
     firsts = stored(classes.join(ends, "set_id", "left_semi").select("first"), "firsts")
     sets = whole_sets(_of(docs, firsts), k)
@@ -176,7 +175,7 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, k: int, part
     shared = F.size(F.array_intersect("items_a", "items_b"))
     linked = shared * whole >= (F.size("items_a") + F.size("items_b") - shared) * part
     found = stored(pairs.join(other, "b").join(one, "a").where(linked).select("a", "b").distinct(), "links")
-    discard(pairs, firsts)
+    discard(firsts)
     return found
 
 
@@ -212,24 +211,33 @@ def _rooted(entries: DataFrame, links: DataFrame) -> DataFrame:
 
 def links(docs: DataFrame, classes: DataFrame, prefixes: DataFrame, k: int, part: int, whole: int) -> DataFrame:
     """Links (a, b) that connect all linked sets; `prefixes` are as of `prefixed`."""
-    exploded = prefixes.select("set_id", "n", "own", *MAP, F.posexplode("prefix").alias("at", "shingle"))
+    # What is shuffled of every shingle is small; what belongs to its set comes to the lists that are left. Two sets of one name only add entries.
+    sets = prefixes.select("set_id", "n", "own", *MAP).dropDuplicates(["set_id"]).withColumn("name", F.xxhash64("set_id"))
+    exploded = prefixes.select(F.xxhash64("set_id").alias("name"), F.posexplode("prefix").alias("at", "shingle"))
+    lists = stored(exploded.groupBy("shingle").count().where("count > 1").select("shingle"), "lists")
     unneeded = F.col("n") - F.ceil(F.col("n") * part / whole)
-    entries = exploded.select("set_id", "n", "own", *MAP, "shingle", F.greatest(F.lit(1), F.col("at") - unneeded + 1).alias("level"))
-    name = F.xxhash64("set_id")
-    lists = entries.groupBy("shingle").agg(F.min(name).alias("low"), F.max(name).alias("high")).where("low <> high")
-    lists = stored(lists.select("shingle"), "lists")
-    entries = stored(entries.join(lists, "shingle").withColumn("root", F.col("set_id")), "entries")
+    level = F.greatest(F.lit(1), F.col("at") - unneeded + 1).alias("level")
+    entries = exploded.join(lists, "shingle").join(sets, "name").select("set_id", "n", "own", *MAP, "shingle", level)
+    entries = stored(entries.withColumn("root", F.col("set_id")), "entries")
     differ = sum((F.bit_count(F.col(m).bitwiseXOR(F.col(f"{m}_b"))) for m in MAP), F.lit(0))
     alike = (F.least("n", "n_b") * whole >= F.greatest("n", "n_b") * part) & (differ * (whole + part) <= (F.col("n") + F.col("n_b")) * (whole - part))
     maps_b = [F.col(m).alias(f"{m}_b") for m in MAP]
-    found = None
+    found, seen = None, []
+
+    def new_pairs(pairs: DataFrame) -> DataFrame:
+        pairs = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+        for known in seen:  # STARS tables at most
+            pairs = pairs.join(known, ["a", "b"], "left_anti")
+        seen.append(stored(pairs, "pairs"))
+        return seen[-1]
+
     for star in range(STARS):
         firsts = entries.where("level = 1")
         rank = F.struct(F.xxhash64("set_id", F.lit(star)), "set_id", "root", "n", *MAP)
         centre = firsts.groupBy("shingle").agg(F.min(rank).alias("c"))
         centre = centre.select("shingle", "c.*").select("shingle", F.col("set_id").alias("a"), F.col("root").alias("root_a"), F.col("n").alias("n_b"), *maps_b)
-        pairs = firsts.join(centre, "shingle").where("root <> root_a").where(alike).select("a", F.col("set_id").alias("b")).distinct()
-        new = verified(pairs, docs, classes, k, part, whole)
+        pairs = firsts.join(centre, "shingle").where("root <> root_a").where(alike).select("a", F.col("set_id").alias("b"))
+        new = verified(new_pairs(pairs), docs, classes, k, part, whole)
         found = new if found is None else found.unionByName(new)
         used = entries
         entries = _rooted(entries.drop("root"), found)
@@ -239,8 +247,8 @@ def links(docs: DataFrame, classes: DataFrame, prefixes: DataFrame, k: int, part
     index = entries.select("shingle", *(F.col(old).alias(new) for old, new in names.items()), *maps_b)
     met = entries.where("level <= own").join(index, "shingle").where("level_b <= own AND set_id > b AND root <> root_b").where(alike)
     pairs = met.groupBy(F.col("set_id").alias("a"), "b").agg(F.count("*").alias("met"), F.first("own").alias("own")).where("met >= own")
-    last = verified(pairs.select("a", "b"), docs, classes, k, part, whole)
-    discard(entries)
+    last = verified(new_pairs(pairs), docs, classes, k, part, whole)
+    discard(entries, *seen)
     return found.unionByName(last)
 
 
