@@ -21,12 +21,14 @@ import heapq
 import os
 import re
 import sys
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import islice
 from struct import pack as pack_ids
 from types import ModuleType
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -43,7 +45,8 @@ TOKENIZER = "byte_bpe_50k.json"
 
 #: A blank between two other characters always begins a new pre-token.
 SINGLE = re.compile(r"(?<=\S) (?=\S)")
-NEXT_TO_SPACE = re.compile(r" \s|\s ")
+#: Between pieces that go through the tokenizer together: white space that is one token of its own before a blank.
+MARK = "\x0c"
 
 
 def tokenizer(name: str):
@@ -61,36 +64,92 @@ def tokenizer(name: str):
 class Encoder:
     """Ids of texts as little-endian 32-bit bytes.
 
-    Texts are cut at single blanks, where no token crosses; each distinct piece
-    goes through the tokenizer once while it is among the pieces kept.
+    Texts are cut at blanks and each distinct piece goes through the tokenizer
+    once while it is among the pieces kept. Where every blank is single, no
+    token crosses a cut; other texts are cut at their single blanks only.
     """
 
     def __init__(self, name: str):
         self.tokenizer = tokenizer(name)
         self.first: dict[str, bytes] = {}  # the piece a text begins with
-        self.known: dict[str, bytes] = {}  # any other, by what follows its blank
+        self.known: dict[str, bytes] = {}  # any other, by what follows its blank; no bytes: it is next to more space
+        self.wide: dict[str, bytes] = {}  # the same of texts with more space than single blanks
+        self.mark = self._ids([MARK])[0]
+        one, two, both = self._ids([" a", " b", f" a{MARK} b"])
+        self.marked = len(self.mark) == 1 and both == one + self.mark + two
+
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        return [found.ids for found in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut = []
-        for text in texts:
-            plain = not NEXT_TO_SPACE.search(text) and text[:1] != " " and text[-1:] != " "
-            cut.append(text.split(" ") if plain else SINGLE.split(text))
-        self._learn(self.first, {parts[0] for parts in cut}, "")
-        self._learn(self.known, set().union(*[islice(parts, 1, None) for parts in cut]), " ")
-        first, known = self.first, self.known.__getitem__
-        found = [first[parts[0]] + b"".join(map(known, islice(parts, 1, None))) for parts in cut]
-        for kept in (self.first, self.known):
+        if not texts:
+            return []
+        lists = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        at = np.append(0, np.cumsum(lists.value_lengths().to_numpy()))
+        words = lists.flatten().dictionary_encode()
+        codes, distinct = words.indices.to_numpy(), words.dictionary.to_numpy(zero_copy_only=False).tolist()
+        ids = self._words(distinct)
+        first, number = np.unique(codes[at[:-1]], return_inverse=True)
+        first = [distinct[c] for c in first.tolist()]
+        self._learn(self.first, first, "")
+        ids += map(self.first.__getitem__, first)
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        wide = np.flatnonzero(np.logical_or.reduceat(sizes[codes] == 0, at[:-1])).tolist()
+        codes = codes.astype(np.int64)
+        codes[at[:-1]] = len(distinct) + number
+        begin, size = (np.cumsum(sizes) - sizes)[codes], sizes[codes]
+        ends = np.cumsum(size)
+        whole = np.frombuffer(b"".join(ids), np.uint32)[np.repeat(begin - (ends - size), size) + np.arange(ends[-1])].tobytes()
+        edges = (4 * np.append(0, ends)[at]).tolist()
+        found = [whole[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)]
+        for row, text in zip(wide, self._wide([texts[row] for row in wide]), strict=True):
+            found[row] = text
+        for kept in (self.first, self.known, self.wide):
             if len(kept) > CACHE:
                 kept.clear()
         return found
 
-    def _learn(self, kept: dict[str, bytes], pieces: set[str], before: str) -> None:
+    def _wide(self, texts: list[str]) -> list[bytes]:
+        cut = [SINGLE.split(text) for text in texts]
+        self._learn(self.first, {parts[0] for parts in cut}, "")
+        self._learn(self.wide, set().union(*[islice(parts, 1, None) for parts in cut]), " ")
+        first, wide = self.first, self.wide.__getitem__
+        return [first[parts[0]] + b"".join(map(wide, islice(parts, 1, None))) for parts in cut]
+
+    def _words(self, pieces: list[str]) -> list[bytes]:
+        """The ids of distinct pieces without blanks; no bytes for one next to more space."""
+        ids = list(map(self.known.get, pieces))
+        new = [at for at, found in enumerate(ids) if found is None]
+        todo = []
+        for at in new:
+            piece = pieces[at]
+            if not piece or piece[0].isspace() or piece[-1].isspace():
+                self.known[piece] = b""
+            else:
+                todo.append(piece)
+        if self.marked:
+            self._learn_marked([piece for piece in todo if MARK not in piece])
+        self._learn(self.known, todo, " ")
+        for at in new:
+            ids[at] = self.known[pieces[at]]
+        return ids
+
+    def _learn_marked(self, pieces: list[str]) -> None:
+        """Learns pieces that neither begin nor end with space, many in one text; those it can't tell apart stay unknown."""
+        some = [pieces[begin : begin + 256] for begin in range(0, len(pieces), 256)]
+        for part, found in zip(some, self._ids([" " + f"{MARK} ".join(part) for part in some]), strict=True):
+            ids = np.array(found, "<u4")
+            marks = np.flatnonzero(ids == self.mark[0])
+            if len(marks) == len(part) - 1:
+                data = ids.tobytes()
+                begins, ends = [0, *(4 * marks + 4).tolist()], [*(4 * marks).tolist(), len(data)]
+                self.known.update(zip(part, map(data.__getitem__, map(slice, begins, ends)), strict=True))
+
+    def _learn(self, kept: dict[str, bytes], pieces: Iterable[str], before: str) -> None:
         todo = [piece for piece in pieces if piece not in kept]
         for begin in range(0, len(todo), 10_000):
             some = todo[begin : begin + 10_000]
-            written = [before + piece for piece in some] if before else some
-            for piece, found in zip(some, self.tokenizer.encode_batch_fast(written, add_special_tokens=False), strict=True):
-                ids = found.ids
+            for piece, ids in zip(some, self._ids([before + piece for piece in some] if before else some), strict=True):
                 kept[piece] = pack_ids(f"<{len(ids)}I", *ids)
 
 

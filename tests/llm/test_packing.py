@@ -81,3 +81,32 @@ def test_windows_keep_every_token():
 
 def test_empty_table(spark):
     assert packing.pack(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+class Counting:
+    def __init__(self, tokenizer):
+        self.tokenizer, self.texts = tokenizer, 0
+
+    def encode_batch_fast(self, texts, **options):
+        self.texts += len(texts)
+        return self.tokenizer.encode_batch_fast(texts, **options)
+
+
+def test_new_words_go_through_the_tokenizer_together(plain):
+    encoder = packing.Encoder(packing.TOKENIZER)
+    encoder.tokenizer = Counting(encoder.tokenizer)
+    text = " ".join(f"w{i}" for i in range(5000))
+    assert list(struct.unpack("<%dI" % (len(encoder.encode([text])[0]) // 4), encoder.encode([text])[0])) == plain(text)[:-1]
+    assert encoder.tokenizer.texts < 50
+
+
+@pytest.mark.parametrize("marked", [True, False])
+def test_words_that_hold_the_mark_or_other_space(plain, marked):
+    encoder = packing.Encoder(packing.TOKENIZER)
+    assert encoder.marked
+    encoder.marked = marked
+    odd = ["a\x0cb", "\x0c", "c\x0c", "\x0cd", "<|endoftext|>", "x<|endoftext|>", "don't", "'s", "l\nm", "n ", " o", "p\x1cq", "r\x1c", "é", "_", "1,5"]
+    rng = random.Random(4)
+    some = [" ".join(rng.choice(odd) for _ in range(rng.randint(1, 12))) for _ in range(400)] + odd
+    got = [list(struct.unpack(f"<{len(b) // 4}I", b)) for b in encoder.encode(some)]
+    assert got == [plain(t)[:-1] for t in some]
