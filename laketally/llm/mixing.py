@@ -20,7 +20,7 @@ Word counts stay a table and grow with the corpus. Words that are one in
 `COMMON` tokens or more, fewer than `COMMON` of them, are sent to every task;
 the others of each text meet their counts in a join. The tables of bits have a
 fixed size, a parameter of the model: more text makes them denser, and the
-gates then trust them less. Words are told apart by 64-bit hashes.
+gates then trust them less. Words, and texts, are told apart by 64-bit hashes.
 
 Nulls and odd rows: a null text is empty, which is one end. A row without
 doc_id is never held out. Repeated rows each count and come back with the same
@@ -270,16 +270,16 @@ def scored(docs: DataFrame, training) -> DataFrame:
                 columns = [part.column("doc_id"), part.column("name"), pa.array(sizes), pa.array(np.diff(at)), *map(pa.array, sums)]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "name", "n_bytes", "n_tokens", "n_common", "common", "bits"])
 
-    named = docs.withColumn("name", F.unhex(F.md5("text")))
-    pairs = named.select("name", "text").mapInArrow(rare, "name binary, word long, times long")
-    pairs = pairs.groupBy("word", "name").agg(F.max("times").alias("times"))  # equal texts once
+    named = docs.withColumn("name", F.xxhash64("text"))
+    pairs = named.select("name", "text").mapInArrow(rare, "name long, word long, times long")
+    pairs = pairs.repartition("word").groupBy("word", "name").agg(F.max("times").alias("times"))  # equal texts once, shuffled by what is joined next
     met = pairs.join(counts.select("word", "c"), "word", "left").withColumn("c", F.coalesce("c", F.lit(0)))
     sums = met.groupBy("name").agg(
         F.sum(F.when(F.col("c") > 0, F.col("times")).otherwise(0)).alias("n_rare"),
         F.sum(F.col("times") * F.log10(F.col("c") + ADDED)).alias("rare"),
     )
     kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, name binary, n_bytes long, n_tokens long, n_common long, common double, bits double"
+    schema = f"doc_id {kind}, name long, n_bytes long, n_tokens long, n_common long, common double, bits double"
     told = named.select("doc_id", "name", "text").mapInArrow(predict, schema).join(sums, "name", "left")
     words = F.col("common") + F.coalesce("rare", F.lit(0.0))
     total = float(np.log10(n + ADDED * (v + 1)))

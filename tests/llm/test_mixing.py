@@ -76,3 +76,12 @@ def test_empty_and_untrained(spark):
     got = mixing.scored(docs, F.lit(False)).collect()
     assert {(r.doc_id, r.n_tokens, r.n_known) for r in got} == {(1, 3, 0), (2, 1, 0)}
     assert all(math.isfinite(r.score) for r in got)
+
+
+def test_words_of_texts_are_shuffled_once(spark, capsys):
+    """By the word alone, which both the grouping and the join with the counts take."""
+    docs = spark.createDataFrame(made(2, 50), "doc_id long, text string")
+    mixing.scored(docs, F.lit(True)).explain()
+    plan = capsys.readouterr().out
+    assert not re.search(r"hashpartitioning\((word#\d+L?, name|name#\d+L?, word)", plan)
+    assert re.search(r"hashpartitioning\(word#\d+L?, \d+\)", plan)
