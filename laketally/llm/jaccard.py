@@ -56,7 +56,7 @@ def sketch(docs: DataFrame, k: int) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << SKETCH_BITS, np.int64)
         for batch in batches:
-            for part in T.slices(batch):
+            for part in T.slices(batch, most=T.SMALL_BYTES):
                 for found in _sets(part.column("text"), k):
                     np.add.at(total, (found >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), 1)
         parts = [p.tobytes() for p in total.reshape(SKETCH_PARTS, width)]
@@ -87,7 +87,7 @@ def named(docs: DataFrame, k: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in T.slices(batch):
+            for part in T.slices(batch, most=T.SMALL_BYTES):
                 found = _sets(part.column("text"), k)
                 names = pa.array([_named(s) if len(s) else None for s in found], pa.binary())
                 sizes = pa.array([len(s) for s in found], pa.int64())
@@ -127,7 +127,7 @@ def prefixed(docs: DataFrame, counts: np.ndarray, k: int, part: int, whole: int)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in T.slices(batch):
+            for piece in T.slices(batch, most=T.SMALL_BYTES):
                 rows, where = [], []
                 for d, found in enumerate(_sets(piece.column("text"), k)):
                     if len(found):
@@ -149,7 +149,7 @@ def whole_sets(docs: DataFrame, k: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in T.slices(batch):
+            for piece in T.slices(batch, most=T.SMALL_BYTES):
                 found = [s for s in _sets(piece.column("text"), k) if len(s)]
                 items = pa.array([s.view(np.int64) for s in found], pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays([pa.array([_named(s) for s in found], pa.binary()), items], ["set_id", "items"])
@@ -283,7 +283,7 @@ def _with_sets(docs: DataFrame, k: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in T.slices(batch):
+            for part in T.slices(batch, most=T.SMALL_BYTES):
                 found = pa.array([_named(s) if len(s) else None for s in _sets(part.column("text"), k)], pa.binary())
                 row = pa.StructArray.from_arrays(part.columns, names)
                 yield pa.RecordBatch.from_arrays([row, found], ["row", "set"])

@@ -120,7 +120,7 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, buckets: i
         rows = rows.iloc[np.argsort(T.mixed(rows["doc_id"].to_numpy(np.uint64)), kind="stable")]
         batch = pa.RecordBatch.from_pandas(rows[["text"]], schema=pa.schema([("text", pa.string())]), preserve_index=False)
         grams, sizes = [], [0]
-        for part in T.slices(batch):
+        for part in T.slices(batch, most=T.SMALL_BYTES):
             g, at = features(part.column("text"), buckets)
             grams.append(g)
             sizes += (sizes[-1] + at[1:]).tolist()
@@ -149,7 +149,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in T.slices(batch):
+            for part in T.slices(batch, most=T.SMALL_BYTES):
                 found = pa.array(scores(part.column("text"), *shared.value))
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), found], ["doc_id", "score"])
 
@@ -163,7 +163,7 @@ def keep_good(docs: DataFrame, model: Model, least: float) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in T.slices(batch):
+            for part in T.slices(batch, most=T.SMALL_BYTES):
                 yield part.filter(pa.array(scores(part.column("text"), *shared.value) >= least))
 
     return docs.mapInArrow(run, docs.schema)

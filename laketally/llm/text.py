@@ -14,6 +14,8 @@ import pyarrow.compute as pc
 #: Bytes of text that are looked at together. Work arrays take about 40 bytes
 #: for each; one text longer than this is looked at alone.
 SLICE_BYTES = 2 << 20
+#: The same where a worker should stay small: work arrays then are freed to the system or used again.
+SMALL_BYTES = SLICE_BYTES // 4
 
 SPACES = np.zeros(256, bool)
 SPACES[[9, 10, 11, 12, 13, 32]] = True
@@ -41,7 +43,7 @@ def powers(base: np.uint64, n: int) -> np.ndarray:
     """base ** 0 .. base ** (n - 1), wrapping."""
     known = _powers.get(int(base))
     if known is None or len(known) < n:
-        known = np.full(max(n, SLICE_BYTES + 4096), base, np.uint64)
+        known = np.full(1 << max(n, 1).bit_length(), base, np.uint64)
         known[0] = 1
         np.multiply.accumulate(known, out=known)
         _powers[int(base)] = known
@@ -55,14 +57,14 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBatch]:
-    """The batch in runs of rows of at most SLICE_BYTES of text, or one row."""
+def slices(batch: pa.RecordBatch, column: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows of at most `most` bytes of text, or one row."""
     if batch.num_rows == 0:
         return
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
     total, begin = 0, 0
     for row, size in enumerate(sizes.tolist()):
-        if row > begin and total + size > SLICE_BYTES:
+        if row > begin and total + size > most:
             yield batch.slice(begin, row - begin)
             total, begin = 0, row
         total += size
