@@ -32,11 +32,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from laketally.llm import text as T
-from laketally.plans.scratch import stored
+from laketally.plans.scratch import discard, stored
 
 LENGTH = 100
 GRAM = 32
@@ -169,8 +169,9 @@ def anchors(texts: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(columns, ["name", "anchor"])
 
     found = texts.select("name", "text").mapInArrow(run, "name long, anchor long")
-    many = found.groupBy("anchor").agg(F.min("name").alias("low"), F.max("name").alias("high")).where("low <> high")
-    pairs = found.join(many.select("anchor"), "anchor", "left_semi").distinct()
+    same = Window.partitionBy("anchor")  # and the only shuffle of all anchors
+    many = found.withColumn("low", F.min("name").over(same)).withColumn("high", F.max("name").over(same)).where("low <> high")
+    pairs = many.select("name", "anchor").distinct()
     return pairs.groupBy("name").agg(F.collect_list("anchor").alias("shared"))
 
 
@@ -290,7 +291,9 @@ def marks(docs: DataFrame) -> DataFrame:
     own = spans.groupBy("place", "name").agg(F.flatten(F.collect_list("spans")).alias("removed"))
     own = own.withColumn("copy", F.lit(False))
     whole = copies(texts, classes).withColumn("copy", F.lit(True))
-    return stored(own.unionByName(whole, allowMissingColumns=True), "marks")
+    found_marks = stored(own.unionByName(whole, allowMissingColumns=True), "marks")
+    discard(classes, found, alike)
+    return found_marks
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:

@@ -1,6 +1,7 @@
 """Removal of repeated strings against plain Python."""
 
 import random
+from pathlib import Path
 
 from laketally.llm import suffixes
 
@@ -57,3 +58,17 @@ def test_equals_plain_removal(spark):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert suffixes.deduplicated(docs).collect() == []
+
+
+def test_only_the_marks_are_left_on_disk(spark):
+    folder = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(folder.iterdir())
+    suffixes.marks(spark.createDataFrame(made(1), "doc_id long, text string"))
+    assert [p.name.split("-")[0] for p in set(folder.iterdir()) - before] == ["marks"]
+
+
+def test_anchors_are_shuffled_once(spark, capsys):
+    docs = spark.createDataFrame(made(1), "doc_id long, text string")
+    suffixes.anchors(suffixes._texts(docs)).explain()
+    plan = capsys.readouterr().out
+    assert plan.count("MapInArrow") == 1 and plan.count("Exchange hashpartitioning(anchor") == 1
