@@ -159,6 +159,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
 def keep_good(docs: DataFrame, model: Model, least: float) -> DataFrame:
     """The rows with a score of at least `least`, with all their columns."""
+    T.small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast((model.weights, model.base))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

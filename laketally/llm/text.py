@@ -10,6 +10,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import SparkSession
 
 #: Bytes of text that are looked at together. Work arrays take about 40 bytes
 #: for each; one text longer than this is looked at alone.
@@ -17,6 +18,10 @@ SLICE_BYTES = 2 << 20
 #: The same where a worker should stay small: work arrays then are freed to the system or used again.
 SMALL_BYTES = SLICE_BYTES // 4
 
+#: Bytes of rows that Spark hands a worker at a time, where the session names no number of its own.
+BATCH_BYTES = 4 << 20
+BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 SPACES = np.zeros(256, bool)
 SPACES[[9, 10, 11, 12, 13, 32]] = True
 LOWER = np.arange(256, dtype=np.uint8)
@@ -57,6 +62,12 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+def small_batches(spark: SparkSession) -> None:
+    """From now on batches of BATCH_BYTES in this session: a batch is held by the executor and by its worker at once."""
+    if spark.conf.get(BATCH_CONF, None) is None:
+        spark.conf.set(BATCH_CONF, str(BATCH_BYTES))
+
+
 def slices(batch: pa.RecordBatch, column: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The batch in runs of rows of at most `most` bytes of text, or one row."""
     if batch.num_rows == 0:
