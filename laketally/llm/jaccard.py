@@ -14,9 +14,10 @@ a fixed size; a rough count costs time, never a link.
 
 A group of many near copies shares its prefixes. So links are first sought
 between each member of a prefix list and single members of it (`STARS` times,
-other ones each time), and linked classes become one component; the adaptive
-join then covers every pair of different components. No link between components
-can be lost, and within one there is nothing left to find.
+other ones each time, and `CENTRES` of them among the lists of a group), and
+linked classes become one component; lists of two sets that cannot link are
+dropped. The adaptive join then covers every pair of different components. No
+link between components can be lost, and within one there is nothing left to find.
 
 Nulls and odd rows: a null text or one without words has no shingles, links
 with nothing and is its own component. Repeated rows come back as often as they
@@ -24,11 +25,11 @@ went in. A null doc_id is kept; its component is the smallest doc_id of the
 others it is linked with, or null. An empty table gives an empty result.
 """
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
@@ -37,6 +38,8 @@ from laketally.plans.scratch import discard, stored
 
 LONGEST = 4
 STARS = 3
+#: So many members of a group are single ones at a time: its lists are dealt among them.
+CENTRES = 4
 SKETCH_BITS = 20
 SKETCH_PARTS = 64
 MAP_BITS = 256
@@ -201,11 +204,22 @@ def components(edges: DataFrame) -> DataFrame:
         before = now
 
 
-def _rooted(entries: DataFrame, links: DataFrame) -> DataFrame:
-    """The entries of shingles that more than one component has, with their component."""
+def _alike(one: Callable[[str], Column], other: Callable[[str], Column], part: int, whole: int) -> Column:
+    """Whether two sets can link, by their sizes and the parity maps' bound of their difference."""
+    differ = sum((F.bit_count(one(m).bitwiseXOR(other(m))) for m in MAP), F.lit(0))
+    sizes = F.least(one("n"), other("n")) * whole >= F.greatest(one("n"), other("n")) * part
+    return sizes & (differ * (whole + part) <= (one("n") + other("n")) * (whole - part))
+
+
+def _rooted(entries: DataFrame, links: DataFrame, part: int, whole: int) -> DataFrame:
+    """The entries of shingles that more than one component has, with their component; not those of two sets that cannot link."""
     roots = components(links)
     rooted = entries.join(roots, "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
-    mixed = rooted.groupBy("shingle").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
+    one = F.struct("set_id", "n", *MAP)
+    mixed = rooted.groupBy("shingle").agg(
+        F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("rows"), F.min(one).alias("x"), F.max(one).alias("y")
+    )
+    mixed = mixed.where("low <> high").where((F.col("rows") > 2) | _alike(lambda c: F.col(f"x.{c}"), lambda c: F.col(f"y.{c}"), part, whole))
     return stored(rooted.join(mixed.select("shingle"), "shingle"), "rooted")
 
 
@@ -219,8 +233,7 @@ def links(docs: DataFrame, classes: DataFrame, prefixes: DataFrame, k: int, part
     level = F.greatest(F.lit(1), F.col("at") - unneeded + 1).alias("level")
     entries = exploded.join(lists, "shingle").join(sets, "name").select("set_id", "n", "own", *MAP, "shingle", level)
     entries = stored(entries.withColumn("root", F.col("set_id")), "entries")
-    differ = sum((F.bit_count(F.col(m).bitwiseXOR(F.col(f"{m}_b"))) for m in MAP), F.lit(0))
-    alike = (F.least("n", "n_b") * whole >= F.greatest("n", "n_b") * part) & (differ * (whole + part) <= (F.col("n") + F.col("n_b")) * (whole - part))
+    alike = _alike(F.col, lambda c: F.col(f"{c}_b"), part, whole)
     maps_b = [F.col(m).alias(f"{m}_b") for m in MAP]
     found, seen = None, []
 
@@ -233,14 +246,16 @@ def links(docs: DataFrame, classes: DataFrame, prefixes: DataFrame, k: int, part
 
     for star in range(STARS):
         firsts = entries.where("level = 1")
-        rank = F.struct(F.xxhash64("set_id", F.lit(star)), "set_id", "root", "n", *MAP)
+        rank = F.struct(F.xxhash64("set_id", F.pmod("shingle", F.lit(CENTRES)), F.lit(star)), "set_id", "root", "n", *MAP)
         centre = firsts.groupBy("shingle").agg(F.min(rank).alias("c"))
         centre = centre.select("shingle", "c.*").select("shingle", F.col("set_id").alias("a"), F.col("root").alias("root_a"), F.col("n").alias("n_b"), *maps_b)
-        pairs = firsts.join(centre, "shingle").where("root <> root_a").where(alike).select("a", F.col("set_id").alias("b"))
+        met = firsts.join(centre, "shingle").where("root <> root_a").where(alike)
+        pairs = met.groupBy("a", F.col("set_id").alias("b")).agg(F.count("*").alias("met"), F.first("own").alias("own"))
+        pairs = pairs.where(F.col("met") >= F.least("own", F.lit(2)))  # by chance most share one shingle; what is left out the last join finds
         new = verified(new_pairs(pairs), docs, classes, k, part, whole)
         found = new if found is None else found.unionByName(new)
         used = entries
-        entries = _rooted(entries.drop("root"), found)
+        entries = _rooted(entries.drop("root"), found, part, whole)
         discard(used)
     discard(lists)
     names = {"set_id": "b", "n": "n_b", "root": "root_b", "level": "level_b"}
@@ -254,6 +269,7 @@ def links(docs: DataFrame, classes: DataFrame, prefixes: DataFrame, k: int, part
 
 def rooted_rows(docs: DataFrame, k: int, part: int, whole: int) -> DataFrame:
     """(doc_id, set_id, n_shingles, root, component_id) of every row; links are at part / whole or more. A root is one set of the component."""
+    T.small_batches(docs.sparkSession)
     docs = docs.select("doc_id", "text")
     members = stored(named(docs, k), "members")
     classes = stored(members.where("set_id IS NOT NULL").groupBy("set_id").agg(F.min("doc_id").alias("first"), F.count("*").alias("rows")), "classes")

@@ -86,3 +86,19 @@ def test_rows_that_share_an_id_are_kept_by_their_text(spark):
     kept = jaccard.one_of_each(docs, 5, 8, 10)
     assert kept.columns == docs.columns
     assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted([(1, a), (1, b), (4, c), (5, ""), (5, None)], key=str)
+
+
+def test_lists_of_two_that_cannot_link_are_dropped(spark):
+    def entry(name, n, first, shingle):
+        return (name, n, 1, first, 0, 0, 0, shingle, 1)
+
+    far, near = (1 << 40) - 1, 7  # 40 and 3 bits from zero
+    rows = [entry(b"a", 100, 0, 1), entry(b"b", 100, far, 1)]  # two that cannot link
+    rows += [entry(b"a", 100, 0, 2), entry(b"c", 100, near, 2)]  # two that can
+    rows += [entry(b"a", 100, 0, 3), entry(b"b", 100, far, 3), entry(b"c", 100, near, 3)]  # more than two
+    rows += [entry(b"d", 100, 0, 4), entry(b"e", 100, 0, 4)]  # one component
+    columns = ", ".join(f"{m} long" for m in jaccard.MAP)
+    entries = spark.createDataFrame(rows, f"set_id binary, n long, own long, {columns}, shingle long, level long")
+    links = spark.createDataFrame([(bytearray(b"d"), bytearray(b"e"))], "a binary, b binary")
+    kept = jaccard._rooted(entries, links, 85, 100)
+    assert {r.shingle for r in kept.collect()} == {2, 3}
