@@ -137,7 +137,7 @@ def _bins(taken: Column) -> Column:
     def in_bin(j: Column) -> Column:
         full = F.size(taken) == BINS * TUPLE
         some = F.when(full, F.slice(taken, j * TUPLE + 1, F.lit(TUPLE))).otherwise(F.filter(taken, lambda x: x.b == j))
-        ordered = lambda s: F.array_sort(F.transform(s, lambda x: F.struct(x.i.alias("i"), x.g.alias("g"))))
+        ordered = lambda s: F.sort_array(F.transform(s, lambda x: F.struct(x.i.alias("i"), x.g.alias("g"))))
         return _let(some, lambda s: F.when(F.size(s) > 0, F.xxhash64(F.transform(ordered(s), lambda x: x.g))))
 
     return F.transform(F.sequence(F.lit(0), F.lit(BINS - 1)), in_bin)
@@ -189,13 +189,15 @@ def next_ids(docs: DataFrame) -> DataFrame:
 def edited(docs: DataFrame) -> DataFrame:
     """doc_id, text, next_id, edited: the last half of each text replaced by the start of the next document."""
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    own = docs.where("doc_id IS NOT NULL")  # both joins take it by doc_id, so texts are shuffled once
     nexts = next_ids(docs)
     wanted = nexts.select(F.col("doc_id").alias("of"), "next_id", "half")
-    heads = docs.select(F.col("doc_id").alias("next_id"), "text").join(wanted, "next_id")
-    heads = heads.select("of", "next_id", F.left("text", F.col("half")).alias("head"))
+    heads = own.join(wanted, own["doc_id"] == wanted["next_id"]).select("of", "next_id", F.left("text", F.col("half")).alias("head"))
     heads = heads.groupBy("of").agg(F.min("head").alias("head"), F.first("next_id").alias("next_id"))
+    full = own.join(heads, own["doc_id"] == heads["of"], "left").select("doc_id", "text", "next_id", "head")
+    unnamed = docs.where("doc_id IS NULL").withColumn("next_id", F.col("doc_id")).withColumn("head", F.lit(None).cast("string"))
+    full = full.unionByName(unnamed)
     half = F.floor(F.length("text") / 2).cast("int")
-    full = docs.join(heads, docs["doc_id"] == heads["of"], "left")
     end = F.left(F.coalesce("head", F.lit("")), half)
     return full.select("doc_id", "text", "next_id", F.concat(F.left("text", F.length("text") - half), end).alias("edited"))
 

@@ -84,3 +84,24 @@ def test_bins_match_plain_python(spark, monkeypatch, few):
         expected = plain_bins(spark, texts[r.i])
         filled = spark.createDataFrame([(j, some) for j, some in enumerate(expected)], "j int, some array<bigint>").select("j", F.when(F.size("some") > 0, F.xxhash64("some")).alias("h"))
         assert r.bins == [x.h for x in sorted(filled.collect())]
+
+
+def test_texts_are_shuffled_once(spark):
+    rows = [(i, f"text {i} " * 20) for i in range(50)] + [(None, "null id"), (7, "another text of 7")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = fingerprints.edited(docs)
+        got = sorted(((r.doc_id, r.text, r.next_id, r.edited) for r in found.collect()), key=str)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "ReusedExchange" in plan
+    least = {d: min(t for e, t in rows if e == d) for d, _ in rows}
+    expected = []
+    for d, t in rows:
+        other = None if d is None else (d - 1) % 50
+        half = len(t) // 2
+        expected.append((d, t, other, t[: len(t) - half] + (least[other][:half] if d is not None else "")))
+    assert got == sorted(expected, key=str)
