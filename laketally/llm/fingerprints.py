@@ -29,10 +29,16 @@ from pyspark.sql import functions as F
 from laketally.plans.scratch import stored
 
 K = 8
-BINS = 32
+BIN_BITS = 5
+BINS = 1 << BIN_BITS
 TUPLE = 2
 #: About so many of a longer text's numbered k-mers are looked at first.
 FEW = 448
+#: Bits of a place in a key, 31 in longer texts. Two k-mers of one text that agree in all other bits of their numbers
+#: are taken for one by the count of occurrences, in a text of n of them with a chance of some n ** 2 in 2 ** 45.
+PLACE_BITS = 20
+#: Bits of a candidate's place among candidates; where there are more, all are sorted by their whole numbers.
+RANK_BITS = 12
 
 
 def _let(value: Column, of: Callable[[Column], Column]) -> Column:
@@ -47,9 +53,26 @@ def _places(length: Column) -> Column:
 
 def _kmers(text: Column) -> Column:
     """The hash of every k-mer, by place; none where the text is shorter than k."""
-    # Matching goes by UTF-16 units: none begins within a code point of two.
-    each = F.lit(f"(?s)(?![\\x{{DC00}}-\\x{{DFFF}}])(?=(.{{{K}}}))")
-    return F.transform(F.regexp_extract_all(text, each, F.lit(1)), lambda k: F.xxhash64(k))
+    # Bytes are cut at any place at once; a text is looked through from its start.
+    data = F.to_binary(text, F.lit("utf-8"))
+    plain = lambda b, n: F.transform(F.sequence(F.lit(1), n - K + 1), lambda i: F.xxhash64(F.substring(b, i, F.lit(K))))
+
+    def by_starts(b: Column, at: Column) -> Column:
+        kmer = lambda i: F.substring(b, F.get(at, i) + 1, F.get(at, i + K) - F.get(at, i))
+        return F.transform(_places(F.size(at) - K), lambda i: F.xxhash64(kmer(i)))
+
+    def found(b: Column) -> Column:
+        several = F.octet_length(text) > F.length(text)
+        some = F.when(several, _let(_starts(b), lambda at: by_starts(b, at))).otherwise(plain(b, F.octet_length(text)))
+        return F.when(F.length(text) >= K, some).otherwise(F.array().cast("array<bigint>"))
+
+    return _let(data, found)
+
+
+def _starts(data: Column) -> Column:
+    """Where each code point of UTF-8 bytes begins, and where the last one ends."""
+    more = lambda i: F.substring(data, i + 1, F.lit(1)).between(F.lit(b"\x80"), F.lit(b"\xbf"))
+    return F.filter(F.sequence(F.lit(0), F.octet_length(data)), lambda i: ~more(i))
 
 
 def _whole(text: Column) -> Column:
@@ -70,65 +93,88 @@ def hashed_edit(docs: DataFrame, text: str, hashes: str, edit: str, into: str) -
     return docs.withColumn(into, F.when(F.length(edit) >= K, F.concat(F.slice(hashes, F.lit(1), own), rest)).otherwise(_whole(F.col(edit))))
 
 
-def _later(repeats: Column) -> Column:
-    """(g, h, q) of every occurrence but the first, q from 1; `repeats` has each one's hash, sorted."""
+def _by_bits(n: Column, of: Callable[[int], Column]) -> Column:
+    """of(the bits of a place) in a text of n k-mers."""
+    return F.when(n <= 1 << PLACE_BITS, of(PLACE_BITS)).otherwise(of(31))
+
+
+def _ordered(hashes: Column) -> Column:
+    """A key of every k-mer, sorted: the upper bits of its number as a first occurrence, and below them its place."""
+    key = lambda h, i, bits: F.xxhash64(h, F.lit(0)).bitwiseAND(F.lit(-(1 << bits))).bitwiseOR(i)
+    return F.sort_array(_by_bits(F.size(hashes), lambda bits: F.transform(hashes, lambda h, i: key(h, i, bits))))
+
+
+def _repeated(ordered: Column, key: Column, p: Column, bits: int) -> Column:
+    """Whether the key's k-mer occurs before; null for the first key."""
+    return F.get(ordered, p - 1) >= key.bitwiseAND(F.lit(-(1 << bits)))
+
+
+def _place(key: Column, bits: int) -> Column:
+    return key.bitwiseAND(F.lit((1 << bits) - 1)).cast("int")
+
+
+def _repeats(ordered: Column) -> Column:
+    """The keys of every occurrence but the first."""
+    again = lambda s, bits: F.filter(s, lambda x, p: _repeated(s, x, p, bits))
+    return _let(ordered, lambda s: _by_bits(F.size(s), lambda bits: again(s, bits)))
+
+
+def _later(hashes: Column, repeats: Column, most: Column, bits: int) -> Column:
+    """(g, i) of every occurrence but the first, of numbers up to `most`."""
 
     def run(s: Column, begins: Column, p: Column, r: Column) -> Column:
         end = F.coalesce(F.get(begins, r + 1), F.size(s))
-        h = F.get(s, p)
-        return F.transform(F.sequence(F.lit(1), end - p), lambda q: F.struct(F.xxhash64(h, q).alias("g"), h.alias("h"), q.alias("q")))
 
-    begins = F.filter(_places(F.size(repeats)), lambda p: (p == 0) | (F.get(repeats, p) != F.get(repeats, p - 1)))
-    return _let(begins, lambda b: F.flatten(F.transform(b, lambda p, r: run(repeats, b, p, r))))
+        def few(h: Column) -> Column:
+            nth = F.filter(F.sequence(F.lit(1), end - p), lambda q: F.xxhash64(h, q) <= most)
+            return F.transform(nth, lambda q: F.struct(F.xxhash64(h, q).alias("g"), _place(F.get(s, p + q - 1), bits).alias("i")))
 
+        return _let(F.get(hashes, _place(F.get(s, p), bits)), few)
 
-def _candidates(hashes: Column, repeats: Column, most: Column) -> Column:
-    """(b, g, h, q, i) of the numbered k-mers of hash g up to `most`, sorted; the place i is that of first occurrences (q = 0) alone."""
-    bin_of = lambda g: F.pmod(g, F.lit(BINS)).alias("b")
-    at = F.filter(_places(F.size(hashes)), lambda i: F.xxhash64(F.get(hashes, i), F.lit(0)) <= most)
+    begins = F.filter(_places(F.size(repeats)), lambda p: ~F.coalesce(_repeated(repeats, F.get(repeats, p), p, bits), F.lit(False)))
+    return _let(begins, lambda b: F.flatten(F.transform(b, lambda p, r: run(repeats, b, p, r))))
 
-    def first(i: Column) -> Column:
-        h = F.get(hashes, i)
-        g = F.xxhash64(h, F.lit(0))
-        return F.struct(bin_of(g), g.alias("g"), h.alias("h"), F.lit(0).alias("q"), i.alias("i"))
 
-    firsts = _let(F.sort_array(F.transform(at, first)), lambda s: F.filter(s, lambda x, p: (p == 0) | (F.get(s, p - 1).h != x.h)))
-    later = F.filter(_later(repeats), lambda x: x.g <= most)
-    later = F.transform(later, lambda x: F.struct(bin_of(x.g), x.g.alias("g"), x.h.alias("h"), x.q.alias("q"), F.lit(None).cast("int").alias("i")))
-    return F.sort_array(F.concat(firsts, later))
+def _candidates(hashes: Column, ordered: Column, repeats: Column, most: Column) -> Column:
+    """(g, i) of the k-mers of numbers g up to `most`, with their places."""
 
+    def found(o: Column, r: Column, h: Column, most: Column, bits: int) -> Column:
+        # Mostly the first keys hold all that are wanted.
+        head = F.when(F.get(o, F.lit(2 * FEW)) > most, F.slice(o, F.lit(1), F.lit(2 * FEW))).otherwise(o)
+        firsts = _let(head, lambda k: F.filter(k, lambda x, p: (x <= most) & ~F.coalesce(_repeated(k, x, p, bits), F.lit(False))))
+        number = lambda x: F.xxhash64(F.get(h, _place(x, bits)), F.lit(0))
+        named = F.transform(firsts, lambda x: F.struct(number(x).alias("g"), _place(x, bits).alias("i")))
+        return F.concat(named, _later(h, r, most, bits))
 
-def _least(candidates: Column) -> Column:
-    """The TUPLE least of every bin, by bin."""
-    return _let(candidates, lambda s: F.filter(s, lambda x, p: (p < TUPLE) | (F.get(s, p - TUPLE).b != x.b)))
+    def of(bits: int) -> Column:
+        return _let(ordered, lambda o: _let(repeats, lambda r: _let(hashes, lambda h: _let(most, lambda m: found(o, r, h, m, bits)))))
 
+    return _by_bits(F.size(hashes), of)
 
-def _chosen(hashes: Column, repeats: Column) -> Column:
-    # The least of a bin are among the least of all: if FEW of these give every bin its TUPLE, they are the same.
-    n = F.size(hashes)
-    every = F.lit(2**63 - 1)
-    few = F.when(n > FEW, ((FEW / n - 0.5) * 2.0**64).cast("bigint")).otherwise(every)
-    taken = _let(few, lambda m: _least(_candidates(hashes, repeats, m)))
-    return _let(taken, lambda t: F.when((F.size(t) == BINS * TUPLE) | (n <= FEW), t).otherwise(_least(_candidates(hashes, repeats, every))))
+
+def _bin(g: Column) -> Column:
+    return g.bitwiseAND(F.lit(BINS - 1))
 
 
-def _placed(hashes: Column, taken: Column) -> Column:
-    """(b, g, i) of what was taken, later occurrences with their place as well."""
-    wanted = F.array_distinct(F.transform(F.filter(taken, lambda x: x.q > 0), lambda x: x.h))
+def _rank(candidates: Column) -> Column:
+    """A key of every candidate, sorted by bin and number: its bin, the upper bits of its number, and where it stands."""
+    number = lambda g: F.shiftrightunsigned(g.bitwiseXOR(F.lit(-(2**63))), BIN_BITS).bitwiseAND(F.lit(-(1 << RANK_BITS)))
+    key = lambda g, p: F.shiftleft(g.bitwiseXOR(F.lit(BINS // 2)), 64 - BIN_BITS).bitwiseOR(number(g)).bitwiseOR(p)
+    return F.sort_array(F.transform(candidates, lambda x, p: key(x.g, p)))
 
-    def occurrences(w: Column) -> Column:
-        at = F.filter(_places(F.size(hashes)), lambda i: F.array_contains(w, F.get(hashes, i)))
-        found = F.sort_array(F.transform(at, lambda i: F.struct(F.get(hashes, i).alias("h"), i.alias("i"))))
-        return F.when(F.size(w) > 0, found).otherwise(F.array().cast("array<struct<h:bigint,i:int>>"))
 
-    def place(x: Column, found: Column, names: Column) -> Column:
-        return F.coalesce(x.i, F.get(found, F.array_position(names, x.h).cast("int") - 1 + x.q).i)
+def _least_ranked(candidates: Column, rank: Column) -> Column:
+    """The TUPLE least of every bin, by bin."""
+    own = lambda key: F.shiftright(key, 64 - BIN_BITS)
+    least = _let(rank, lambda s: F.filter(s, lambda x, p: (p < TUPLE) | (own(F.get(s, p - TUPLE)) != own(x))))
+    return _let(candidates, lambda c: F.transform(least, lambda x: F.get(c, _place(x, RANK_BITS))))
 
-    def all_places(found: Column) -> Column:
-        names = F.transform(found, lambda o: o.h)
-        return _let(names, lambda ns: F.transform(taken, lambda x: F.struct(x.b.alias("b"), x.g.alias("g"), place(x, found, ns).alias("i"))))
 
-    return _let(_let(wanted, occurrences), all_places)
+def _least(candidates: Column) -> Column:
+    """The same of any number of candidates."""
+    ordered = F.sort_array(F.transform(candidates, lambda x: F.struct(_bin(x.g).alias("b"), x.g.alias("g"), x.i.alias("i"))))
+    least = _let(ordered, lambda s: F.filter(s, lambda x, p: (p < TUPLE) | (F.get(s, p - TUPLE).b != x.b)))
+    return F.transform(least, lambda x: F.struct(x.g.alias("g"), x.i.alias("i")))
 
 
 def _bins(taken: Column) -> Column:
@@ -136,7 +182,7 @@ def _bins(taken: Column) -> Column:
 
     def in_bin(j: Column) -> Column:
         full = F.size(taken) == BINS * TUPLE
-        some = F.when(full, F.slice(taken, j * TUPLE + 1, F.lit(TUPLE))).otherwise(F.filter(taken, lambda x: x.b == j))
+        some = F.when(full, F.slice(taken, j * TUPLE + 1, F.lit(TUPLE))).otherwise(F.filter(taken, lambda x: _bin(x.g) == j))
         ordered = lambda s: F.sort_array(F.transform(s, lambda x: F.struct(x.i.alias("i"), x.g.alias("g"))))
         return _let(some, lambda s: F.when(F.size(s) > 0, F.xxhash64(F.transform(ordered(s), lambda x: x.g))))
 
@@ -146,14 +192,20 @@ def _bins(taken: Column) -> Column:
 def binned(docs: DataFrame, hashes: str, into: str) -> DataFrame:
     """The rows with a column `into`: an array of one hash a bin, null for an empty bin.
 
-    Only hashes that occur more than once are numbered. The hashes are sorted as plain numbers, in a column
-    of its own, and a repeat stands next to its like; most k-mers occur once and are looked at in place.
+    Each step is a column of its own, so that compiled code sorts what is sorted, as plain numbers: keys, where a
+    repeat stands next to its like, and ranks of candidates. Only hashes that occur again are numbered.
     """
-    ordered, repeats = f"{into} ordered", f"{into} repeats"
-    rows = docs.withColumn(ordered, F.sort_array(hashes))
-    rows = rows.withColumn(repeats, F.filter(F.col(ordered), lambda x, p: (p > 0) & (F.get(F.col(ordered), p - 1) == x))).drop(ordered)
-    chosen = _let(_chosen(F.col(hashes), F.col(repeats)), lambda t: _let(_placed(F.col(hashes), t), _bins))
-    return rows.withColumn(into, chosen).drop(repeats)
+    ordered, repeats, some, rank, taken = (f"{into} {name}" for name in ("ordered", "repeats", "some", "rank", "taken"))
+    h, o, r, s, k = F.col(hashes), F.col(ordered), F.col(repeats), F.col(some), F.col(rank)
+    # The least of a bin are among the least of all: if FEW of these give every bin its TUPLE, they are the same.
+    every = F.lit(2**63 - 1)
+    below = lambda bits: ((FEW / F.size(h) - 0.5) * 2.0**64).cast("bigint").bitwiseAND(F.lit(-(1 << bits))) - 1
+    few = F.when(F.size(h) > FEW, _by_bits(F.size(h), below)).otherwise(every)
+    rows = docs.withColumn(ordered, _ordered(h)).withColumn(repeats, _repeats(o)).withColumn(some, _candidates(h, o, r, few))
+    rows = rows.withColumn(rank, _rank(s)).withColumn(taken, F.when(F.size(k) <= 1 << RANK_BITS, _least_ranked(s, k)))
+    enough = (F.size(taken) == BINS * TUPLE) | ((F.size(h) <= FEW) & F.col(taken).isNotNull())
+    whole = F.when(enough, F.col(taken)).otherwise(_least(_candidates(h, o, r, every)))
+    return rows.withColumn(into, _let(whole, _bins)).drop(ordered, repeats, some, rank, taken)
 
 
 def sketched(docs: DataFrame, text: str, into: str) -> DataFrame:

@@ -105,3 +105,20 @@ def test_texts_are_shuffled_once(spark):
         half = len(t) // 2
         expected.append((d, t, other, t[: len(t) - half] + (least[other][:half] if d is not None else "")))
     assert got == sorted(expected, key=str)
+
+
+@pytest.mark.parametrize(("place", "rank"), [(20, 3), (4, 12)])
+def test_long_texts_and_many_candidates(spark, monkeypatch, place, rank):
+    """Keys with 31 bits of place, and candidates without ranks, give the same bins."""
+    text = random.Random(7).choices("abcé漢", k=900)
+    docs = spark.createDataFrame([("".join(text) * 2,)], "text string")
+    expected = fingerprints.sketched(docs, "text", "bins").first().bins
+    monkeypatch.setattr(fingerprints, "PLACE_BITS", place)
+    monkeypatch.setattr(fingerprints, "RANK_BITS", rank)
+    assert fingerprints.sketched(docs, "text", "bins").first().bins == expected
+
+
+def test_no_pattern_is_matched_at_every_place(spark):
+    docs = spark.createDataFrame([("some text of eight and more",)], "text string")
+    plan = fingerprints.sketched(docs, "text", "bins")._jdf.queryExecution().executedPlan().toString()
+    assert "regexp" not in plan.lower() and "rlike" not in plan.lower()
