@@ -39,7 +39,7 @@ TIERS = (1024, 512, 256, 128)
 #: Tokens packed together, and tokens of a step group.
 PACK_TOKENS = 1 << 21
 STEP_TOKENS = 64 * 1024
-#: Distinct pieces of text whose ids a worker keeps, before it starts anew.
+#: Distinct pieces of text whose ids a worker keeps; of words those that half as many new ones have not used leave.
 CACHE = 600_000
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -73,6 +73,7 @@ class Encoder:
         self.tokenizer = tokenizer(name)
         self.first: dict[str, bytes] = {}  # the piece a text begins with
         self.known: dict[str, bytes] = {}  # any other, by what follows its blank; no bytes: it is next to more space
+        self.older: dict[str, bytes] = {}  # what was known before, and comes back when it is used
         self.wide: dict[str, bytes] = {}  # the same of texts with more space than single blanks
         self.mark = self._ids([MARK])[0]
         one, two, both = self._ids([" a", " b", f" a{MARK} b"])
@@ -104,9 +105,11 @@ class Encoder:
         found = [whole[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)]
         for row, text in zip(wide, self._wide([texts[row] for row in wide]), strict=True):
             found[row] = text
-        for kept in (self.first, self.known, self.wide):
+        for kept in (self.first, self.wide):
             if len(kept) > CACHE:
                 kept.clear()
+        if len(self.known) > CACHE // 2:
+            self.known, self.older = {}, self.known
         return found
 
     def _wide(self, texts: list[str]) -> list[bytes]:
@@ -121,12 +124,12 @@ class Encoder:
         ids = list(map(self.known.get, pieces))
         new = [at for at, found in enumerate(ids) if found is None]
         todo = []
-        for at in new:
-            piece = pieces[at]
-            if not piece or piece[0].isspace() or piece[-1].isspace():
-                self.known[piece] = b""
-            else:
+        for piece in map(pieces.__getitem__, new):
+            found = self.older.get(piece)
+            if found is None and piece and piece.strip() == piece:
                 todo.append(piece)
+            else:
+                self.known[piece] = found or b""
         if self.marked:
             self._learn_marked([piece for piece in todo if MARK not in piece])
         self._learn(self.known, todo, " ")

@@ -110,3 +110,15 @@ def test_words_that_hold_the_mark_or_other_space(plain, marked):
     some = [" ".join(rng.choice(odd) for _ in range(rng.randint(1, 12))) for _ in range(400)] + odd
     got = [list(struct.unpack(f"<{len(b) // 4}I", b)) for b in encoder.encode(some)]
     assert got == [plain(t)[:-1] for t in some]
+
+
+def test_words_in_use_outlive_the_cache(plain, monkeypatch):
+    monkeypatch.setattr(packing, "CACHE", 40)
+    encoder = packing.Encoder(packing.TOKENIZER)
+    words = []
+    learn = encoder._learn_marked
+    encoder._learn_marked = lambda pieces: (words.extend(pieces), learn(pieces))[1]
+    for i in range(30):
+        text = "start often used " + " ".join(f"w{i}n{j}" for j in range(15))
+        assert encoder.encode([text]) == [struct.pack(f"<{len(plain(text)) - 1}I", *plain(text)[:-1])]
+    assert words.count("often") == 1 and len(encoder.known) + len(encoder.older) <= 80
