@@ -41,6 +41,8 @@ PACK_TOKENS = 1 << 21
 STEP_TOKENS = 64 * 1024
 #: Distinct pieces of text whose ids a worker keeps; of words those that half as many new ones have not used leave.
 CACHE = 600_000
+#: The same in a pipeline, whose workers keep them next to what other stages need.
+SMALL_CACHE = CACHE // 6
 TOKENIZER = "byte_bpe_50k.json"
 
 #: A blank between two other characters always begins a new pre-token.
@@ -69,8 +71,9 @@ class Encoder:
     token crosses a cut; other texts are cut at their single blanks only.
     """
 
-    def __init__(self, name: str):
+    def __init__(self, name: str, cache: int | None = None):
         self.tokenizer = tokenizer(name)
+        self.cache = CACHE if cache is None else cache
         self.first: dict[str, bytes] = {}  # the piece a text begins with
         self.known: dict[str, bytes] = {}  # any other, by what follows its blank; no bytes: it is next to more space
         self.older: dict[str, bytes] = {}  # what was known before, and comes back when it is used
@@ -106,9 +109,9 @@ class Encoder:
         for row, text in zip(wide, self._wide([texts[row] for row in wide]), strict=True):
             found[row] = text
         for kept in (self.first, self.wide):
-            if len(kept) > CACHE:
+            if len(kept) > self.cache:
                 kept.clear()
-        if len(self.known) > CACHE // 2:
+        if len(self.known) > self.cache // 2:
             self.known, self.older = {}, self.known
         return found
 
@@ -156,12 +159,12 @@ class Encoder:
                 kept[piece] = pack_ids(f"<{len(ids)}I", *ids)
 
 
-def encoder(name: str) -> Encoder:
+def encoder(name: str, cache: int | None = None) -> Encoder:
     """The encoder of this Python worker, which later tasks use again."""
     kept = sys.modules.setdefault("laketally_kept", ModuleType("laketally_kept")).__dict__
-    if name not in kept:
-        kept[name] = Encoder(name)
-    return kept[name]
+    if (name, cache) not in kept:
+        kept[name, cache] = Encoder(name, cache)
+    return kept[name, cache]
 
 
 def windows(lengths: list[int], tiers: tuple[int, ...] = TIERS) -> list[list[tuple[int, int, int]]]:
@@ -234,7 +237,7 @@ def step_groups(packed: list[list[tuple[int, int, int]]]) -> list[int]:
     return groups
 
 
-def pack(docs: DataFrame, tokenizer_name: str = TOKENIZER, end_id: int = 0, tiers: tuple[int, ...] = TIERS) -> DataFrame:
+def pack(docs: DataFrame, tokenizer_name: str = TOKENIZER, end_id: int = 0, tiers: tuple[int, ...] = TIERS, cache: int | None = None) -> DataFrame:
     """One row per piece: its document, place, ids (little-endian 32-bit) and window.
 
     Columns: doc_id, start, length, ids, doc_tokens, sequence_id, offset,
@@ -246,7 +249,7 @@ def pack(docs: DataFrame, tokenizer_name: str = TOKENIZER, end_id: int = 0, tier
     end = end_id.to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = encoder(tokenizer_name).encode
+        ids_of = encoder(tokenizer_name, cache).encode
         sequence = group = TaskContext.get().partitionId() << 36
         held: list[tuple[pa.Array, list[bytes]]] = []
 
@@ -296,4 +299,4 @@ def query(spark, sf_dir: str) -> DataFrame:
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return pack(docs)
+    return pack(docs, cache=SMALL_CACHE)

@@ -2,10 +2,12 @@
 
 import random
 
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
-from laketally.llm import quality
+from laketally.llm import decontamination, packing, quality
+from laketally.llm import text as T
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, _set string, _row int"
 
@@ -71,3 +73,27 @@ def test_run_on_no_row_and_on_one(spark, folder, tmp_path):
         for table in ("labels", "benchmark"):
             spark.read.parquet(f"{folder}/{table}.parquet").limit(0).write.parquet(f"{path}/{table}.parquet")
         assert sorted(set(ids(corpus_pipeline.run(spark, str(path))))) == ([] if name == "none" else [3])
+
+
+def test_workers_keep_little_between_stages(spark):
+    """What a stage leaves in a worker that later ones use again: tables of powers for small slices, few words."""
+
+    class Taken:
+        """Keeps the function that `clean` hands to mapInArrow."""
+
+        def __init__(self, docs):
+            self.schema, self.sparkSession = docs.schema, spark
+
+        def mapInArrow(self, run, schema):
+            self.run = run
+            return self
+
+    text = " ".join(f"word{i}" for i in range(20_000))
+    docs = spark.createDataFrame([], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "an item of more than five words")], "item_id long, text string")
+    taken = decontamination.clean(Taken(docs), items)
+    T._powers.clear()
+    batch = pa.RecordBatch.from_arrays([pa.array(range(20), pa.int64()), pa.array([text] * 20)], ["doc_id", "text"])
+    assert sum(part.num_rows for part in taken.run(iter([batch]))) == 20
+    assert max(map(len, T._powers.values())) <= 2 * T.SMALL_BYTES
+    assert packing.Encoder(packing.TOKENIZER, packing.SMALL_CACHE).cache < packing.Encoder(packing.TOKENIZER).cache
