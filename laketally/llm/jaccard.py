@@ -7,16 +7,18 @@ common they are, the rarest first. Two linked sets of n and m shingles share at
 least L of the first n - ceil(t n) + L and m - ceil(t m) + L. Every class
 picks its own L, from 1 to `LONGEST`, by the least estimated cost: the
 occurrences it has to look up plus the candidates it has to verify. Candidates
-sharing fewer than L prefix shingles are dropped before verification.
+sharing fewer than L prefix shingles are dropped before verification. Where two
+sets meet, the sizes of both tell how many shingles a link must share, so only
+the first n - that + L and m - that + L count.
 
 How common a shingle is comes from a sketch of counters over all documents, of
 a fixed size; a rough count costs time, never a link.
 
 A group of many near copies shares its prefixes. So links are first sought
-between each member of a prefix list and single members of it (`STARS` times,
-other ones each time, and `CENTRES` of them among the lists of a group), and
-linked classes become one component; lists of two sets that cannot link are
-dropped. The adaptive join then covers every pair of different components. No
+between each member of a prefix list and single members of it (`STARS` times:
+first the one that shares most with others, then other ones each time, `CENTRES`
+of them among the lists of a group), and linked classes become one component;
+lists of two sets that cannot link are dropped. The adaptive join then covers every pair of different components. No
 link between components can be lost, and within one there is nothing left to find.
 
 Nulls and odd rows: a null text or one without words has no shingles, links
@@ -211,6 +213,13 @@ def _alike(one: Callable[[str], Column], other: Callable[[str], Column], part: i
     return sizes & (differ * (whole + part) <= (one("n") + other("n")) * (whole - part))
 
 
+def _early(part: int, whole: int) -> Column:
+    """Whether a shingle is among the first of both sets, `own` of which any two sets of these sizes that link share."""
+    least = (F.col("n") + F.col("n_b")) * part  # of a link's shared shingles, times whole + part
+    one, other = F.col("n") - F.col("at"), F.col("n_b") - F.col("at_b")
+    return (least <= (one - 1 + F.col("own")) * (whole + part)) & (least <= (other - 1 + F.col("own")) * (whole + part))
+
+
 def _rooted(entries: DataFrame, links: DataFrame, part: int, whole: int) -> DataFrame:
     """The entries of shingles that more than one component has, with their component; not those of two sets that cannot link."""
     roots = components(links)
@@ -228,12 +237,14 @@ def links(docs: DataFrame, classes: DataFrame, prefixes: DataFrame, k: int, part
     # What is shuffled of every shingle is small; what belongs to its set comes to the lists that are left. Two sets of one name only add entries.
     sets = prefixes.select("set_id", "n", "own", *MAP).dropDuplicates(["set_id"]).withColumn("name", F.xxhash64("set_id"))
     exploded = prefixes.select(F.xxhash64("set_id").alias("name"), F.posexplode("prefix").alias("at", "shingle"))
-    lists = stored(exploded.groupBy("shingle").count().where("count > 1").select("shingle"), "lists")
+    lists = stored(exploded.groupBy("shingle").agg(F.count("*").alias("rows")).where("rows > 1"), "lists")
     unneeded = F.col("n") - F.ceil(F.col("n") * part / whole)
     level = F.greatest(F.lit(1), F.col("at") - unneeded + 1).alias("level")
-    entries = exploded.join(lists, "shingle").join(sets, "name").select("set_id", "n", "own", *MAP, "shingle", level)
+    shares = F.sum(F.log2("rows")).over(Window.partitionBy("name")).alias("shares")  # of one set, at most its prefix
+    entries = exploded.join(lists, "shingle").select("name", "at", "shingle", shares).join(sets, "name")
+    entries = entries.select("set_id", "n", "own", *MAP, "shingle", level, "at", (F.col("shares") / F.col("n")).alias("shares"))
     entries = stored(entries.withColumn("root", F.col("set_id")), "entries")
-    alike = _alike(F.col, lambda c: F.col(f"{c}_b"), part, whole)
+    alike = _alike(F.col, lambda c: F.col(f"{c}_b"), part, whole) & _early(part, whole)
     maps_b = [F.col(m).alias(f"{m}_b") for m in MAP]
     found, seen = None, []
 
@@ -246,19 +257,20 @@ def links(docs: DataFrame, classes: DataFrame, prefixes: DataFrame, k: int, part
 
     for star in range(STARS):
         firsts = entries.where("level = 1")
-        rank = F.struct(F.xxhash64("set_id", F.pmod("shingle", F.lit(CENTRES)), F.lit(star)), "set_id", "root", "n", *MAP)
+        first = F.xxhash64("set_id", F.pmod("shingle", F.lit(CENTRES)), F.lit(star)) if star else -F.col("shares")
+        rank = F.struct(first, "set_id", "root", "n", "at", *MAP)
         centre = firsts.groupBy("shingle").agg(F.min(rank).alias("c"))
-        centre = centre.select("shingle", "c.*").select("shingle", F.col("set_id").alias("a"), F.col("root").alias("root_a"), F.col("n").alias("n_b"), *maps_b)
+        centre = centre.select("shingle", "c.*").select("shingle", F.col("set_id").alias("a"), F.col("root").alias("root_a"), F.col("n").alias("n_b"), F.col("at").alias("at_b"), *maps_b)
         met = firsts.join(centre, "shingle").where("root <> root_a").where(alike)
         pairs = met.groupBy("a", F.col("set_id").alias("b")).agg(F.count("*").alias("met"), F.first("own").alias("own"))
         pairs = pairs.where(F.col("met") >= F.least("own", F.lit(2)))  # by chance most share one shingle; what is left out the last join finds
         new = verified(new_pairs(pairs), docs, classes, k, part, whole)
         found = new if found is None else found.unionByName(new)
         used = entries
-        entries = _rooted(entries.drop("root"), found, part, whole)
+        entries = _rooted(entries.drop("root", "shares"), found, part, whole)
         discard(used)
     discard(lists)
-    names = {"set_id": "b", "n": "n_b", "root": "root_b", "level": "level_b"}
+    names = {"set_id": "b", "n": "n_b", "root": "root_b", "level": "level_b", "at": "at_b"}
     index = entries.select("shingle", *(F.col(old).alias(new) for old, new in names.items()), *maps_b)
     met = entries.where("level <= own").join(index, "shingle").where("level_b <= own AND set_id > b AND root <> root_b").where(alike)
     pairs = met.groupBy(F.col("set_id").alias("a"), "b").agg(F.count("*").alias("met"), F.first("own").alias("own")).where("met >= own")

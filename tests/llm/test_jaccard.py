@@ -4,6 +4,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from laketally.llm import jaccard
 
@@ -102,3 +103,41 @@ def test_lists_of_two_that_cannot_link_are_dropped(spark):
     links = spark.createDataFrame([(bytearray(b"d"), bytearray(b"e"))], "a binary, b binary")
     kept = jaccard._rooted(entries, links, 85, 100)
     assert {r.shingle for r in kept.collect()} == {2, 3}
+
+
+def candidates(monkeypatch, docs, k):
+    """How many pairs each star and the last join have verified, and the result."""
+    counts, stored = [], jaccard.stored
+
+    def counting(df, name, *observed):
+        table = stored(df, name, *observed)
+        if name == "pairs":
+            counts.append(table.count())
+        return table
+
+    monkeypatch.setattr(jaccard, "stored", counting)
+    return counts, jaccard.joined(docs, k, 85, 100).collect()
+
+
+def test_the_set_that_shares_most_is_the_first_centre(spark, monkeypatch):
+    """Copies that link with their original alone are not met with each other."""
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(200)]
+    rows = [(0, " ".join(base))]
+    for d in range(1, 41):
+        changed = set(rng.sample(range(200), 14))
+        rows.append((d, " ".join(f"d{d}n{i}" if i in changed else w for i, w in enumerate(base))))
+    counts, got = candidates(monkeypatch, spark.createDataFrame(rows, "doc_id long, text string"), 1)
+    assert sorted(map(tuple, got), key=str) == brute(rows, 1, 85, 100)
+    assert counts == [40, *[0] * jaccard.STARS]
+
+
+def test_sets_that_share_too_late_for_their_sizes_are_no_candidates(spark, monkeypatch):
+    common = [f"c{i}" for i in range(200)]
+    shared = [f"s{i}" for i in range(5)]  # with 12 words before them two sets of 100 may link only if these are alike in 92
+    rows = [(d, " ".join([*(f"d{d}n{i}" for i in range(12)), *shared, *common[83 * d : 83 * d + 83]])) for d in range(2)]
+    rows += [(d, " ".join(common[:190] + [f"e{d}n{i}" for i in range(600)])) for d in range(2, 12)]  # these words are common
+    monkeypatch.setattr(jaccard, "_alike", lambda *a: F.lit(True))
+    counts, got = candidates(monkeypatch, spark.createDataFrame(rows, "doc_id long, text string"), 1)
+    assert sorted(map(tuple, got), key=str) == brute(rows, 1, 85, 100)
+    assert sum(counts) == 0
