@@ -15,7 +15,7 @@ How common a shingle is comes from a sketch of counters over all documents, of
 a fixed size; a rough count costs time, never a link.
 
 A group of many near copies shares its prefixes. So links are first sought
-between each member of a prefix list and single members of it (`STARS` times:
+between each member of a prefix list and single members of it (up to `STARS` times:
 first the one that shares most with others, then other ones each time, `CENTRES`
 of them among the lists of a group), and linked classes become one component;
 lists of two sets that cannot link are dropped. The adaptive join then covers every pair of different components. No
@@ -46,6 +46,8 @@ SKETCH_BITS = 20
 SKETCH_PARTS = 64
 MAP_BITS = 256
 MAP = [f"map{i}" for i in range(MAP_BITS // 64)]
+#: No further star once one has found no more than one in FEW of all links so far.
+FEW = 10
 #: A class of more than one in HOT documents is joined by broadcast: there are fewer than HOT of them.
 HOT = 1000
 
@@ -224,12 +226,14 @@ def _rooted(entries: DataFrame, links: DataFrame, part: int, whole: int) -> Data
     """The entries of shingles that more than one component has, with their component; not those of two sets that cannot link."""
     roots = components(links)
     rooted = entries.join(roots, "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
-    one = F.struct("set_id", "n", *MAP)
-    mixed = rooted.groupBy("shingle").agg(
-        F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("rows"), F.min(one).alias("x"), F.max(one).alias("y")
-    )
-    mixed = mixed.where("low <> high").where((F.col("rows") > 2) | _alike(lambda c: F.col(f"x.{c}"), lambda c: F.col(f"y.{c}"), part, whole))
-    return stored(rooted.join(mixed.select("shingle"), "shingle"), "rooted")
+    mixed = rooted.groupBy("shingle").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("rows")).where("low <> high")
+    many = rooted.join(mixed.where("rows > 2").select("shingle"), "shingle")
+    both = rooted.join(mixed.where("rows = 2").select("shingle"), "shingle")
+    pair = Window.partitionBy("shingle").orderBy("set_id")  # two rows
+    one = F.struct("n", *MAP)
+    both = both.withColumn("other", F.coalesce(F.lag(one).over(pair), F.lead(one).over(pair)))
+    both = both.where(_alike(F.col, lambda c: F.col(f"other.{c}"), part, whole)).drop("other")
+    return stored(many.unionByName(both), "rooted")
 
 
 def links(docs: DataFrame, classes: DataFrame, prefixes: DataFrame, k: int, part: int, whole: int) -> DataFrame:
@@ -266,6 +270,8 @@ def links(docs: DataFrame, classes: DataFrame, prefixes: DataFrame, k: int, part
         pairs = pairs.where(F.col("met") >= F.least("own", F.lit(2)))  # by chance most share one shingle; what is left out the last join finds
         new = verified(new_pairs(pairs), docs, classes, k, part, whole)
         found = new if found is None else found.unionByName(new)
+        if star and new.count() * FEW <= found.count():  # little is left for stars
+            break
         used = entries
         entries = _rooted(entries.drop("root", "shares"), found, part, whole)
         discard(used)
