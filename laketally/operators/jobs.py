@@ -28,10 +28,10 @@ JOB_COLUMNS = [
 def _matched(tables: DataFrame, tasks: DataFrame) -> DataFrame:
     """Schedule rows joined with the batches of their task, periods side by side.
 
-    No broadcast is forced: Spark broadcasts the schedules while their size is
-    under its threshold and otherwise joins by key, splitting a hot task.
+    Always by key, splitting a hot task. Spark takes schedules that come out of an
+    array for as small as the file they were read from and would broadcast millions.
     """
-    return tasks.withColumnRenamed("period_type", "log_period").join(tables, "task_name")
+    return tasks.withColumnRenamed("period_type", "log_period").join(tables.hint("merge"), "task_name")
 
 
 def _same_period():
@@ -96,11 +96,12 @@ def period_mismatch(schedules: DataFrame, tasks: DataFrame) -> DataFrame:
 
 def unconfigured_tasks(schedules: DataFrame, tasks: DataFrame, *, by_pattern=False) -> DataFrame:
     """Tasks of the log that no schedule names, literally or by a pattern."""
+    configured = schedules.select("task_name").hint("merge")
     if by_pattern:
-        named = name_candidates(tasks, schedules).join(schedules.select("task_name"), "task_name", "left_semi")
+        named = name_candidates(tasks, schedules).join(configured, "task_name", "left_semi")
         found = named.select(F.col("log_name").alias("task_name"), "batch_no")
         return tasks.join(found, ["task_name", "batch_no"], "left_anti")
-    return tasks.join(schedules.select("task_name"), "task_name", "left_anti")
+    return tasks.join(configured, "task_name", "left_anti")
 
 
 def preview(jobs: DataFrame) -> DataFrame:

@@ -103,7 +103,8 @@ def name_candidates(tasks: DataFrame, schedules: DataFrame) -> DataFrame:
     month only when they belong to the task's own day and month. Names that no schedule has
     find no partner in the join that follows.
     """
-    layouts = name_layouts(schedules)
+    # By key, as schedules are joined: names of different text give as many layouts.
+    layouts = name_layouts(schedules).hint("merge")
     keyed = tasks.withColumn("skeleton", digit_skeleton("task_name")).join(layouts, "skeleton", "left")
     no_part = F.lit(None).cast("string")
     own = F.struct("task_name", *[no_part.alias(v) for v in WIDTHS])

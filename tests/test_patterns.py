@@ -115,3 +115,14 @@ def test_no_product_and_one_join(spark):
     config = schedules(spark, ["p_${data_date}"])
     text = jobs.build_jobs(config, log(spark, ["p_20260301"]), "2026-04-01", by_pattern=True)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in text and "BroadcastNestedLoop" not in text and "Python" not in text
+
+
+def test_schedules_are_not_broadcast(spark, tmp_path):
+    """Spark takes exploded schedules for as small as their file; by its estimate they would all go to the driver."""
+    schedules(spark, ["p_${data_date}", "q"]).write.parquet(str(tmp_path / "config"))
+    config, done = spark.read.parquet(str(tmp_path / "config")), log(spark, ["p_20260301", "q"])
+    found = [jobs.build_jobs(config, done, "2026-04-01", by_pattern=p) for p in (True, False)]
+    found += [jobs.unconfigured_tasks(config, done), patterns.name_candidates(done, config)]
+    for rows in found:
+        assert "BroadcastExchange" not in rows._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r.task_name for r in found[0].collect()) == ["p_${data_date}", "q"]
