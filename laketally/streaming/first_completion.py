@@ -4,9 +4,14 @@ A key's earliest row is held until the watermark has passed it, so that no
 earlier one can still be on time, and is then emitted. What comes after that is
 not dropped: a row that would have been the first is `late`, any other a
 `repeat`. Every finished row of the log leaves the stream exactly once.
+
+Keys share state by the hash of their names: a call from Python to the state
+store costs far more than a row, so a group of keys is read and written at once.
 """
 
 import datetime as dt
+import json
+from collections import defaultdict
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -23,59 +28,105 @@ ROW = "at long, tie long, period_type string"  # microseconds since 1970, so tha
 OUTPUT = f"task_name string, batch_no string, {ROW}, kind string"
 FIRST, REPEAT, LATE = "first", "repeat", "late"
 
+# Fixed values for the life of a checkpoint: groups of keys, and into how many parts `keep` cuts what a group remembers.
+GROUPS, SLICES = 1024, 8
+
 
 class FirstCompletion(StatefulProcessor):
-    """`held` is the earliest row so far, `told` the one that was emitted."""
+    """State of a group of keys, rows as JSON lists of (task_name, batch_no, at, tie, period_type).
+
+    `held` has the earliest row so far of every key that has not been told, and
+    the one timer of the group. `told` has the rows that were emitted, by slices
+    of their time: telling rewrites the slices it adds to, forgetting drops whole ones.
+    """
 
     def __init__(self, keep: dt.timedelta):
         self.keep_ms = keep // dt.timedelta(milliseconds=1)
+        self.slice_ms = max(1, self.keep_ms // SLICES)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.held = handle.getValueState("held", ROW)
-        self.told = handle.getValueState("told", ROW)
+        self.held = handle.getValueState("held", "rows string, timer long")
+        self.told = handle.getMapState("told", "slice long", "rows string")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        watermark = timerValues.getCurrentWatermarkInMs()
-        told = tuple(self.told.get()) if self.told.exists() else None
-        if told is not None and told[0] // 1000 + self.keep_ms < watermark:
-            told = self.told.clear()  # its timer comes after this batch's rows
-        before = best = tuple(self.held.get()) if self.held.exists() else None
+        oldest = timerValues.getCurrentWatermarkInMs() - self.keep_ms
+        held, timer = self._held()
+        told = {}
+        for _, (text,) in self.told.iterator():
+            told.update((k, row) for k, row in _rows(text) if row[0] // 1000 >= oldest)
+        before = held.copy()
         for r in rows:
-            row = (r.at, r.tie, r.period_type)
-            if told is not None:
-                yield self._row(key, row, LATE if row < told else REPEAT)
-            elif best is None and row[0] // 1000 < watermark - self.keep_ms:
-                yield self._row(key, row, LATE)  # its key may have been told and forgotten
+            name, row = (r.task_name, r.batch_no), (r.at, r.tie, r.period_type)
+            first, best = told.get(name), held.get(name)
+            if first is not None:
+                yield self._row(name, row, LATE if row < first else REPEAT)
+            elif best is None and row[0] // 1000 < oldest:
+                yield self._row(name, row, LATE)  # its key may have been told and forgotten
             elif best is None or row < best:
                 if best is not None:
-                    yield self._row(key, best, REPEAT)
-                best = row
+                    yield self._row(name, best, REPEAT)
+                held[name] = row
             else:
-                yield self._row(key, row, REPEAT)
-        if best is not None and best is not before:
-            if before is not None:
-                self.handle.deleteTimer(before[0] // 1000 + 1)
-            self.held.update(best)
-            self.handle.registerTimer(best[0] // 1000 + 1)
+                yield self._row(name, row, REPEAT)
+        if held != before:
+            self._hold(held, timer, timer)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        if self.held.exists():
-            first = tuple(self.held.get())
+        # A timer is a millisecond after the row it is for.
+        passed = max(timerValues.getCurrentWatermarkInMs() - 1, expiredTimerInfo.getExpiryTimeInMs())
+        held, _ = self._held()
+        tell = {name: row for name, row in held.items() if row[0] // 1000 + 1 <= passed}
+        slices = defaultdict(list)
+        for name, row in tell.items():
+            yield self._row(name, row, FIRST)
+            slices[row[0] // 1000 // self.slice_ms].append((name, row))
+        for n, rows in slices.items():
+            old = self.told.getValue((n,))
+            self.told.updateValue((n,), (_text([*(_rows(old[0]) if old else ()), *rows]),))
+        kept = [n for (n,) in self.told.keys()]
+        for n in [n for n in kept if self._forgotten(n) <= passed]:
+            self.told.removeKey((n,))
+            kept.remove(n)
+        forget = min(map(self._forgotten, kept), default=None)
+        self._hold({name: row for name, row in held.items() if name not in tell}, None, forget)
+
+    def _forgotten(self, n: int) -> int:
+        """When no row of a slice is remembered any more."""
+        return (n + 1) * self.slice_ms + self.keep_ms + 1
+
+    def _held(self) -> tuple[dict, int | None]:
+        text, timer = self.held.get() or ("[]", None)
+        return dict(_rows(text)), timer
+
+    def _hold(self, held: dict, timer: int | None, later: int | None) -> None:
+        """Store what is held. `timer` is set so far; the new one is that of the earliest row, or `later` if that comes first."""
+        due = min([row[0] // 1000 + 1 for row in held.values()] + [later] * (later is not None), default=None)
+        if due != timer:
+            if timer is not None:
+                self.handle.deleteTimer(timer)
+            if due is not None:
+                self.handle.registerTimer(due)
+        if due is None:
             self.held.clear()
-            self.told.update(first)
-            self.handle.registerTimer(first[0] // 1000 + 1 + self.keep_ms)
-            yield self._row(key, first, FIRST)
         else:
-            self.told.clear()
+            self.held.update((_text(held.items()), due))
 
-    def _row(self, key, row, kind: str) -> Row:
-        return Row(task_name=key[0], batch_no=key[1], at=row[0], tie=row[1], period_type=row[2], kind=kind)
+    def _row(self, name, row, kind: str) -> Row:
+        return Row(task_name=name[0], batch_no=name[1], at=row[0], tie=row[1], period_type=row[2], kind=kind)
 
     def close(self) -> None:
         pass
 
 
+def _rows(text: str) -> Iterator[tuple[tuple, tuple]]:
+    return (((task, batch), (at, tie, period)) for task, batch, at, tie, period in json.loads(text))
+
+
+def _text(rows) -> str:
+    return json.dumps([(*name, *row) for name, row in rows], ensure_ascii=False, separators=(",", ":"))
+
+
 def first_completion_stream(
     log: DataFrame, *, delay="10 minutes", keep=dt.timedelta(days=7), tie=None, done=1, init_time=None
 ) -> DataFrame:
@@ -99,8 +150,9 @@ def first_completion_stream(
         F.unix_micros("complete_dt").alias("at"),
         (F.lit(0) if tie is None else F.col(tie)).cast("long").alias("tie"),
         "period_type",
+        F.pmod(F.xxhash64("task_name", "batch_no"), F.lit(GROUPS)).alias("group"),
     )
-    told = watermarked.groupBy("task_name", "batch_no").transformWithState(
+    told = watermarked.groupBy("group").transformWithState(
         FirstCompletion(keep), OUTPUT, "append", "eventtime"
     )
     return told.select(

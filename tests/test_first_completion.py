@@ -81,6 +81,30 @@ def test_state_expires(session, tmp_path):
     assert kinds[("a", 1)] == kinds[("a", 4)] == "first" and kinds[("q", 5)] == "late"
 
 
+def test_told_again_waits_for_the_watermark(session, tmp_path):
+    """A key that is forgotten as it comes again is held like any other; here an earlier row is still on time."""
+    log, keep = tmp_path / "log", dt.timedelta(minutes=60)
+    for rows in ([row("a", 0, 1)], [row("z", 40, 2)], [row("z", 41, 3)], [row("z", 300, 4)], [row("a", 320, 5)], [row("a", 315, 6)], [row("z", 400, 7)]):
+        arrive(session, log, rows)
+    out = run(session, tmp_path, delay="10 minutes", keep=keep)
+    assert sorted((r.tie, r.kind) for r in out.where("task_name = 'a'").collect()) == [(1, "first"), (5, "repeat"), (6, "first")]
+
+
+def test_keys_share_state(session, tmp_path, monkeypatch):
+    """Calls to the state store follow the groups of keys, not the keys; no null and no large number is changed in it."""
+    monkeypatch.setattr(fc, "GROUPS", 8, raising=False)
+    big = 2**53
+    arrive(session, tmp_path / "log", [row(f"é\"{i}" if i else None, i % 7, big + i, f"\n{i}") for i in range(200)])
+    arrive(session, tmp_path / "log", [row("z", 100, 0)])
+    log = session.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "log"))
+    rows = fc.first_completion_stream(log, tie="event_id")
+    query = fc.write_first_completions(rows, str(tmp_path / "out"), str(tmp_path / "check")).trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert max(p.stateOperators[0].customMetrics["numRegisteredTimers"] for p in query.recentProgress) <= 8
+    firsts = session.read.parquet(str(tmp_path / "out")).where("kind = 'first' AND tie > 0").collect()
+    assert sorted((r.tie - big, r.task_name, r.batch_no) for r in firsts) == [(i, f"é\"{i}" if i else None, f"\n{i}") for i in range(200)]
+
+
 def test_needs_rocksdb(spark):
     other = spark.newSession()
     log = other.readStream.format("rate").load().select(F.lit("a").alias("task_name"))
