@@ -14,7 +14,8 @@ import json
 from collections import defaultdict
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, Row, SparkSession
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
@@ -24,8 +25,10 @@ from laketally.streaming.audit_stream import _finished
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
-ROW = "at long, tie long, period_type string"  # microseconds since 1970, so that no zone comes in
-OUTPUT = f"task_name string, batch_no string, {ROW}, kind string"
+# `at` in microseconds since 1970, so that no zone comes in; `tie` as text, since pandas has no whole numbers with nulls.
+ROW = "task_name string, batch_no string, at long, tie string, period_type string"
+OUTPUT = f"{ROW}, kind string"
+COLUMNS = [c.split()[0] for c in OUTPUT.split(", ")]
 FIRST, REPEAT, LATE = "first", "repeat", "late"
 
 # Fixed values for the life of a checkpoint: groups of keys, and into how many parts `keep` cuts what a group remembers.
@@ -49,37 +52,40 @@ class FirstCompletion(StatefulProcessor):
         self.held = handle.getValueState("held", "rows string, timer long")
         self.told = handle.getMapState("told", "slice long", "rows string")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         oldest = timerValues.getCurrentWatermarkInMs() - self.keep_ms
         held, timer = self._held()
         told = {}
         for _, (text,) in self.told.iterator():
             told.update((k, row) for k, row in _rows(text) if row[0] // 1000 >= oldest)
         before = held.copy()
-        for r in rows:
-            name, row = (r.task_name, r.batch_no), (r.at, r.tie, r.period_type)
-            first, best = told.get(name), held.get(name)
-            if first is not None:
-                yield self._row(name, row, LATE if row < first else REPEAT)
-            elif best is None and row[0] // 1000 < oldest:
-                yield self._row(name, row, LATE)  # its key may have been told and forgotten
-            elif best is None or row < best:
-                if best is not None:
-                    yield self._row(name, best, REPEAT)
-                held[name] = row
-            else:
-                yield self._row(name, row, REPEAT)
+        for frame in rows:
+            out = []
+            for task, batch, at, tie, period in zip(*(frame[c].tolist() for c in COLUMNS[:-1]), strict=True):
+                name, row = (task, batch), (int(at), None if tie is None else int(tie), period)
+                first, best = told.get(name), held.get(name)
+                if first is not None:
+                    out.append((name, row, LATE if row < first else REPEAT))
+                elif best is None and row[0] // 1000 < oldest:
+                    out.append((name, row, LATE))  # its key may have been told and forgotten
+                elif best is None or row < best:
+                    if best is not None:
+                        out.append((name, best, REPEAT))
+                    held[name] = row
+                else:
+                    out.append((name, row, REPEAT))
+            yield from _frames(out)
         if held != before:
             self._hold(held, timer, timer)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         # A timer is a millisecond after the row it is for.
         passed = max(timerValues.getCurrentWatermarkInMs() - 1, expiredTimerInfo.getExpiryTimeInMs())
         held, _ = self._held()
         tell = {name: row for name, row in held.items() if row[0] // 1000 + 1 <= passed}
+        yield from _frames([(name, row, FIRST) for name, row in tell.items()])
         slices = defaultdict(list)
         for name, row in tell.items():
-            yield self._row(name, row, FIRST)
             slices[row[0] // 1000 // self.slice_ms].append((name, row))
         for n, rows in slices.items():
             old = self.told.getValue((n,))
@@ -112,13 +118,16 @@ class FirstCompletion(StatefulProcessor):
         else:
             self.held.update((_text(held.items()), due))
 
-    def _row(self, name, row, kind: str) -> Row:
-        return Row(task_name=name[0], batch_no=name[1], at=row[0], tie=row[1], period_type=row[2], kind=kind)
-
     def close(self) -> None:
         pass
 
 
+def _frames(out: list) -> Iterator[pd.DataFrame]:
+    if out:
+        rows = [(*name, at, None if tie is None else str(tie), period, kind) for name, (at, tie, period), kind in out]
+        yield pd.DataFrame(rows, columns=COLUMNS)
+
+
 def _rows(text: str) -> Iterator[tuple[tuple, tuple]]:
     return (((task, batch), (at, tie, period)) for task, batch, at, tie, period in json.loads(text))
 
@@ -148,15 +157,15 @@ def first_completion_stream(
         "batch_no",
         # A computed column is no event time to Spark, which would drop late rows.
         F.unix_micros("complete_dt").alias("at"),
-        (F.lit(0) if tie is None else F.col(tie)).cast("long").alias("tie"),
+        (F.lit(0) if tie is None else F.col(tie)).cast("long").cast("string").alias("tie"),
         "period_type",
         F.pmod(F.xxhash64("task_name", "batch_no"), F.lit(GROUPS)).alias("group"),
     )
-    told = watermarked.groupBy("group").transformWithState(
+    told = watermarked.groupBy("group").transformWithStateInPandas(
         FirstCompletion(keep), OUTPUT, "append", "eventtime"
     )
     return told.select(
-        "task_name", "batch_no", F.timestamp_micros("at").alias("complete_dt"), "tie", "period_type", "kind"
+        "task_name", "batch_no", F.timestamp_micros("at").alias("complete_dt"), F.col("tie").cast("long").alias("tie"), "period_type", "kind"
     )
 
 
